@@ -1,0 +1,49 @@
+"""Expressions over array columns."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from hourcast.config import SMAPE_FLOOR
+
+
+def total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+
+
+def log(values: Column) -> Column:
+    return F.transform(values, lambda v: F.ln(v.cast("double")))
+
+
+def exp(values: Column) -> Column:
+    return F.transform(values, lambda v: F.exp(v.cast("double")))
+
+
+def dot(a: Column, b: Column) -> Column:
+    return total(F.zip_with(a, b, lambda p, q: p.cast("double") * q.cast("double")))
+
+
+def norm(a: Column) -> Column:
+    return F.sqrt(dot(a, a))
+
+
+def smape_error(y: Column, yhat: Column) -> Column:
+    """Sum over the cells of |y - yhat| / max(|y| + |yhat|, floor)."""
+
+    def cell(p: Column, q: Column) -> Column:
+        p, q = p.cast("double"), q.cast("double")
+        scale = F.greatest(F.abs(p) + F.abs(q), F.lit(SMAPE_FLOOR))
+        return F.abs(p - q) / scale
+
+    return total(F.zip_with(y, yhat, cell))
+
+
+def log_square_error(y: Column, yhat: Column) -> Column:
+    """Sum over the cells of (ln y - ln yhat)^2."""
+
+    def cell(p: Column, q: Column) -> Column:
+        gap = F.ln(p.cast("double")) - F.ln(q.cast("double"))
+        return gap * gap
+
+    return total(F.zip_with(y, yhat, cell))
