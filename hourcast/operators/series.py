@@ -58,43 +58,54 @@ def no_zero(value: Column) -> Column:
     return F.when(value == 0, EPS).otherwise(value.cast("double"))
 
 
-def _unique_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per series, block and hour; a second one is an error.
+def _partitions(df: DataFrame) -> int:
+    """Partitions for data that will grow many times over inside its tasks.
 
-    Partitioned by series block alone, so that the grouping into arrays that
-    follows needs no second shuffle.
+    A plain repartition would be merged by its size before the gaps are filled,
+    leaving the windows of many series to a few tasks.
+    """
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def _gathered(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The (pos, value) cells of each series block in order; a second value for
+    one place is an error.
+
+    Partitioned by series block alone, so one shuffle serves the uniqueness
+    check and the grouping into arrays.
     """
     clash = F.raise_error(
         F.concat(
-            F.lit("more than one value for (account_int, metric_int, offset) "),
+            F.lit("more than one value for (account_int, metric_int, position) "),
             F.concat_ws(", ", *SERIES, "pos"),
         )
     )
     return (
-        rows.repartition(*keys)
+        rows.repartition(_partitions(rows), *keys)
         .groupBy(*keys, "pos")
         .agg(F.count("*").alias("_n"), F.first("value").alias("value"))
-        .select(*keys, "pos", F.when(F.col("_n") > 1, clash).otherwise(F.col("value")).alias("value"))
+        .withColumn("value", F.when(F.col("_n") > 1, clash).otherwise(F.col("value")))
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("cells"))
     )
 
 
 def _filled(size: Column) -> Column:
-    """The array `cells` of (pos, value) spread over `size` places, gaps at EPS.
+    """The values of `cells` spread over `size` places, gaps at EPS.
 
-    Each cell brings the gap before it along, which keeps the work linear.
+    The first cell marks place -1. Every other one brings the gap before it
+    along, which keeps the work linear.
     """
 
     def with_gap(cell: Column, i: Column) -> Column:
-        previous = F.coalesce(F.get(F.col("cells"), i - 1)["pos"], F.lit(-1))
-        gap = F.array_repeat(F.lit(EPS), cell["pos"] - previous - 1)
+        gap = F.array_repeat(F.lit(EPS), cell["pos"] - F.get("cells", i)["pos"] - 1)
         return F.concat(gap, F.array(cell["value"]))
 
-    last = F.coalesce(F.get(F.col("cells"), F.size("cells") - 1)["pos"], F.lit(-1))
-    head = F.flatten(F.transform(F.col("cells"), with_gap))
-    tail = F.array_repeat(F.lit(EPS), size - last - 1)
-    return F.when(F.col("cells").isNull(), F.array_repeat(F.lit(EPS), size)).otherwise(
-        F.concat(head, tail)
-    )
+    n = F.size("cells")
+    observed = F.slice("cells", F.lit(2), n - 1)
+    tail = F.array_repeat(F.lit(EPS), size - F.get("cells", n - 1)["pos"] - 1)
+    return F.concat(F.flatten(F.transform(observed, with_gap)), tail)
 
 
 def series_blocks(
@@ -125,16 +136,19 @@ def series_blocks(
     n_blocks = -(-n_windows // block_hours)
     origin = parse(start) + timedelta(hours=first)
 
-    # Position relative to the first window start, and the blocks it falls in.
+    # Place relative to the first window start, and the blocks it falls in.
     offset = F.col("_offset")
-    reach = n_windows + width - 1
+    beyond = origin + timedelta(hours=n_windows + width - 1 if n_windows else 0)
     rows = (
-        hourly.withColumn("_offset", hour_offset("hour", origin))
-        .where((offset >= 0) & (offset < (reach if n_windows else 0)))
-        .withColumn("metric_int", label_id(metrics, "metric"))
-        .where(F.col("metric_int").isNotNull())
+        hourly.where((F.col("hour") >= hour_literal(origin)) & (F.col("hour") < hour_literal(beyond)))
+        .where(F.col("metric").isin(list(metrics)))
         .join(accounts.select("account", "account_int"), "account")
-        .select(*SERIES, "_offset", no_zero(F.col("value")).alias("value"))
+        .select(
+            "account_int",
+            label_id(metrics, "metric").alias("metric_int"),
+            hour_offset("hour", origin).alias("_offset"),
+            no_zero(F.col("value")).alias("value"),
+        )
     )
     if n_blocks > 1:
         low = F.greatest(F.lit(0), F.floor((offset - width + 1) / block_hours))
@@ -144,20 +158,17 @@ def series_blocks(
         rows = rows.withColumn("block", F.lit(0))
     rows = rows.withColumn("pos", offset - F.col("block") * block_hours).drop("_offset")
 
+    # One marker row per series block brings in those nothing was observed of.
     keys = [*SERIES, "block"]
-    gathered = (
-        _unique_rows(rows, keys)
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("cells"))
+    blocks = F.sequence(F.lit(0), F.lit(n_blocks - 1)) if n_blocks else F.array().cast("array<int>")
+    markers = (
+        accounts.select("account_int", F.explode(_metric_array(metrics)).alias("metric_int"))
+        .withColumn("block", F.explode(blocks))
+        .select(*keys, F.lit(-1).alias("pos"), F.lit(None).cast("double").alias("value"))
     )
-    series = accounts.select(
-        "account_int", F.explode(_metric_array(metrics)).alias("metric_int")
-    ).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))) if n_blocks else F.lit(0))
-    if not n_blocks:
-        series = series.where(F.lit(False))
     starts = F.col("block") * block_hours
     windows = F.least(F.lit(block_hours), F.lit(n_windows) - starts)
-    return series.join(gathered, keys, "left").select(
+    return _gathered(rows.select(*keys, "pos", "value").union(markers), keys).select(
         *SERIES,
         add_hours(hour_literal(origin), starts).alias("hour"),
         windows.alias("n_windows"),
@@ -196,16 +207,16 @@ def make_samples(blocks: DataFrame, lags: int, horizon: int) -> DataFrame:
     window = blocks.select(
         *SERIES,
         F.col("hour").alias("_from"),
-        "v",
+        F.col("v").cast("array<float>").alias("v"),
         F.explode(F.sequence(F.lit(0), F.col("n_windows") - 1)).alias("_o"),
     )
     v = F.col("v")
-    labels = [F.slice(v, o + (lags + 1), horizon).cast("array<float>").alias("y")] if horizon else []
+    labels = [F.slice(v, o + (lags + 1), horizon).alias("y")] if horizon else []
     return window.select(
         *SERIES,
         hour.alias("hour"),
         weekday(hour).alias("dayofweek"),
-        F.slice(v, o + 1, lags).cast("array<float>").alias("x"),
+        F.slice(v, o + 1, lags).alias("x"),
         *labels,
     )
 

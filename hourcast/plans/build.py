@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from hourcast.config import METRIC_IDS, OPCODE_METRICS, ForecastConfig
 from hourcast.functions.time import parse
@@ -46,9 +47,10 @@ def window_blocks(
     metrics: Mapping[str, int] = METRIC_IDS,
     labelled: bool = True,
 ) -> DataFrame:
-    """Dense arrays holding every window that starts within `anchors`."""
+    """Dense float32 arrays holding every window that starts within `anchors`."""
     width = config.width if labelled else config.lags
-    return series_blocks(hourly, accounts, metrics, *grid, width=width, anchors=anchors)
+    blocks = series_blocks(hourly, accounts, metrics, *grid, width=width, anchors=anchors)
+    return blocks.withColumn("v", F.col("v").cast("array<float>"))
 
 
 def latest_windows(

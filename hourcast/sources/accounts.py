@@ -30,3 +30,12 @@ def account_dimension(accounts: DataFrame) -> DataFrame:
         )
     )
     return ids.join(names, "account")
+
+
+def write_accounts(accounts: DataFrame, path: str) -> None:
+    """Store the dimension, so that every later run uses the same ids."""
+    accounts.write.mode("overwrite").parquet(path)
+
+
+def read_accounts(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

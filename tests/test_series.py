@@ -1,0 +1,240 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from hourcast.config import EPS
+from hourcast.functions.time import add_hours, hour_literal
+from hourcast.operators import series
+from tests.conftest import START, at, key_rows
+
+METRICS = {"m": 0, "n": 3}
+HOURLY = "account string, hour timestamp_ntz, metric string, value bigint"
+
+
+def accounts(spark, names=("a", "b")):
+    rows = [(n, i) for i, n in enumerate(names)]
+    return spark.createDataFrame(rows, "account string, account_int int")
+
+
+def random_hourly(n_hours, seed=1, names=("a", "b")):
+    rng = random.Random(seed)
+    return [
+        (a, at(h), m, rng.randrange(4))
+        for a in names
+        for m in METRICS
+        for h in range(-3, n_hours + 3)
+        if rng.random() < 0.4
+    ]
+
+
+def dense_values(rows, n_hours, names=("a", "b")):
+    """By brute force: {(account_int, metric_int): values}."""
+    seen = {(a, m, h): v for a, h, m, v in rows}
+    return {
+        (i, k): [float(seen.get((a, m, at(h)), 0)) or EPS for h in range(n_hours)]
+        for i, a in enumerate(names)
+        for m, k in METRICS.items()
+    }
+
+
+def test_epsilon():
+    assert EPS == float(np.finfo(np.float32).eps)
+    assert math.isclose(math.log(EPS), -15.942385149110422)
+
+
+def test_grid(spark):
+    grid = series.key_grid(accounts(spark), METRICS, START, at(5))
+    assert grid.count() == 2 * 2 * 5
+    assert {r["hour"] for r in grid.collect()} == {at(h) for h in range(5)}
+    plan = grid._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_densify_fills_gaps_and_zeros_and_drops_what_is_outside(spark):
+    n = 50
+    rows = random_hourly(n)
+    outside = [("z", at(1), "m", 9), ("a", at(2), "unknown", 9), (None, at(2), "m", 9)]
+    hourly = spark.createDataFrame(rows + outside, HOURLY)
+    dense = series.densify(hourly, accounts(spark), METRICS, START, at(n))
+    expected = [
+        (*key, at(h), v, at(h).weekday())
+        for key, values in dense_values(rows, n).items()
+        for h, v in enumerate(values)
+    ]
+    assert key_rows(dense) == sorted(expected, key=repr)
+    assert dense.where("value <= 0 OR value IS NULL").isEmpty()
+
+
+def test_densify_equals_the_join_with_the_grid(spark):
+    n = 40
+    hourly = spark.createDataFrame(random_hourly(n, 5), HOURLY)
+    grid = series.key_grid(accounts(spark), METRICS, START, at(n))
+    joined = grid.join(hourly, ["account", "hour", "metric"], "left").select(
+        "account_int", "metric_int", "hour",
+        F.when(F.coalesce("value", F.lit(0)) == 0, EPS).otherwise(F.col("value").cast("double")),
+        F.weekday("hour"),
+    )
+    assert key_rows(series.densify(hourly, accounts(spark), METRICS, START, at(n))) == key_rows(joined)
+
+
+@pytest.mark.parametrize("block_hours", [7, 13, 1000])
+def test_densify_in_blocks(spark, block_hours):
+    n = 50
+    rows = random_hourly(n, 2)
+    hourly = spark.createDataFrame(rows, HOURLY)
+    blocks = series.series_blocks(
+        hourly, accounts(spark), METRICS, START, at(n), block_hours=block_hours
+    )
+    got = {}
+    for r in sorted(blocks.collect(), key=lambda r: r["hour"]):
+        got.setdefault((r["account_int"], r["metric_int"]), []).extend(r["v"])
+    assert got == dense_values(rows, n)
+
+
+def test_null_values_stay_null(spark):
+    hourly = spark.createDataFrame([("a", at(1), "m", None)], HOURLY)
+    dense = series.densify(hourly, accounts(spark, ("a",)), {"m": 0}, START, at(3))
+    assert [r["value"] for r in dense.orderBy("hour").collect()] == [EPS, None, EPS]
+
+
+def test_duplicate_keys_are_an_error(spark):
+    hourly = spark.createDataFrame([("a", at(1), "m", 1), ("a", at(1), "m", 1)], HOURLY)
+    with pytest.raises(Exception, match="more than one value"):
+        series.densify(hourly, accounts(spark), METRICS, START, at(3)).collect()
+
+
+def test_duplicates_outside_the_grid_do_not_matter(spark):
+    hourly = spark.createDataFrame([("a", at(9), "m", 1), ("a", at(9), "m", 1)], HOURLY)
+    assert series.densify(hourly, accounts(spark), METRICS, START, at(3)).count() == 12
+
+
+def test_no_accounts(spark):
+    hourly = spark.createDataFrame(random_hourly(5), HOURLY)
+    none = accounts(spark).where("false")
+    assert series.densify(hourly, none, METRICS, START, at(5)).isEmpty()
+
+
+def test_all_zero_series_has_finite_logarithms(spark):
+    hourly = spark.createDataFrame([("a", at(h), "m", 0) for h in range(4)], HOURLY)
+    dense = series.densify(hourly, accounts(spark, ("a",)), {"m": 0}, START, at(4))
+    assert dense.select(F.min(F.ln("value"))).first()[0] == pytest.approx(math.log(EPS))
+
+
+def brute_samples(rows, n, lags, horizon, first=0, last=None):
+    last = n - lags - horizon if last is None else last
+    out = {}
+    for (a, m), values in dense_values(rows, n).items():
+        for t in range(first, min(last, n - lags - horizon) + 1):
+            values32 = [float(np.float32(v)) for v in values]
+            out[a, m, at(t)] = (values32[t : t + lags], values32[t + lags : t + lags + horizon])
+    return out
+
+
+def read_samples(df):
+    return {
+        (r["account_int"], r["metric_int"], r["hour"]): (r["x"], r["y"]) for r in df.collect()
+    }
+
+
+@pytest.mark.parametrize("block_hours", [1, 3, 6, 7, 11, 100])
+@pytest.mark.parametrize("anchors", [None, (5, 17), (30, 80), (-4, 2)])
+def test_samples_for_any_block_size_and_range(spark, block_hours, anchors):
+    n, lags, horizon = 45, 5, 2
+    rows = random_hourly(n, 3)
+    hourly = spark.createDataFrame(rows, HOURLY)
+    between = None if anchors is None else (at(anchors[0]), at(anchors[1]))
+    blocks = series.series_blocks(
+        hourly, accounts(spark), METRICS, START, at(n), lags + horizon, between, block_hours
+    )
+    first, last = (0, None) if anchors is None else (max(0, anchors[0]), anchors[1])
+    expected = brute_samples(rows, n, lags, horizon, first, last)
+    samples = series.make_samples(blocks, lags, horizon)
+    assert read_samples(samples) == expected
+    assert samples.count() == len(expected)
+    assert all(r["dayofweek"] == r["hour"].weekday() for r in samples.collect())
+
+
+def test_short_series_has_no_samples(spark):
+    hourly = spark.createDataFrame(random_hourly(10), HOURLY)
+    blocks = series.series_blocks(hourly, accounts(spark), METRICS, START, at(6), 7)
+    assert series.make_samples(blocks, 5, 2).isEmpty()
+
+
+def test_samples_without_labels(spark):
+    rows = random_hourly(20)
+    hourly = spark.createDataFrame(rows, HOURLY)
+    blocks = series.series_blocks(
+        hourly, accounts(spark), METRICS, START, at(20), 5, (at(15), at(15))
+    )
+    samples = series.make_samples(blocks, 5, 0)
+    assert samples.columns == ["account_int", "metric_int", "hour", "dayofweek", "x"]
+    assert samples.count() == 4
+
+
+def test_next_sample_is_shifted_by_one(spark):
+    hourly = spark.createDataFrame(random_hourly(30), HOURLY)
+    blocks = series.series_blocks(hourly, accounts(spark), METRICS, START, at(30), 8)
+    got = read_samples(series.make_samples(blocks, 6, 2))
+    for (a, m, hour), (x, y) in got.items():
+        after = got.get((a, m, hour + (at(1) - START)))
+        if after:
+            assert x[1:] + y[:1] == after[0]
+
+
+def test_windows_equal_leads(spark):
+    n = 30
+    hourly = spark.createDataFrame(random_hourly(n, 7), HOURLY)
+    dense = series.densify(hourly, accounts(spark), METRICS, START, at(n))
+    lead = series.series_lead(dense, range(1, 4)).where("lead_3 IS NOT NULL").select(
+        "account_int", "metric_int", "hour", "dayofweek", "value", "lead_1", "lead_2", "lead_3"
+    )
+    blocks = series.series_blocks(hourly, accounts(spark), METRICS, START, at(n), 4)
+    wide = series.samples_wide(series.make_samples(blocks, 3, 1), 3, 1)
+    assert wide.columns[4:] == ["0", "1", "2", "3"]
+    assert key_rows(lead) == key_rows(wide.select(*wide.columns[:4], *[F.col(f"`{i}`").cast("double") for i in range(4)]))
+
+
+def test_lead_matches_the_shifted_join(spark):
+    n = 20
+    hourly = spark.createDataFrame(random_hourly(n, 8), HOURLY)
+    dense = series.densify(hourly, accounts(spark), METRICS, START, at(n))
+    keys = ["account_int", "metric_int", "hour"]
+    shifted = dense.select(*keys[:2], add_hours("hour", -3).alias("hour"), F.col("value").alias("lead_3"))
+    joined = dense.join(shifted, keys, "left").select(*keys, "lead_3")
+    assert key_rows(joined) == key_rows(series.series_lead(dense, [3]).select(*keys, "lead_3"))
+
+
+def test_spot_check(spark):
+    rows = random_hourly(20)
+    hourly = spark.createDataFrame(rows, HOURLY)
+    spot = series.spot_check(hourly, accounts(spark), METRICS, at(4))
+    values = dense_values(rows, 20)
+    got = {(r["account_int"], r["metric_int"]): r["value"] for r in spot.collect()}
+    assert got == {key: v[4] for key, v in values.items()}
+    assert {r["hour"] for r in spot.collect()} == {at(4)}
+
+
+def test_hour_range_reaches_a_stored_table(spark, tmp_path):
+    spark.createDataFrame(random_hourly(20), HOURLY).write.parquet(str(tmp_path / "h"))
+    stored = spark.read.parquet(str(tmp_path / "h"))
+    plan = series.spot_check(stored, accounts(spark), METRICS, at(4))._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(hour,2024-01-01T04:00)" in plan
+    assert "LessThan(hour,2024-01-01T05:00)" in plan
+
+
+def test_one_shuffle_from_rows_to_samples(spark, tmp_path):
+    spark.createDataFrame(random_hourly(20), HOURLY).write.parquet(str(tmp_path / "h"))
+    stored = spark.read.parquet(str(tmp_path / "h"))
+    blocks = series.series_blocks(stored, accounts(spark), METRICS, START, at(20), 7)
+    plan = series.make_samples(blocks, 5, 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "NestedLoop" not in plan
+
+
+def test_grid_literal_hours(spark):
+    df = spark.range(1).select(F.explode(series.hours(START, at(3))).alias("h"))
+    assert [r["h"] for r in df.collect()] == [at(0), at(1), at(2)]
+    assert spark.range(1).select(hour_literal(START).alias("h")).first()["h"] == START
