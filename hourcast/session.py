@@ -22,7 +22,6 @@ def local_session(cpus: int = 8, app: str = "hourcast") -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.executorEnv.OMP_NUM_THREADS", "1")
         .getOrCreate()
     )
 

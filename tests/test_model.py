@@ -155,7 +155,13 @@ def test_training_lowers_the_loss(blocks, accounts):
     assert rows[1][2] < rows[0][2] / 2 and rows[1][3] < rows[0][3]
 
 
-def test_history_and_spread_of_windows(spark, blocks, accounts, hourly):
+@pytest.fixture
+def exact(monkeypatch):
+    """Compute in double, to tell a wrong sum from rounding."""
+    monkeypatch.setattr(models, "COMPUTE", np.float64)
+
+
+def test_history_and_spread_of_windows(spark, blocks, accounts, hourly, exact):
     """The same training from blocks of any size, from samples, however spread."""
     _, history = fit(blocks, accounts)
     expected = trail(history)
@@ -166,14 +172,21 @@ def test_history_and_spread_of_windows(spark, blocks, accounts, hourly):
             assert got == pytest.approx(want, rel=1e-6)
 
 
-def test_gradients_added_up_in_a_tree(blocks, accounts, monkeypatch):
+def test_single_precision_is_close(blocks, accounts, monkeypatch):
+    rows = trail(fit(blocks, accounts)[1])
+    monkeypatch.setattr(models, "COMPUTE", np.float64)
+    for got, want in zip(rows, trail(fit(blocks, accounts)[1]), strict=True):
+        assert got == pytest.approx(want, rel=1e-4)
+
+
+def test_gradients_added_up_in_a_tree(blocks, accounts, monkeypatch, exact):
     expected = trail(fit(blocks, accounts)[1])
     monkeypatch.setattr(models, "DIRECT_SUMS", 1)
     for got, want in zip(trail(fit(blocks, accounts)[1]), expected, strict=True):
         assert got == pytest.approx(want, rel=1e-9)
 
 
-def test_joined_account_vectors_train_the_same(blocks, accounts):
+def test_joined_account_vectors_train_the_same(blocks, accounts, exact):
     sent, history = fit(blocks, accounts)
     joined, other = fit(blocks, accounts, sent_bytes=0)
     for got, want in zip(trail(other), trail(history), strict=True):
