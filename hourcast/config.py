@@ -56,7 +56,8 @@ SMAPE_FLOOR = 1e-8
 class ForecastConfig:
     """Shape and training schedule of the forecaster.
 
-    An embedding size of 0 leaves that key out of the model.
+    An embedding size of 0 leaves that key out of the model. `precision` is that
+    of the network on a chunk of windows; weights and sums are always double.
     """
 
     account_dim: int = 7
@@ -71,6 +72,7 @@ class ForecastConfig:
     sub_steps: int = 2_000
     stop_below: float | None = 10.5
     check_every: int = 100
+    precision: str = "float32"
 
     @property
     def width(self) -> int:

@@ -82,7 +82,9 @@ def _by_broadcast(table: DataFrame, k: int) -> DataFrame:
             if len(part):
                 yield _nearest(part["id"].to_numpy(np.int64), _unit(part["vec"]), other_ids, other, k)
 
-    return table.mapInPandas(search, NEIGHBOURS)
+    # The table may be one small file; the comparisons are work for every core.
+    spread = table.repartition(table.sparkSession.sparkContext.defaultParallelism, "id")
+    return spread.mapInPandas(search, NEIGHBOURS)
 
 
 def _by_block_pairs(table: DataFrame, k: int, n_blocks: int) -> DataFrame:

@@ -155,40 +155,37 @@ def test_training_lowers_the_loss(blocks, accounts):
     assert rows[1][2] < rows[0][2] / 2 and rows[1][3] < rows[0][3]
 
 
-@pytest.fixture
-def exact(monkeypatch):
-    """Compute in double, to tell a wrong sum from rounding."""
-    monkeypatch.setattr(models, "COMPUTE", np.float64)
+# Computed in double, to tell a wrong sum from rounding.
+EXACT = replace(SMALL, precision="float64")
 
 
-def test_history_and_spread_of_windows(spark, blocks, accounts, hourly, exact):
+def test_history_and_spread_of_windows(blocks, accounts, hourly):
     """The same training from blocks of any size, from samples, however spread."""
-    _, history = fit(blocks, accounts)
+    _, history = fit(blocks, accounts, EXACT)
     expected = trail(history)
     assert [r[:2] for r in expected] == [(0, 0), (0, 2), (0, 3), (1, 0), (1, 2), (1, 3)]
     whole = series_blocks(hourly, accounts, METRICS, START, at(HOURS), SMALL.width)
     for windows in (whole, make_samples(blocks, SMALL.lags, SMALL.horizon)):
-        for got, want in zip(trail(fit(windows, accounts)[1]), expected, strict=True):
+        for got, want in zip(trail(fit(windows, accounts, EXACT)[1]), expected, strict=True):
             assert got == pytest.approx(want, rel=1e-6)
 
 
-def test_single_precision_is_close(blocks, accounts, monkeypatch):
-    rows = trail(fit(blocks, accounts)[1])
-    monkeypatch.setattr(models, "COMPUTE", np.float64)
-    for got, want in zip(rows, trail(fit(blocks, accounts)[1]), strict=True):
+def test_single_precision_is_close(blocks, accounts):
+    exact = trail(fit(blocks, accounts, EXACT)[1])
+    for got, want in zip(trail(fit(blocks, accounts)[1]), exact, strict=True):
         assert got == pytest.approx(want, rel=1e-4)
 
 
-def test_gradients_added_up_in_a_tree(blocks, accounts, monkeypatch, exact):
-    expected = trail(fit(blocks, accounts)[1])
+def test_gradients_added_up_in_a_tree(blocks, accounts, monkeypatch):
+    expected = trail(fit(blocks, accounts, EXACT)[1])
     monkeypatch.setattr(models, "DIRECT_SUMS", 1)
-    for got, want in zip(trail(fit(blocks, accounts)[1]), expected, strict=True):
+    for got, want in zip(trail(fit(blocks, accounts, EXACT)[1]), expected, strict=True):
         assert got == pytest.approx(want, rel=1e-9)
 
 
-def test_joined_account_vectors_train_the_same(blocks, accounts, exact):
-    sent, history = fit(blocks, accounts)
-    joined, other = fit(blocks, accounts, sent_bytes=0)
+def test_joined_account_vectors_train_the_same(blocks, accounts):
+    sent, history = fit(blocks, accounts, EXACT)
+    joined, other = fit(blocks, accounts, EXACT, sent_bytes=0)
     for got, want in zip(trail(other), trail(history), strict=True):
         assert got == pytest.approx(want, rel=1e-9)
     for one, two in zip(*(sorted(m.accounts.collect()) for m in (sent, joined))):
