@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from hourcast.functions.arrow import matrix
+
 # A table up to this size is sent whole to every task; a larger one is worked
 # through in pairs of blocks of this size.
 BLOCK_BYTES = 16 << 20
@@ -19,6 +21,7 @@ BLOCK_BYTES = 16 << 20
 DIGITS = 9
 
 NEIGHBOURS = "id bigint, neighbour bigint, cosine double"
+FOUND = pa.schema([("id", pa.int64()), ("neighbour", pa.int64()), ("cosine", pa.float64())])
 
 
 def embedding_lookup(rows: DataFrame, table: DataFrame, key: str, into: str) -> DataFrame:
@@ -30,21 +33,19 @@ def embedding_lookup(rows: DataFrame, table: DataFrame, key: str, into: str) ->
     return rows.join(named, key)
 
 
-def _unit(vectors: pd.Series) -> np.ndarray:
-    matrix = np.asarray(vectors.tolist(), dtype=np.float64)
+def _unit(vectors: np.ndarray) -> np.ndarray:
     with np.errstate(invalid="ignore"):
-        return matrix / np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+        return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
 def _nearest(
     ids: np.ndarray, unit: np.ndarray, other_ids: np.ndarray, other: np.ndarray, k: int
-) -> pd.DataFrame:
+) -> Iterator[pa.RecordBatch]:
     """The k nearest of `other` for each row of `unit`, itself excluded.
 
     `other_ids` ascend, so that a stable sort breaks ties by id.
     """
     step = max(1, BLOCK_BYTES // (8 * max(1, len(other_ids))))
-    found = []
     for at in range(0, len(ids), step):
         some = ids[at : at + step]
         cosine = np.round(unit[at : at + step] @ other.T, DIGITS)
@@ -61,30 +62,27 @@ def _nearest(
         starts = np.searchsorted(row, np.arange(len(some)))
         keep = np.arange(len(row)) - starts[row] < k
         row, column = row[keep], column[keep]
-        found.append(
-            pd.DataFrame(
-                {"id": some[row], "neighbour": other_ids[column], "cosine": cosine[row, column]}
-            )
+        yield pa.RecordBatch.from_pydict(
+            {"id": some[row], "neighbour": other_ids[column], "cosine": cosine[row, column]}
         )
-    return pd.concat(found) if found else pd.DataFrame({"id": [], "neighbour": [], "cosine": []})
 
 
 def _by_broadcast(table: DataFrame, k: int) -> DataFrame:
     """Every row against the whole table; the caller has checked its size."""
-    whole = table.orderBy("id").toPandas()
-    sent = table.sparkSession.sparkContext.broadcast(
-        (whole["id"].to_numpy(np.int64), _unit(whole["vec"]) if len(whole) else None)
-    )
+    whole = table.orderBy("id").toArrow().combine_chunks().to_batches()
+    found = [(part.column("id").to_numpy(), _unit(matrix(part, "vec"))) for part in whole]
+    sent = table.sparkSession.sparkContext.broadcast(found[0] if found else None)
 
-    def search(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        other_ids, other = sent.value
+    def search(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            if len(part):
-                yield _nearest(part["id"].to_numpy(np.int64), _unit(part["vec"]), other_ids, other, k)
+            if part.num_rows:
+                yield from _nearest(
+                    part.column("id").to_numpy(), _unit(matrix(part, "vec")), *sent.value, k
+                )
 
     # The table may be one small file; the comparisons are work for every core.
     spread = table.repartition(table.sparkSession.sparkContext.defaultParallelism, "id")
-    return spread.mapInPandas(search, NEIGHBOURS)
+    return spread.mapInArrow(search, NEIGHBOURS)
 
 
 def _by_block_pairs(table: DataFrame, k: int, n_blocks: int) -> DataFrame:
@@ -103,17 +101,17 @@ def _by_block_pairs(table: DataFrame, k: int, n_blocks: int) -> DataFrame:
         .drop("_other")
     )
 
-    def search(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("id", kind="stable")
-        ids, unit = group["id"].to_numpy(np.int64), _unit(group["vec"])
-        left, right = (group["block"].to_numpy() == b for b in key)
-        found = _nearest(ids[left], unit[left], ids[right], unit[right], k)
-        if key[0] != key[1]:
-            back = _nearest(ids[right], unit[right], ids[left], unit[left], k)
-            found = pd.concat([found, back])
-        return found
-
-    return placed.groupBy("low", "high").applyInPandas(search, NEIGHBOURS)
+    def search(group: pa.Table) -> pa.Table:
+        part = group.sort_by("id").combine_chunks().to_batches()[0]
+        ids, unit = part.column("id").to_numpy(), _unit(matrix(part, "vec"))
+        block = part.column("block").to_numpy()
+        low, high = (block == part.column(end)[0].as_py() for end in ("low", "high"))
+        found = list(_nearest(ids[low], unit[low], ids[high], unit[high], k))
+        if (low != high).any():
+            found += _nearest(ids[high], unit[high], ids[low], unit[low], k)
+        return pa.Table.from_batches(found, FOUND)
+
+    return placed.groupBy("low", "high").applyInArrow(search, NEIGHBOURS)
 
 
 def embedding_topk(table: DataFrame, k: int = 3, block_bytes: int = BLOCK_BYTES) -> DataFrame:
