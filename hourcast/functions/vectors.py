@@ -1,4 +1,4 @@
-"""Expressions over array columns."""
+"""Expressions over array columns, and over the cells of forecasts."""
 
 from __future__ import annotations
 
@@ -28,22 +28,13 @@ def norm(a: Column) -> Column:
     return F.sqrt(dot(a, a))
 
 
-def smape_error(y: Column, yhat: Column) -> Column:
-    """Sum over the cells of |y - yhat| / max(|y| + |yhat|, floor)."""
+def smape_cell(y: Column, yhat: Column) -> Column:
+    """|y - yhat| / max(|y| + |yhat|, floor) of one cell."""
+    y, yhat = y.cast("double"), yhat.cast("double")
+    return F.abs(y - yhat) / F.greatest(F.abs(y) + F.abs(yhat), F.lit(SMAPE_FLOOR))
 
-    def cell(p: Column, q: Column) -> Column:
-        p, q = p.cast("double"), q.cast("double")
-        scale = F.greatest(F.abs(p) + F.abs(q), F.lit(SMAPE_FLOOR))
-        return F.abs(p - q) / scale
 
-    return total(F.zip_with(y, yhat, cell))
-
-
-def log_square_error(y: Column, yhat: Column) -> Column:
-    """Sum over the cells of (ln y - ln yhat)^2."""
-
-    def cell(p: Column, q: Column) -> Column:
-        gap = F.ln(p.cast("double")) - F.ln(q.cast("double"))
-        return gap * gap
-
-    return total(F.zip_with(y, yhat, cell))
+def log_square_cell(y: Column, yhat: Column) -> Column:
+    """(ln y - ln yhat)^2 of one cell."""
+    gap = F.ln(y.cast("double")) - F.ln(yhat.cast("double"))
+    return gap * gap
