@@ -1,4 +1,4 @@
-"""Expressions over array columns, and over the cells of forecasts."""
+"""Errors of single forecast cells."""
 
 from __future__ import annotations
 
@@ -8,26 +8,6 @@ from pyspark.sql import functions as F
 from hourcast.config import SMAPE_FLOOR
 
 
-def total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
-
-
-def log(values: Column) -> Column:
-    return F.transform(values, lambda v: F.ln(v.cast("double")))
-
-
-def exp(values: Column) -> Column:
-    return F.transform(values, lambda v: F.exp(v.cast("double")))
-
-
-def dot(a: Column, b: Column) -> Column:
-    return total(F.zip_with(a, b, lambda p, q: p.cast("double") * q.cast("double")))
-
-
-def norm(a: Column) -> Column:
-    return F.sqrt(dot(a, a))
-
-
 def smape_cell(y: Column, yhat: Column) -> Column:
     """|y - yhat| / max(|y| + |yhat|, floor) of one cell."""
     y, yhat = y.cast("double"), yhat.cast("double")

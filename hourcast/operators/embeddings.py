@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -111,7 +112,10 @@ def _by_block_pairs(table: DataFrame, k: int, n_blocks: int) -> DataFrame:
             found += _nearest(ids[high], unit[high], ids[low], unit[low], k)
         return pa.Table.from_batches(found, FOUND)
 
-    return placed.groupBy("low", "high").applyInArrow(search, NEIGHBOURS)
+    # By number, or the pairs would be merged into few tasks by their size.
+    n_pairs = n_blocks * (n_blocks + 1) // 2
+    spread = placed.repartition(n_pairs, "low", "high")
+    return spread.groupBy("low", "high").applyInArrow(search, NEIGHBOURS)
 
 
 def embedding_topk(table: DataFrame, k: int = 3, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -124,7 +128,10 @@ def embedding_topk(table: DataFrame, k: int = 3, block_bytes: int = BLOCK_BYTES)
     if size <= block_bytes:
         found = _by_broadcast(table, k)
     else:
-        found = _by_block_pairs(table, k, -(-size // block_bytes) + 1)
+        # Small enough blocks, and enough pairs of them for every core.
+        cores = table.sparkSession.sparkContext.defaultParallelism
+        n_blocks = max(-(-size // block_bytes) + 1, math.ceil(math.sqrt(4 * cores)))
+        found = _by_block_pairs(table, k, n_blocks)
     best = Window.partitionBy("id").orderBy(F.desc("cosine"), "neighbour")
     return (
         found.withColumn("rank", F.row_number().over(best))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourcast.functions.vectors import log_square_cell, smape_cell
+from hourcast.functions.errors import log_square_cell, smape_cell
 
 
 def _cells(forecasts: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -95,17 +95,20 @@ def _filled(size: Column) -> Column:
     """The values of `cells` spread over `size` places, gaps at EPS.
 
     The first cell marks place -1. Every other one brings the gap before it
-    along, which keeps the work linear.
+    along, which keeps the work linear. Without gaps the values are taken as
+    they are.
     """
 
     def with_gap(cell: Column, i: Column) -> Column:
-        gap = F.array_repeat(F.lit(EPS), cell["pos"] - F.get("cells", i)["pos"] - 1)
-        return F.concat(gap, F.array(cell["value"]))
+        gap = cell["pos"] - F.get("cells", i)["pos"] - 1
+        value = F.array(cell["value"])
+        return F.when(gap > 0, F.concat(F.array_repeat(F.lit(EPS), gap), value)).otherwise(value)
 
     n = F.size("cells")
     observed = F.slice("cells", F.lit(2), n - 1)
     tail = F.array_repeat(F.lit(EPS), size - F.get("cells", n - 1)["pos"] - 1)
-    return F.concat(F.flatten(F.transform(observed, with_gap)), tail)
+    with_gaps = F.concat(F.flatten(F.transform(observed, with_gap)), tail)
+    return F.when(n - 1 == size, observed["value"]).otherwise(with_gaps)
 
 
 def series_blocks(

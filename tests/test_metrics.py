@@ -1,10 +1,7 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
-
 from hourcast.config import EPS
-from hourcast.functions import vectors
 from hourcast.operators import metrics
 
 SCHEMA = "account_int int, y array<float>, yhat array<float>"
@@ -47,13 +44,3 @@ def test_log_l2_loss_is_half_a_sum(spark):
     gap = frame(spark, [(0, [EPS], [1.0])])
     assert metrics.log_l2_loss(gap).first()["loss"] == pytest.approx(math.log(EPS) ** 2 / 2)
 
-
-def test_vector_expressions(spark):
-    df = spark.createDataFrame([([3.0, 4.0], [1.0, 2.0])], "a array<float>, b array<float>")
-    row = df.select(
-        vectors.norm(F.col("a")).alias("norm"),
-        vectors.dot(F.col("a"), F.col("b")).alias("dot"),
-        vectors.exp(vectors.log(F.col("b"))).alias("same"),
-    ).first()
-    assert (row["norm"], row["dot"]) == (5.0, 11.0)
-    assert row["same"] == pytest.approx([1.0, 2.0])
