@@ -48,7 +48,9 @@ def key_grid(
 ) -> DataFrame:
     """accounts x metrics x hours, grown out of the account rows without a join."""
     return (
-        accounts.select("account", "account_int", F.explode(_metric_array(metrics)).alias("metric_int"))
+        accounts.select(
+            "account", "account_int", F.explode(_metric_array(metrics)).alias("metric_int")
+        )
         .withColumn("metric", id_label(metrics, "metric_int"))
         .withColumn("hour", F.explode(hours(start, end)))
     )
@@ -58,14 +60,15 @@ def no_zero(value: Column) -> Column:
     return F.when(value == 0, EPS).otherwise(value.cast("double"))
 
 
-def _partitions(df: DataFrame) -> int:
+def wide_partitions(df: DataFrame) -> int:
     """Partitions for data that will grow many times over inside its tasks.
 
     A plain repartition would be merged by its size before the gaps are filled,
     leaving the windows of many series to a few tasks.
     """
     spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffled, spark.sparkContext.defaultParallelism)
 
 
 def _gathered(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -82,7 +85,7 @@ def _gathered(rows: DataFrame, keys: list[str]) -> DataFrame:
         )
     )
     return (
-        rows.repartition(_partitions(rows), *keys)
+        rows.repartition(wide_partitions(rows), *keys)
         .groupBy(*keys, "pos")
         .agg(F.count("*").alias("_n"), F.first("value").alias("value"))
         .withColumn("value", F.when(F.col("_n") > 1, clash).otherwise(F.col("value")))
@@ -143,7 +146,8 @@ def series_blocks(
     offset = F.col("_offset")
     beyond = origin + timedelta(hours=n_windows + width - 1 if n_windows else 0)
     rows = (
-        hourly.where((F.col("hour") >= hour_literal(origin)) & (F.col("hour") < hour_literal(beyond)))
+        hourly.where(F.col("hour") >= hour_literal(origin))
+        .where(F.col("hour") < hour_literal(beyond))
         .where(F.col("metric").isin(list(metrics)))
         .join(accounts.select("account", "account_int"), "account")
         .select(
@@ -191,12 +195,10 @@ def densify(
     Rows of a series leave in hour order.
     """
     blocks = series_blocks(hourly, accounts, metrics, start, end)
-    return blocks.select(*SERIES, F.col("hour").alias("_from"), F.posexplode("v").alias("_i", "value")).select(
-        *SERIES,
-        add_hours("_from", F.col("_i")).alias("hour"),
-        "value",
-        weekday(add_hours("_from", F.col("_i"))).alias("dayofweek"),
-    )
+    hour = add_hours("_from", F.col("_i"))
+    return blocks.select(
+        *SERIES, F.col("hour").alias("_from"), F.posexplode("v").alias("_i", "value")
+    ).select(*SERIES, hour.alias("hour"), "value", weekday(hour).alias("dayofweek"))
 
 
 def make_samples(blocks: DataFrame, lags: int, horizon: int) -> DataFrame:

@@ -12,7 +12,7 @@ from hourcast.config import METRIC_IDS, OPCODE_METRICS, ForecastConfig
 from hourcast.functions.time import parse
 from hourcast.operators.filters import keep_accounts, last_months, split_by_time
 from hourcast.operators.hourly import hourly_metrics
-from hourcast.operators.series import make_samples, series_blocks
+from hourcast.operators.series import BLOCK_HOURS, make_samples, series_blocks
 
 Range = tuple[datetime | str, datetime | str]
 
@@ -46,10 +46,16 @@ def window_blocks(
     config: ForecastConfig = ForecastConfig(),
     metrics: Mapping[str, int] = METRIC_IDS,
     labelled: bool = True,
+    block_hours: int = BLOCK_HOURS,
 ) -> DataFrame:
-    """Dense float32 arrays holding every window that starts within `anchors`."""
+    """Dense float32 arrays holding every window that starts within `anchors`.
+
+    Smaller blocks spread the work on few series over more tasks.
+    """
     width = config.width if labelled else config.lags
-    blocks = series_blocks(hourly, accounts, metrics, *grid, width=width, anchors=anchors)
+    blocks = series_blocks(
+        hourly, accounts, metrics, *grid, width=width, anchors=anchors, block_hours=block_hours
+    )
     return blocks.withColumn("v", F.col("v").cast("array<float>"))
 
 

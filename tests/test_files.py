@@ -132,9 +132,37 @@ def test_sql_file(spark, tmp_path):
     assert key_rows(df) == [("a", 3)]
 
 
-def test_shared_folder_comes_from_the_session(spark):
+def test_scratch_paths_lie_in_the_shared_folder(spark):
     folder = session.checkpoint_dir(spark)
-    assert spark.sparkContext.getCheckpointDir().startswith(folder.rstrip("/")[:4]) or folder
+    assert session.checkpoint_dir(spark) == folder
     one, two = session.scratch_path(spark, "x"), session.scratch_path(spark, "x")
     assert one != two and one.endswith("/x")
-    assert one.startswith(folder.rstrip("/"))
+    assert one.startswith(folder.rstrip("/") + "/")
+
+
+class FakeSession:
+    """A session on a cluster, with or without a shared folder."""
+
+    def __init__(self, folder):
+        self.folder, self.master, self.set_to = folder, "yarn", None
+        self.sparkContext, self.conf = self, self
+
+    def getCheckpointDir(self):
+        return None
+
+    def getConf(self):
+        return self
+
+    def get(self, key, default=None):
+        assert key == "spark.checkpoint.dir"
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.set_to = folder
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    named = FakeSession("hdfs:///shared")
+    assert session.checkpoint_dir(named) == named.set_to == "hdfs:///shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(FakeSession(None))

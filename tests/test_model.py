@@ -248,6 +248,15 @@ def test_forecast_by_hand(spark, blocks, accounts):
             assert r["y"] == pytest.approx(y) and r["yhat"] == pytest.approx(f, rel=1e-5)
 
 
+def test_labels_left_unread_change_nothing(blocks, accounts):
+    """Blocks overlap by more than a window without labels."""
+    fitted, _ = fit(blocks, accounts, replace(SMALL, batches=1, sub_steps=1))
+    with_labels = models.forecast(blocks, fitted).drop("y")
+    without = models.forecast(blocks, fitted, labelled=False)
+    assert without.count() == with_labels.count()
+    assert without.exceptAll(with_labels).isEmpty()
+
+
 def test_forecast_of_what_comes_next(hourly, accounts, blocks):
     fitted, _ = fit(blocks, accounts)
     latest = build.latest_windows(hourly, accounts, (START, at(HOURS)), SMALL, METRICS)
