@@ -4,7 +4,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+from fixtures import queries as contract
 from hourcast.config import METRIC_IDS
 from hourcast.operators import filters, hourly
 from tests.conftest import at, key_rows
