@@ -111,10 +111,15 @@ def _dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _blocks(spark: SparkSession, sf_dir: str, config=WINDOWS, anchors=None) -> DataFrame:
-    return build.window_blocks(
-        _hourly(spark, sf_dir), _accounts(spark, sf_dir), GRID, anchors, config
-    )
+def _blocks(
+    spark: SparkSession,
+    sf_dir: str,
+    config: ForecastConfig = WINDOWS,
+    anchors: build.Range | None = None,
+    table: DataFrame | None = None,
+) -> DataFrame:
+    table = _hourly(spark, sf_dir) if table is None else table
+    return build.window_blocks(table, _accounts(spark, sf_dir), GRID, anchors, config)
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -348,16 +353,26 @@ def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _fit(spark: SparkSession, sf_dir: str):
-    return fit_forecaster(
-        _blocks(spark, sf_dir, SMALL_NET, SMALL_TRAIN),
-        _blocks(spark, sf_dir, SMALL_NET, SMALL_VALID),
-        _accounts(spark, sf_dir),
-        len(METRIC_IDS),
-        SMALL_NET,
+def _stored_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly table written out, for runs that read it more than once."""
+    path = scratch_path(spark, "hourly")
+    sinks.write_hourly(_hourly(spark, sf_dir), path)
+    return hourly_files.read_hourly(spark, path)
+
+
+def _train_and_valid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    table = _stored_hourly(spark, sf_dir)
+    return tuple(
+        _blocks(spark, sf_dir, SMALL_NET, between, table) for between in (SMALL_TRAIN, SMALL_VALID)
     )
 
 
+def _fit(spark: SparkSession, sf_dir: str) -> tuple[Model, DataFrame]:
+    train, valid = _train_and_valid(spark, sf_dir)
+    accounts = _accounts(spark, sf_dir)
+    return fit_forecaster(train, valid, accounts, len(METRIC_IDS), SMALL_NET)
+
+
 def fit_forecaster_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fit(spark, sf_dir)[1]
 
@@ -409,10 +424,8 @@ def forecast_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train, store, load again, and score every account on later windows."""
     path, accounts = scratch_path(spark, "models"), _named_accounts(spark, sf_dir)
-    valid = _blocks(spark, sf_dir, SMALL_NET, SMALL_VALID)
-    forecasting.train_and_store(
-        _blocks(spark, sf_dir, SMALL_NET, SMALL_TRAIN), valid, accounts, path, "net", 0, SMALL_NET
-    )
+    train, valid = _train_and_valid(spark, sf_dir)
+    forecasting.train_and_store(train, valid, accounts, path, "net", 0, SMALL_NET)
     return forecasting.score_stored(valid, accounts, path, "net")
 
 
@@ -491,9 +504,7 @@ def samples_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "hourly")
-    sinks.write_hourly(_hourly(spark, sf_dir), path)
-    return hourly_files.read_hourly(spark, path)
+    return _stored_hourly(spark, sf_dir)
 
 
 def events_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
