@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from hourcast.session import checkpoint_dir
+
 # Keys drawn to place the range boundaries, and the largest number of ranges.
 SAMPLE_KEYS = 4096
 RANGES = 512
@@ -38,9 +40,11 @@ def dense_ids(keys: DataFrame, key: str, into: str) -> DataFrame:
     Keys are put into ranges whose boundaries come from the keys of lowest
     hash, a fixed-size draw, so a large key set is numbered in parallel. The
     draw shapes only the balance; the numbers are exact for any boundaries. A
-    key set no larger than the draw is numbered as one range.
+    key set no larger than the draw is numbered as one range. The distinct keys
+    are kept in the shared folder, so `keys` is read once.
     """
-    distinct = keys.select(key).where(F.col(key).isNotNull()).distinct()
+    checkpoint_dir(keys.sparkSession)
+    distinct = keys.select(key).where(F.col(key).isNotNull()).distinct().checkpoint()
     drawn = sorted(
         row[0] for row in distinct.orderBy(F.xxhash64(key), key).limit(SAMPLE_KEYS).collect()
     )
