@@ -9,7 +9,6 @@ from fixtures.settings import (
     GRID,
     HORIZON,
     LAGS,
-    SINGLE_METRICS,
     SMALL_NET,
     SPOT,
     TINY_NET,
@@ -180,12 +179,11 @@ _SINGLE_HOURLY = (
     f"WITH {_SIGNALLING},{_SESSIONS},".replace("CAST(user_id AS VARCHAR)", "'all'") + _hourly_sql()
 )
 
-_SINGLE = (
-    f"{_SINGLE_HOURLY},{_ACCOUNTS},"
-    + "\nmetric_ids(metric, metric_int) AS (VALUES "
-    + ", ".join(f"('{name}', {number})" for name, number in SINGLE_METRICS.items())
-    + f"),{_GRID},{_DENSE},{_window_sums(LAGS, HORIZON)}{_SAMPLE_SUMMARY}"
-)
+_SINGLE = f"""{_SINGLE_HOURLY},{_ACCOUNTS},
+metric_ids AS (
+  SELECT metric, CAST(row_number() OVER (ORDER BY metric) - 1 AS INTEGER) AS metric_int
+  FROM (SELECT DISTINCT metric FROM hourly)
+),{_GRID},{_DENSE},{_window_sums(LAGS, HORIZON)}{_SAMPLE_SUMMARY}"""
 
 
 def _given_weights_sql() -> str:

@@ -24,7 +24,6 @@ from fixtures.settings import (
     LAGS,
     OPCODES,
     ORDERS_AS_OF,
-    SINGLE_METRICS,
     SMALL_NET,
     SMALL_TRAIN,
     SMALL_VALID,
@@ -445,23 +444,23 @@ def _single_account(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 
 def single_account_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Samples of the single-account layout, with its own metric ids."""
+    """Samples of the single-account layout, with metric ids taken from the data."""
     table, accounts = _single_account(spark, sf_dir)
-    blocks = build.window_blocks(table, accounts, GRID, None, WINDOWS, SINGLE_METRICS)
+    ids = keys.label_ids(table, "metric")
+    blocks = build.window_blocks(table, accounts, GRID, None, WINDOWS, ids)
     return _summary(series.make_samples(blocks, LAGS, HORIZON))
 
 
 def single_account_forecaster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training without account vectors, a day to a block."""
     table, accounts = _single_account(spark, sf_dir)
+    ids = keys.label_ids(table, "metric")
     config = replace(SMALL_NET, account_dim=0, metric_dim=4, weekday_dim=4)
     train, valid = (
-        build.window_blocks(
-            table, accounts, GRID, between, config, SINGLE_METRICS, block_hours=24
-        )
+        build.window_blocks(table, accounts, GRID, between, config, ids, block_hours=24)
         for between in (SMALL_TRAIN, SMALL_VALID)
     )
-    return fit_forecaster(train, valid, accounts, len(SINGLE_METRICS), config)[1]
+    return fit_forecaster(train, valid, accounts, len(ids), config)[1]
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,8 +18,6 @@ LAGS, HORIZON = 168, 24
 WINDOWS = ForecastConfig(lags=LAGS, horizon=HORIZON)
 TRAIN = ("2024-01-01 00:00:00", "2024-01-10 23:00:00")
 VALID = ("2024-01-20 00:00:00", "2024-01-22 23:00:00")
-# Single-account ids, numbered by label.
-SINGLE_METRICS = {name: i for i, name in enumerate(sorted(METRIC_IDS))}
 SPOT = "2024-01-15 12:00:00"
 SMALL_NET = ForecastConfig(
     account_dim=3,

@@ -57,6 +57,17 @@ def dense_ids(keys: DataFrame, key: str, into: str) -> DataFrame:
     return numbered.select(key, F.col(into).cast("int"))
 
 
+def label_ids(rows: DataFrame, label: str, most: int = 10_000) -> dict[str, int]:
+    """A dictionary of all labels in a column, numbered from 0 in label order.
+
+    For columns of few labels, such as metrics; more than `most` are an error.
+    """
+    found = dense_ids(rows, label, "_id").limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{label} has more than {most} values")
+    return {row[label]: row["_id"] for row in sorted(found, key=lambda row: row["_id"])}
+
+
 def label_id(ids: Mapping[str, int], label: Column | str) -> Column:
     """Id of a label from a fixed dictionary; NULL when it is not in there."""
     pairs = [F.lit(part) for item in ids.items() for part in item]

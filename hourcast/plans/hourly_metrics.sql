@@ -3,7 +3,7 @@
 -- {sessions}:   account, ts, code, rectype, subscriber, year, month
 -- {accounts}:   account
 WITH op_counts AS (
-  SELECT account, date_trunc('hour', ts) :: timestamp_ntz AS hour, op, count(*) AS n
+  SELECT account, ts :: date :: timestamp_ntz + hour(ts) * INTERVAL '1' HOUR AS hour, op, count(*) AS n
   FROM {signalling}
   WHERE op IS NOT NULL
     AND array_contains(:months, year * 100 + month)
@@ -20,7 +20,7 @@ signalling_metrics AS (
   FROM op_rollup
 ),
 session_hours AS (
-  SELECT account, date_trunc('hour', ts) :: timestamp_ntz AS hour,
+  SELECT account, ts :: date :: timestamp_ntz + hour(ts) * INTERVAL '1' HOUR AS hour,
          count_if(code = 128 AND rectype = 1) AS created,
          count_if(code = 128 AND rectype = 2) AS deleted,
          count(DISTINCT subscriber) AS subscribers

@@ -45,3 +45,9 @@ def test_an_account_listed_twice_is_an_error(spark):
     listed = spark.createDataFrame([("a", "x"), ("a", "y")], "account string, accountname string")
     with pytest.raises(Exception, match="listed twice"):
         account_dimension(listed).collect()
+
+
+def test_label_dictionary(spark):
+    assert keys.label_ids(frame(spark, ["y", "x", "y", None]), "account") == {"x": 0, "y": 1}
+    with pytest.raises(ValueError, match="more than 2"):
+        keys.label_ids(frame(spark, ["x", "y", "z"]), "account", 2)

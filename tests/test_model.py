@@ -141,6 +141,19 @@ def test_unknown_activation():
         assert slope(apply(x)) == pytest.approx(numeric, abs=1e-6)
 
 
+def test_adam_by_the_book():
+    """m and v corrected for their start at 0, the usual way of writing it."""
+    config = replace(SMALL, learning_rate=0.05)
+    adam = models._Adam(config, {"w": np.array([1.0, -2.0, 3.0])})
+    rng, w, m, v = np.random.default_rng(3), np.array([1.0, -2.0, 3.0]), 0.0, 0.0
+    for t in range(1, 6):
+        g = rng.normal(size=3) * 10
+        adam.update(g)
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w = w - 0.05 * (m / (1 - 0.9**t)) / np.sqrt(v / (1 - 0.999**t))
+        assert adam.weights["w"] == pytest.approx(w, rel=1e-6)
+
+
 def test_pack_is_undone_by_unpack():
     weights = network.initial_weights(SMALL, 2, 0)
     again = network.unpack(network.pack(weights), weights)
