@@ -138,6 +138,12 @@ _SMAPE = (
 )
 
 
+_NAMED_SCORES = """
+SELECT account_int, smape, n, account, c_name AS accountname
+FROM scores JOIN accounts USING (account_int)
+LEFT JOIN customer ON CAST(c_custkey AS VARCHAR) = account"""
+
+
 def _filtered() -> str:
     kept = """account IN (SELECT account FROM top)
   AND ts >= TIMESTAMP '2023-10-01' AND ts < TIMESTAMP '2024-02-01'"""
@@ -231,8 +237,9 @@ SELECT account_int, metric_int, hour, dayofweek, CAST(i AS INTEGER) AS step,
 FROM out JOIN latest USING (account_int, metric_int)"""
 
 
-def _training_gradient_sql() -> str:
-    """Forward and backward pass as columns of every window, then their sums.
+def _network_sql() -> tuple[str, str]:
+    """Forward and backward pass as columns of every window, and the sums of the
+    gradient.
 
     e: embeddings, a and b: relu layers, s: sigmoid layer, d: error of the
     output; da, db, ds: errors ahead of the activations; l: log values.
@@ -314,8 +321,7 @@ def _training_gradient_sql() -> str:
             for j in range(size)
         ]
         at += size
-    chain = " UNION ALL\n".join(rows)
-    return f"""{_SERIES},
+    forward = f"""{_SERIES},
 shifted AS (
   SELECT *, {after} FROM dense WINDOW series AS (PARTITION BY account_int, metric_int ORDER BY hour)
 ),
@@ -323,11 +329,18 @@ embedded AS (SELECT *, {keys} FROM shifted WHERE l{net.width - 1} IS NOT NULL),
 first AS (SELECT *, {layer(columns("e", n_keys), "relu1", "greatest(0, {})", "a")} FROM embedded),
 second AS (SELECT *, {layer(columns("a", relu), "relu2", "greatest(0, {})", "b")} FROM first),
 wide AS (SELECT *, {layer(below, "wide", "1 / (1 + exp(-({})))", "s")} FROM second),
-output AS (SELECT *, {errors} FROM wide),
-back1 AS (SELECT *, {back(columns("d", horizon), "out", hidden, "s{i} * (1 - s{i})", "ds")} FROM output),
-back2 AS (SELECT *, {back(columns("ds", hidden), "wide", relu, step.format("b"), "db")} FROM back1),
-back3 AS (SELECT *, {back(columns("db", relu), "relu2", relu, step.format("a"), "da")} FROM back2),
-errors AS MATERIALIZED (SELECT *, {back(columns("da", relu), "relu1", n_keys, "1", "de")} FROM back3),
+output AS (SELECT *, {errors} FROM wide)"""
+
+    ahead_wide = back(columns("d", horizon), "out", hidden, "s{i} * (1 - s{i})", "ds")
+    ahead_relu2 = back(columns("ds", hidden), "wide", relu, step.format("b"), "db")
+    ahead_relu1 = back(columns("db", relu), "relu2", relu, step.format("a"), "da")
+    of_keys = back(columns("da", relu), "relu1", n_keys, "1", "de")
+    chain = " UNION ALL\n".join(rows)
+    gradient = f"""{forward},
+back1 AS (SELECT *, {ahead_wide} FROM output),
+back2 AS (SELECT *, {ahead_relu2} FROM back1),
+back3 AS (SELECT *, {ahead_relu1} FROM back2),
+errors AS MATERIALIZED (SELECT *, {of_keys} FROM back3),
 sums AS MATERIALIZED (SELECT {sums} FROM errors)
 SELECT name, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j,
        round(total / (SELECT count(*) FROM errors), 6) AS mean
@@ -335,8 +348,19 @@ FROM (
 {chain}
 )"""
 
+    predicted = " UNION ALL ".join(
+        f"SELECT account_int, exp(l{net.lags + h}) AS y, "
+        f"CAST(CAST(exp(d{h} + l{net.lags + h}) AS FLOAT) AS DOUBLE) AS yhat FROM output"
+        for h in range(horizon)
+    )
+    scores = f"""{forward},
+cells AS ({predicted}),
+scores AS (SELECT account_int, {_SMAPE} FROM cells GROUP BY 1){_NAMED_SCORES}"""
+    return gradient, scores
+
 
 def oracle_sql() -> dict[str, str]:
+    training_gradient, score_given_weights = _network_sql()
     hourly_rows = f"{_HOURLY} SELECT * FROM hourly"
     ids = f"{_HOURLY},{_ACCOUNTS},{_METRICS}"
     wide = ", ".join(
@@ -391,7 +415,8 @@ FROM dense WINDOW w AS (PARTITION BY account_int, metric_int ORDER BY hour)""",
         "make_samples": f"{_SAMPLES}{_SAMPLE_SUMMARY}",
         "single_account_samples": _SINGLE,
         "forecast_given_weights": _given_weights_sql(),
-        "training_gradient": _training_gradient_sql(),
+        "training_gradient": training_gradient,
+        "score_given_weights": score_given_weights,
         "samples_wide": wide_sums,
         "samples_csv_roundtrip": wide_sums,
         "single_account_csv": f"{_SINGLE_HOURLY} SELECT * FROM hourly",
@@ -412,10 +437,7 @@ FROM split WHERE split IS NOT NULL GROUP BY 1, 2, 3""",
         "spot_check": f"{_SERIES} SELECT * FROM dense WHERE hour = TIMESTAMP '{SPOT}'",
         "smape": f"{_SERIES},{_CELLS} SELECT {_SMAPE} FROM cells",
         "score_by_account": f"""{_SERIES},{_CELLS},
-scores AS (SELECT account_int, {_SMAPE} FROM cells GROUP BY 1)
-SELECT account_int, smape, n, account, c_name AS accountname
-FROM scores JOIN accounts USING (account_int)
-LEFT JOIN customer ON CAST(c_custkey AS VARCHAR) = account""",
+scores AS (SELECT account_int, {_SMAPE} FROM cells GROUP BY 1){_NAMED_SCORES}""",
         "log_l2_loss": f"""{_SERIES},{_CELLS}
 SELECT account_int, metric_int, round(sum((ln(y) - ln(yhat)) ** 2) / 2, 4) AS loss, count(*) AS n
 FROM cells GROUP BY 1, 2""",

@@ -376,18 +376,24 @@ def fit_forecaster_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fit(spark, sf_dir)[1]
 
 
-def forecast_given_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hours after the last one by a network whose weights follow a rule."""
-    config = replace(SMALL_NET, precision="float64")
-    accounts = _accounts(spark, sf_dir)
+def _given_model(spark: SparkSession, sf_dir: str, config: ForecastConfig) -> Model:
+    """A model whose weights follow the rule."""
     cells = [
         (F.pmod(F.col("account_int") * 7 + 3 * i + ACCOUNT_SHIFT, F.lit(17)) - 8) / 40
         for i in range(config.account_dim)
     ]
-    vectors = accounts.select(F.col("account_int").alias("id"), F.array(*cells).alias("vec"))
+    vectors = _accounts(spark, sf_dir).select(
+        F.col("account_int").alias("id"), F.array(*cells).alias("vec")
+    )
+    return Model(config, given_weights(config), vectors)
+
+
+def forecast_given_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hours after the last one by a network whose weights follow a rule."""
+    config = replace(SMALL_NET, precision="float64")
+    accounts = _accounts(spark, sf_dir)
     latest = build.latest_windows(_hourly(spark, sf_dir), accounts, GRID, config)
-    model = Model(config, given_weights(config), vectors)
-    return forecast(latest, model, labelled=False).select(
+    return forecast(latest, _given_model(spark, sf_dir, config), labelled=False).select(
         "account_int",
         "metric_int",
         "hour",
@@ -396,6 +402,14 @@ def forecast_given_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def score_given_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts from every window by such a network, scored by account."""
+    model = _given_model(spark, sf_dir, TINY_NET)
+    forecasts = forecast(_blocks(spark, sf_dir, TINY_NET), model)
+    scores = metrics.score_by_account(forecasts, _named_accounts(spark, sf_dir))
+    return scores.withColumn("smape", F.round("smape", 6))
+
+
 def training_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean gradient by every weight, and mean loss, over all windows."""
     weights = given_weights(TINY_NET)
@@ -562,6 +576,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_stored": score_stored,
     "neighbour_report": neighbour_report,
     "forecast_given_weights": forecast_given_weights,
+    "score_given_weights": score_given_weights,
     "training_gradient": training_gradient,
     "single_account_samples": single_account_samples,
     "single_account_forecaster": single_account_forecaster,
