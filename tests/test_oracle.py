@@ -15,7 +15,10 @@ def db():
 
 @pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_equals_its_oracle(spark, db, name):
-    ours = contract.queries()[name](spark, SF).toPandas()
+    df = contract.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    ours = df.toPandas()
     assert len(ours)
     assert compare(ours, db.sql(contract.oracle_sql()[name]).df()) == ""
 
