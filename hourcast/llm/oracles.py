@@ -67,14 +67,14 @@ FROM d LEFT JOIN pos USING (r) LEFT JOIN items USING (r)
 """
 
 SIGNATURE_TREE = rf"""
-WITH RECURSIVE d AS (
+WITH RECURSIVE d AS MATERIALIZED (
   SELECT row_number() OVER () AS r, doc_id,
     regexp_extract_all(translate(coalesce(text, ''), '{UP}', '{LOW}'), '{SPACE_WORD}') AS ws FROM documents
 ), s AS (
   SELECT DISTINCT r, array_to_string(ws[i:i + 3], ' ') AS s
   FROM (SELECT r, ws, unnest(generate_series(1, greatest(len(ws) - 3, 1))) AS i FROM d WHERE len(ws) > 0)
-), n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
-common AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.r <> b.r GROUP BY ALL),
+), n AS MATERIALIZED (SELECT r, count(*) AS n FROM s GROUP BY r),
+common AS MATERIALIZED (SELECT a.r AS x, b.r AS y, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.r <> b.r GROUP BY ALL),
 link AS (
   SELECT x, y FROM common JOIN n a ON a.r = x JOIN n b ON b.r = y WHERE 100 * c >= 85 * (a.n + b.n - c)
 ), reach AS (SELECT r AS x, r AS y FROM d UNION SELECT reach.x, link.y FROM reach JOIN link ON link.x = reach.y)
