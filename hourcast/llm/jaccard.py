@@ -9,14 +9,17 @@ largest bitmap excess (tokens minus bits); leaves hold a bitmap of their whole s
 
 Traversal is dual, a tree against itself, in two sweeps:
 
-1. each leaf against the first leaf of its tree. Verified links make components, so
-   copies of one text, however many, end in one inner node;
-2. pairs of different inner nodes of a tree. A pair is pruned when size ranges, or
-   common bits of the OR-bitmaps plus the smaller excess, cannot reach t; then its
-   leaves are paired, pruned by their own bitmaps and sizes, and verified.
+1. each leaf against the leaf of its tree that is in most trees (copies with changes have
+   tokens of their own, the text they come from has none). Verified links make components,
+   so copies of one text, however many, end in one inner node;
+2. pairs of different inner nodes of a tree. A pair is pruned when size ranges, the tokens
+   that follow the root, or common bits of the OR-bitmaps plus the smaller excess cannot
+   reach t. Remaining pairs of components are compared in chunks of about `CHUNK` leaves:
+   leaf pairs are pruned by sizes and bitmaps inside a task, and the rest is verified.
 
 Pairs inside one inner node are never made: their leaves are connected already. Links
-between different components are all found, so components are exact.
+between different components are all found, so components are exact. (If two similar sets
+first meet at a root, they share no token before it, so at most the tokens from it on.)
 
 Order of tokens: tokens that many documents hold come last, so that passages shared by
 many documents are roots only where they make up nearly a whole document. They are
@@ -40,12 +43,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourcast.llm.graph import components
-from hourcast.llm.shingles import bitmap, most_common, shared, shingle_sets
+from hourcast.llm.shingles import bitmap, folded, most_common, shared, shingle_sets
 from hourcast.llm.text import stored, whole_text
 
 FREQUENT = 500_000
 LEAST_FREQUENT = 64
 NODE_WORDS = 16
+CHUNK = 128
 _SETS_HELD = 2_000
 
 
@@ -96,7 +100,7 @@ def _sketches(width: int, percent: int, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = frequent.value
         for batch in batches:
-            n, sig, prefix, bits, node = [], [], [], [], []
+            n, sig, prefix, bits = [], [], [], []
             for tokens in shingle_sets(batch["text"], width):
                 size = len(tokens)
                 n.append(size)
@@ -104,7 +108,6 @@ def _sketches(width: int, percent: int, frequent):
                     sig.append(None)
                     prefix.append(tokens.view(np.int64))
                     bits.append(b"")
-                    node.append(np.zeros(NODE_WORDS, dtype=np.int64))
                     continue
                 sig.append(blake2b(tokens.tobytes(), digest_size=16).digest())
                 if len(last):
@@ -116,9 +119,6 @@ def _sketches(width: int, percent: int, frequent):
                 # Any similar set shares at least ceil(t size) of the tokens.
                 prefix.append(ordered[: size + -percent * size // 100 + 1].view(np.int64))
                 bits.append(bitmap(tokens))
-                flags = np.zeros(64 * NODE_WORDS, dtype=bool)
-                flags[(tokens & np.uint64(64 * NODE_WORDS - 1)).astype(np.int64)] = True
-                node.append(np.packbits(flags).view(np.int64))
             offsets = np.concatenate(([0], np.cumsum([len(p) for p in prefix]))).astype(np.int32)
             yield pa.record_batch(
                 {
@@ -130,44 +130,55 @@ def _sketches(width: int, percent: int, frequent):
                         offsets, np.concatenate(prefix) if prefix else np.empty(0, dtype=np.int64)
                     ),
                     "bits": pa.array(bits, pa.binary()),
-                    "node_bits": pa.ListArray.from_arrays(
-                        np.arange(0, NODE_WORDS * len(node) + 1, NODE_WORDS, dtype=np.int32),
-                        np.concatenate(node) if node else np.empty(0, dtype=np.int64),
-                    ),
                 }
             )
 
     return run
 
 
-_SKETCH = (
-    "doc_id long, text_hash long, n long, sig binary, prefix array<long>, bits binary, "
-    "node_bits array<long>"
-)
+_SKETCH = "doc_id long, text_hash long, n long, sig binary, prefix array<long>, bits binary"
 
 
-def reaches(common: Column, n_a: Column, n_b: Column, percent: int) -> Column:
-    return 100 * common >= percent * (n_a + n_b - common)
+def _node_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bitmaps folded to the words of an inner node."""
+    for batch in batches:
+        words = [folded(bits, 8 * NODE_WORDS).view(np.int64) for bits in batch["bits"].to_pylist()]
+        yield pa.record_batch(
+            {
+                "node": batch["node"],
+                "node_bits": pa.array([w.tolist() for w in words], pa.list_(pa.int64())),
+            }
+        )
 
 
 def _prune(percent: int):
-    """Pairs whose bitmaps leave room for the similarity."""
+    """Leaf pairs of two lists of leaves whose sizes and bitmaps leave room for the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, bits_a, bits_b, n_a, n_b = (
-                batch[name].to_pylist() for name in ("a", "b", "bits_a", "bits_b", "n_a", "n_b")
-            )
-            keep = []
-            for k in range(len(a)):
-                most = most_common(bits_a[k], n_a[k], bits_b[k], n_b[k])
-                keep.append(100 * most >= percent * (n_a[k] + n_b[k] - most))
-            yield pa.record_batch(
-                {
-                    "a": pa.array([x for x, k in zip(a, keep, strict=True) if k], pa.int64()),
-                    "b": pa.array([x for x, k in zip(b, keep, strict=True) if k], pa.int64()),
-                }
-            )
+            # One pair of chunks at a time.
+            for k in range(len(batch)):
+                one, two = batch["one"][k].as_py(), batch["two"][k].as_py()
+                # Bitmaps of one length are compared at once.
+                lengths: dict[int, list[int]] = {}
+                for i, leaf in enumerate(two):
+                    lengths.setdefault(len(leaf["bits"]), []).append(i)
+                a, b = [], []
+                for rows in lengths.values():
+                    bits = np.array([np.frombuffer(two[i]["bits"], dtype=np.uint8) for i in rows])
+                    sizes = np.array([two[i]["n"] for i in rows])
+                    for leaf in one:
+                        n = leaf["n"]
+                        most = np.minimum(
+                            most_common(leaf["bits"], n, bits, sizes), np.minimum(n, sizes)
+                        )
+                        for i in np.flatnonzero(100 * most >= percent * (n + sizes - most)).tolist():
+                            a.append(leaf["node"])
+                            b.append(two[rows[i]]["node"])
+                if a:
+                    yield pa.record_batch(
+                        {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}
+                    )
 
     return run
 
@@ -208,61 +219,64 @@ def _exact(width: int, percent: int):
     return run
 
 
-def _links(
-    pairs: DataFrame, leaves: DataFrame, texts: DataFrame, width: int, percent: int
-) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
-    sketch = leaves.select("node", "n", "bits")
-    bounded = (
-        pairs.join(sketch.toDF("a", "n_a", "bits_a"), "a")
-        .join(sketch.toDF("b", "n_b", "bits_b"), "b")
-        .mapInArrow(_prune(percent), "a long, b long")
-    )
+def _links(candidates: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs of `one` and `two` (arrays of leaves) whose sets reach the similarity."""
+    pairs = candidates.select("one", "two").mapInArrow(_prune(percent), "a long, b long")
     return stored(
-        bounded.join(texts.toDF("a", "text_a"), "a")
+        pairs.join(texts.toDF("a", "text_a"), "a")
         .join(texts.toDF("b", "text_b"), "b")
         .mapInArrow(_exact(width, percent), "a long, b long"),
         "links",
     )
 
 
-def _tree_pairs(trees: DataFrame, percent: int) -> DataFrame:
-    """Leaves of different inner nodes of a tree whose nodes leave room for the similarity."""
+def _sizes_fit(one: Column, two: Column, percent: int) -> Column:
+    return (100 * one >= percent * two) & (100 * two >= percent * one)
+
+
+def _component_pairs(trees: DataFrame, percent: int) -> DataFrame:
+    """Components c1 < c2 that have, in some tree, inner nodes with room for the similarity."""
     bits = [F.get("node_bits", F.lit(k)) for k in range(NODE_WORDS)]
     excess = F.col("n") - sum(F.bit_count(x) for x in bits)
     inner = trees.groupBy("token", "component").agg(
         F.min("n").alias("least"),
         F.max("n").alias("most"),
+        F.max("room").alias("room"),
         F.max(excess).alias("excess"),
         *(F.bit_or(x).alias(f"w{k}") for k, x in enumerate(bits)),
     )
-    names = ("least", "most", "excess", *(f"w{k}" for k in range(NODE_WORDS)))
-    one = inner.select("token", F.col("component").alias("c1"), *(F.col(x).alias(f"{x}_1") for x in names))
-    two = inner.select("token", F.col("component").alias("c2"), *(F.col(x).alias(f"{x}_2") for x in names))
+    names = ("least", "most", "room", "excess", *(f"w{k}" for k in range(NODE_WORDS)))
+    one, two = (
+        inner.select("token", F.col("component").alias(f"c{s}"), *(F.col(x).alias(f"{x}_{s}") for x in names))
+        for s in (1, 2)
+    )
     common = sum(
         F.bit_count(F.col(f"w{k}_1").bitwiseAND(F.col(f"w{k}_2"))) for k in range(NODE_WORDS)
     ) + F.least("excess_1", "excess_2")
-    nodes = (
+    # Similar sets share t / (1 + t) of their sizes' sum.
+    needed = percent * (F.col("least_1") + F.col("least_2"))
+    return (
         one.join(two, "token")
         .filter(F.col("c1") < F.col("c2"))
         .filter(
             (100 * F.col("most_1") >= percent * F.col("least_2"))
             & (100 * F.col("most_2") >= percent * F.col("least_1"))
-            # Similar sets share t / (1 + t) of their sizes' sum.
-            & ((100 + percent) * common >= percent * (F.col("least_1") + F.col("least_2")))
+            & ((100 + percent) * F.least("room_1", "room_2") >= needed)
+            & ((100 + percent) * common >= needed)
         )
-        .select("token", "c1", "c2")
+        .select("c1", "c2")
+        .distinct()
     )
-    leaf = trees.select("token", "component", "node", "n")
+
+
+def _chunks(leaves: DataFrame) -> DataFrame:
+    """component, chunk, leaves: about CHUNK (node, n, bits) of a component together."""
+    counts = leaves.groupBy("component").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
     return (
-        nodes.join(leaf.toDF("token", "c1", "a", "n_a"), ["token", "c1"])
-        .join(leaf.toDF("token", "c2", "b", "n_b"), ["token", "c2"])
-        .filter(
-            (100 * F.col("n_a") >= percent * F.col("n_b"))
-            & (100 * F.col("n_b") >= percent * F.col("n_a"))
-        )
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+        leaves.join(counts, "component")
+        .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
+        .groupBy("component", "chunk")
+        .agg(F.collect_list(F.struct("node", "n", "bits")).alias("leaves"))
     )
 
 
@@ -281,20 +295,23 @@ def similar_groups(df: DataFrame, width: int = 5, percent: int = 80) -> DataFram
         .agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first"),
             F.count("*").alias("copies"),
-            *(F.first(x).alias(x) for x in ("n", "prefix", "bits", "node_bits")),
+            *(F.first(x).alias(x) for x in ("n", "prefix", "bits")),
         )
-        .select("sig", "first.doc_id", "first.text_hash", "copies", "n", "prefix", "bits", "node_bits")
+        .select("sig", "first.doc_id", "first.text_hash", "copies", "n", "prefix", "bits")
         .withColumn("node", F.monotonically_increasing_id()),
         "leaves",
     )
-    roots = leaves.select("node", "n", F.explode("prefix").alias("token"))
+    roots = leaves.select("node", "n", F.posexplode("prefix").alias("at", "token"))
     spread = (
         roots.groupBy("token")
-        .agg(F.min("node").alias("head"), F.max("node").alias("last"))
-        .filter("head < last")
-        .select("token", "head")
+        .agg(F.min("node").alias("low"), F.max("node").alias("high"))
+        .filter("low < high")
+        .select("token")
+    )
+    trees = stored(
+        roots.join(spread, "token").select("token", "node", "n", (F.col("n") - F.col("at")).alias("room")),
+        "trees",
     )
-    trees = stored(roots.join(spread, "token"), "trees")
     listed = trees.select("node").distinct()
     texts = stored(
         rows.join(
@@ -307,17 +324,23 @@ def similar_groups(df: DataFrame, width: int = 5, percent: int = 80) -> DataFram
         .dropDuplicates(["node"]),
         "texts",
     )
-    sized = trees.join(leaves.select(F.col("node").alias("head"), F.col("n").alias("n_head")), "head")
+    weights = trees.groupBy("node").agg(F.count("*").alias("weight"))
+    heads = (
+        trees.join(weights, "node")
+        .groupBy("token")
+        .agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"), "n")).alias("h"))
+        .select("token", (-F.col("h.minus")).alias("head"), F.col("h.n").alias("n_head"))
+    )
     first = (
-        sized.filter(
-            (F.col("node") != F.col("head"))
-            & (100 * F.col("n") >= percent * F.col("n_head"))
-            & (100 * F.col("n_head") >= percent * F.col("n"))
-        )
-        .select(F.col("head").alias("a"), F.col("node").alias("b"))
+        trees.join(heads, "token")
+        .filter((F.col("node") != F.col("head")) & _sizes_fit(F.col("n"), F.col("n_head"), percent))
+        .select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b"))
         .distinct()
     )
-    links = _links(first, leaves, texts, width, percent)
+    leaf = leaves.select("node", F.array(F.struct("node", "n", "bits")).alias("leaf"))
+    links = _links(
+        first.join(leaf.toDF("a", "one"), "a").join(leaf.toDF("b", "two"), "b"), texts, width, percent
+    )
     known = stored(components(links), "components")
     inner = trees.join(known, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
@@ -328,12 +351,22 @@ def similar_groups(df: DataFrame, width: int = 5, percent: int = 80) -> DataFram
         .filter("low < high")
         .select("token")
     )
-    open_trees = stored(
-        inner.join(mixed, "token", "left_semi").join(leaves.select("node", "node_bits"), "node"),
-        "open",
+    open_trees = stored(inner.join(mixed, "token", "left_semi"), "open")
+    open_leaves = leaves.join(
+        open_trees.select("node", "component").distinct(), "node"
+    ).select("node", "component", "n", "bits")
+    node_bits = open_leaves.select("node", "bits").mapInArrow(
+        _node_bits, "node long, node_bits array<long>"
+    )
+    pairs = stored(_component_pairs(open_trees.join(node_bits, "node"), percent), "pairs")
+    chunks = stored(_chunks(open_leaves), "chunks")
+    more = _links(
+        pairs.join(chunks.select(F.col("component").alias("c1"), F.col("leaves").alias("one")), "c1")
+        .join(chunks.select(F.col("component").alias("c2"), F.col("leaves").alias("two")), "c2"),
+        texts,
+        width,
+        percent,
     )
-    second = stored(_tree_pairs(open_trees, percent), "pairs")
-    more = _links(second, leaves, texts, width, percent)
     spokes = known.select(F.col("node").alias("a"), F.col("component").alias("b")).filter("a <> b")
     final = components(spokes.unionByName(more))
     grouped = leaves.select("node", "sig", "doc_id", "copies").join(final, "node", "left")

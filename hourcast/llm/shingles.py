@@ -61,22 +61,29 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    """One bit for each token by its low bits; about two bits of room for each token."""
-    size = 1 << max(6, (2 * len(tokens) - 1).bit_length() if len(tokens) else 6)
+    """One bit for each token by its low bits; two bits of room for each, 1,024 at least."""
+    size = 1 << max(10, (2 * len(tokens) - 1).bit_length())
     bits = np.zeros(size, dtype=bool)
     bits[(tokens & np.uint64(size - 1)).astype(np.int64)] = True
     return np.packbits(bits).tobytes()
 
 
-def most_common(a: bytes, n_a: int, b: bytes, n_b: int) -> int:
-    """The most tokens two sets can share by their bitmaps: a bit that only one has is a token that only one has."""
-    x, y = np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)
-    size = min(len(x), len(y))
-    x = np.bitwise_or.reduce(x.reshape(-1, size), axis=0)
-    y = np.bitwise_or.reduce(y.reshape(-1, size), axis=0)
-    only_x = int(np.bitwise_count(x & ~y).sum())
-    only_y = int(np.bitwise_count(y & ~x).sum())
-    return min(n_a - only_x, n_b - only_y)
+def folded(bits: bytes, size: int) -> np.ndarray:
+    """A bitmap of `size` bytes with the same tokens."""
+    return np.bitwise_or.reduce(np.frombuffer(bits, dtype=np.uint8).reshape(-1, size), axis=0)
+
+
+def most_common(bits: bytes, n: int, others: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The most tokens a set can share with each of others (rows of bitmaps of one length).
+
+    A bit that only one of two sets has is a token that only one has.
+    """
+    length = min(len(bits), others.shape[1])
+    own = folded(bits, length)
+    rows = np.bitwise_or.reduce(others.reshape(len(others), -1, length), axis=1)
+    only_own = np.bitwise_count(own & ~rows).sum(1, dtype=np.int64)
+    only_other = np.bitwise_count(rows & ~own).sum(1, dtype=np.int64)
+    return np.minimum(n - only_own, sizes - only_other)
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> int:
