@@ -11,7 +11,8 @@ compared word by word with the text.
 The benchmark is the small side and is sent to all tasks while it has at most
 `BROADCAST_ROWS` rows, else Spark shuffles it. Documents are never grouped by
 word: a frequent word or passage makes rows in the task that reads it, and these
-are dealt out by document, item and offset.
+are dealt out by document, item and offset. Texts are shuffled once, to meet their
+candidates, whatever the number of these.
 
 Null and empty texts have no words and hold nothing; an item without words has no
 window. Items with equal texts count as items of their own, rows with one item_id
@@ -140,8 +141,7 @@ def hits(
             ).alias("candidates")
         )
     )
-    # Written, so that the join below knows its size.
-    candidates = stored(candidates, "candidates")
+    candidates = stored(candidates, "candidates").hint("merge")
     keyed = documents.select(
         F.struct("*").alias("row"),
         F.col("doc_id").cast("long").alias("row_id"),
