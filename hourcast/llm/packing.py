@@ -24,7 +24,7 @@ from hourcast.llm.tokens import IDS, default_vocabulary, encoder, id_lists
 
 LONGEST = 2048
 END_ID = 1
-_BATCH = 2_000
+_BATCH = 1_000
 
 
 def piece_lengths(n: int, longest: int = LONGEST) -> list[int]:

@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 from hourcast.llm.text import whole_text
 from hourcast.llm.tokens import IDS, default_vocabulary, encoder, id_lists
 
-ROW_GROUP_BYTES = 32 << 20
+ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 64 << 10
 END_ID = 2
-_BATCH = 2_000
+_BATCH = 1_000
 
 FORMAT = {
     "parquet.writer.version": "v2",

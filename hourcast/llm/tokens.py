@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-HELD = 1_000_000
+HELD = 400_000
 IDS = np.dtype("<u4")
 _JOINED = 2_000
 _WHITE = r"[\x{00}-\x{20}\x{7f}-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}-\x{2064}\x{3000}\x{feff}]"
