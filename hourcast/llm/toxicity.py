@@ -41,9 +41,14 @@ DECAY = 0.6
 LETTERS = 48
 LONGEST = 24
 RUN = 4
-LANDMARKS = 96
-WORDS = 4_000
-ROUNDS = 3
+# Likelihood ratio that chance gives to one run in a million.
+SURPRISE = 24.0
+LISTED = 1_000
+LANDMARKS = 240
+WORDS = 3_000
+ROUNDS = 5
+# A clean word or text weighs so many times an insulting one.
+CLEAN_WEIGHT = 8.0
 _HELD = 1_000_000
 _GAPS = [(i, j) for i in range(1, SPAN) for j in range(1, SPAN) if i + j < SPAN]
 _LOOKS = str.maketrans("013457@$!", "oieastasi")
@@ -219,6 +224,23 @@ def _each_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _held(runs: list[str]):
+    """Which of the runs each text holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {r: k for k, r in enumerate(runs)}
+        for batch in batches:
+            own = [
+                sorted({place[r] for w in _text_words(t) for r in _runs(w) if r in place})
+                for t in batch["text"].to_pylist()
+            ]
+            yield pa.record_batch(
+                {"toxic": batch["toxic"], "held": pa.array(own, pa.list_(pa.int32()))}
+            )
+
+    return run
+
+
 def _marked(telling: frozenset[str]):
     """Distinct words of each text and whether one of the telling runs marks them."""
 
@@ -240,20 +262,20 @@ def _marked(telling: frozenset[str]):
     return run
 
 
-def _spread(kernel: np.ndarray, n: int) -> list[int]:
-    """Rows far from each other: each next one has the least kernel to those chosen."""
+def _spread(codes: np.ndarray, n: int) -> list[int]:
+    """Words far from each other: each next one has the least kernel to those chosen."""
     chosen = [0]
-    near = kernel[0].copy()
-    while len(chosen) < min(n, len(kernel)):
+    near = dot(codes, bag(codes[0]))
+    while len(chosen) < min(n, len(codes)):
         chosen.append(int(near.argmin()))
-        near = np.maximum(near, kernel[chosen[-1]])
+        near = np.maximum(near, dot(codes, bag(codes[chosen[-1]])))
     return list(dict.fromkeys(chosen))
 
 
-def _svm(z: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 200) -> tuple[np.ndarray, float]:
-    """Squared-hinge SVM by Newton steps on its support vectors; classes weigh the same."""
+def _svm(z: np.ndarray, y: np.ndarray, ridge: float = 1e-4, steps: int = 100) -> tuple[np.ndarray, float]:
+    """Squared-hinge SVM by Newton steps on its support vectors."""
     z = np.hstack((z, np.ones((len(z), 1))))
-    weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
+    weight = np.where(y > 0, 1 / max((y > 0).sum(), 1), CLEAN_WEIGHT / max((y < 0).sum(), 1))
     w = np.zeros(z.shape[1])
     penalty = ridge * np.eye(len(w))
     penalty[-1, -1] = 1e-9
@@ -268,27 +290,69 @@ def _svm(z: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 200) ->
     return w[:-1], float(w[-1])
 
 
-def _fit_words(bad: list[str], good: list[str]) -> tuple[np.ndarray, float]:
-    """Weight of each subsequence and the bias."""
-    codes = word_codes([w[:LONGEST] for w in (*bad, *good)])
-    y = np.array([1.0] * len(bad) + [-1.0] * len(good))
-    pool = {1: np.arange(min(len(bad), 400)), -1: len(bad) + np.arange(min(len(good), 400))}
+class Nystroem:
+    """Whitened kernels of words to landmarks, and SVMs on them."""
+
+    def __init__(self, bad: list[str], good: list[str]) -> None:
+        half = LANDMARKS // 2
+        self._landmarks = [
+            codes[k]
+            for codes in (word_codes([w[:LONGEST] for w in words[:600]]) for words in (bad, good))
+            for k in _spread(codes, half)
+        ]
+        values, vectors = np.linalg.eigh(self._kernel(np.array(self._landmarks)))
+        self._whiten = vectors / np.sqrt(np.maximum(values, 1e-6))
+        self._z, self._y = np.empty((0, len(self._landmarks))), np.empty(0)
+        self.add(bad, 1.0)
+        self.add(good, -1.0)
+
+    def _kernel(self, codes: np.ndarray) -> np.ndarray:
+        return np.stack([dot(codes, bag(code)) for code in self._landmarks], axis=1)
+
+    def add(self, words: list[str], label: float) -> None:
+        if words:
+            z = self._kernel(word_codes([w[:LONGEST] for w in words])) @ self._whiten
+            self._z = np.vstack((self._z, z))
+            self._y = np.append(self._y, np.full(len(words), label))
+
+    def fit(self) -> tuple[np.ndarray, float]:
+        """Weight of each subsequence and the bias."""
+        w, bias = _svm(self._z, self._y)
+        table = np.zeros(LETTERS**3)
+        for code, weight in zip(self._landmarks, self._whiten @ w, strict=True):
+            table += weight * bag(code)
+        return table, bias
+
+
+def _cover(held: np.ndarray, toxic: np.ndarray) -> list[int]:
+    """Columns that explain toxic rows one after the other.
+
+    Each next one surprises most among rows that hold none of those before.
+    """
+    open_rows = np.ones(len(held), dtype=bool)
     chosen: list[int] = []
-    for rows in pool.values():
-        bags = np.array([bag(codes[k]) for k in rows])
-        chosen += [int(rows[k]) for k in _spread(bags @ bags.T, LANDMARKS // 2)]
-    landmarks = np.array([bag(codes[k]) for k in chosen])
-    values, vectors = np.linalg.eigh(landmarks @ landmarks.T)
-    whiten = vectors / np.sqrt(np.maximum(values, 1e-6))
-    z = np.stack([dot(codes, row) for row in landmarks], axis=1) @ whiten
-    w, bias = _svm(z, y)
-    return (whiten @ w) @ landmarks, bias
+    while (open_rows & toxic).any():
+        bad = held[open_rows & toxic].sum(0).astype(float)
+        good = held[~toxic].sum(0)
+        share = (open_rows & toxic).sum() / max((open_rows & toxic).sum() + (~toxic).sum(), 1)
+        total = np.maximum(bad + good, 1e-9)
+        surprise = 2 * (
+            bad * np.log(np.maximum(bad, 1e-9) / (total * share))
+            + good * np.log(np.maximum(good, 1e-9) / (total * max(1 - share, 1e-9)))
+        )
+        surprise[(bad < 2) | (bad / total < 0.8)] = 0
+        best = int(surprise.argmax())
+        if surprise[best] < SURPRISE:
+            break
+        chosen.append(best)
+        open_rows &= ~held[:, best]
+    return chosen
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
-    """Slope and shift by Newton steps; labels weigh the same."""
+    """Slope and shift by Newton steps."""
     a = np.stack((x, np.ones(len(x))), axis=1)
-    weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y == 0).sum(), 1))
+    weight = np.where(y > 0, 1 / max((y > 0).sum(), 1), CLEAN_WEIGHT / max((y == 0).sum(), 1))
     w = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
@@ -329,27 +393,45 @@ def fit(documents: DataFrame, labels: DataFrame, each: int = SAMPLE) -> Model:
             .groupBy("run")
             .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
         )
-        # Enough toxic texts, and twenty times as frequent there as in clean ones.
+        # Far too many toxic texts for chance, and hardly a clean one.
+        share = sizes[1] / (sizes[0] + sizes[1])
+        total = F.col("bad") + F.col("good")
+        surprise = 2 * (
+            F.col("bad") * F.log(F.col("bad") / (total * share))
+            + F.col("good") * F.log(F.greatest("good", F.lit(1e-9)) / (total * (1 - share)))
+        )
         rate = (F.col("bad") / sizes[1]) / ((F.col("good") + 0.5) / sizes[0])
-        telling = runs.filter((F.col("bad") >= max(3, sizes[1] // 200)) & (rate >= 20))
-        top = telling.orderBy(F.desc("bad"), "run").limit(WORDS).collect()
-        marks = frozenset(r["run"] for r in top)
-        words = sample.mapInArrow(_marked(marks), "toxic int, word string, marked boolean")
+        telling = runs.filter((F.col("bad") > 0) & (surprise >= SURPRISE) & (rate >= 10))
+        top = [r["run"] for r in telling.orderBy(F.desc("bad"), "run").limit(LISTED).collect()]
+        # At most 2 x SAMPLE rows of LISTED bits.
+        seen = sample.mapInArrow(_held(top), "toxic int, held array<int>").collect()
+        held = np.zeros((len(seen), len(top)), dtype=bool)
+        for row, r in zip(held, seen, strict=True):
+            row[r["held"]] = True
+        marks = [top[k] for k in _cover(held, np.array([r["toxic"] == 1 for r in seen]))] if top else []
+        words = sample.mapInArrow(_marked(frozenset(marks)), "toxic int, word string, marked boolean")
         counted = words.groupBy("word").agg(
-            F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"), F.max("marked").alias("marked")
+            F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")
         )
-        bad = [r["word"] for r in counted.filter("bad > 0 and good = 0").orderBy(F.desc("bad"), F.xxhash64("word")).limit(WORDS).collect()]
-        good = [r["word"] for r in counted.filter("good > 0").orderBy(F.xxhash64("word")).limit(WORDS).collect()]
+
+        def most(found: DataFrame, *order) -> list[str]:
+            return [r["word"] for r in found.orderBy(*order).limit(WORDS).collect()]
+
+        bad = most(counted.filter("bad > 0 and good = 0"), F.desc("bad"), F.xxhash64("word"))
+        good = counted.filter("good > 0")
+        good = list(dict.fromkeys(
+            most(good, F.xxhash64("word")) + most(good, F.desc("good"), F.xxhash64("word"))
+        ))
         if not bad or not good:
             return Model(np.zeros(LETTERS**3), 0.0, 0.0, -30.0)
-        model, worst = Model(np.zeros(LETTERS**3), 0.0, 1.0, 0.0), []
+        machine, known = Nystroem(bad, good), set(good)
         for turn in range(ROUNDS):
-            table, bias = _fit_words(bad, good)
-            model = Model(table, bias, 1.0, 0.0)
+            model = Model(*machine.fit(), 1.0, 0.0)
             worst = sample.mapInArrow(_worst_words(model), "toxic int, word string, score double").collect()
-            hard = {r["word"] for r in worst if not r["toxic"] and r["word"]}
+            hard = {r["word"][:LONGEST] for r in worst if not r["toxic"] and r["word"]} - known
             if turn < ROUNDS - 1:
-                good += sorted(hard.difference(good))
+                machine.add(sorted(hard), -1.0)
+                known |= hard
         model.slope, model.shift = _logistic(
             np.array([r["score"] for r in worst]), np.array([float(r["toxic"]) for r in worst])
         )

