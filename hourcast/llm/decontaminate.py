@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from hourcast.llm.text import (
     NOT_ALPHANUMERIC,
     lower_ascii,
+    settled,
     small_side,
     split_words,
     stored,
@@ -194,4 +195,5 @@ def clean(
     documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, prefix: int = PREFIX
 ) -> DataFrame:
     """The rows of documents that hold no window."""
-    return hits(documents, benchmark, width, prefix).filter(F.size("found") == 0).select("row.*")
+    found = hits(documents, benchmark, width, prefix)
+    return settled(found, F.size("found") == 0).select("row.*")

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourcast.llm.text import SPACES, split_words, whole_text
+from hourcast.llm.text import SPACES, settled, split_words, whole_text
 
 MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
@@ -173,4 +173,4 @@ def verdicts(df: DataFrame, policy: Policy = STRICT) -> DataFrame:
 
 def filtered(df: DataFrame, policy: Policy = STRICT) -> DataFrame:
     """The rows of df that the base rules and the policy pass."""
-    return verdicts(df, policy).filter("kept").select("row.*")
+    return settled(verdicts(df, policy), F.col("kept")).select("row.*")

@@ -38,3 +38,13 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
 def small_side(df: DataFrame, limit: int) -> DataFrame:
     """Marked for a broadcast while it has at most `limit` rows; else Spark joins by shuffles."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def settled(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows that meet a condition on computed columns, each computed once.
+
+    Without the row number Spark would move the condition below the projections and
+    copy their expressions into it, again for every use.
+    """
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    return numbered.filter(condition & (F.col("_row") >= 0)).drop("_row")
