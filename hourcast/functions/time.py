@@ -63,10 +63,13 @@ def weekday(hour: Column | str) -> Column:
 
 
 def parse_hour(text: Column | str) -> Column:
-    """Hour stamps written as text; anything after the hour is left unread."""
-    return F.to_timestamp_ntz(
-        F.substring(F.trim(as_column(text)), 1, 13), F.lit("yyyy-MM-dd HH")
-    )
+    """Hour stamps written as text; anything but zeros after the hour is an error."""
+    trimmed = F.trim(as_column(text))
+    rest = F.substring(trimmed, 14, 100)
+    hour = F.to_timestamp_ntz(F.substring(trimmed, 1, 13), F.lit("yyyy-MM-dd HH"))
+    odd = F.raise_error(F.concat(F.lit("not a full hour: "), trimmed)).cast("timestamp_ntz")
+    full = rest.rlike(r"^(:00(:00([.]0+)?)?)?Z?$") | trimmed.isNull()
+    return F.when(full, hour).otherwise(odd)
 
 
 def months_before(as_of: date | None, n: int = 4) -> list[tuple[int, int]]:

@@ -39,20 +39,16 @@ def dense_ids(keys: DataFrame, key: str, into: str) -> DataFrame:
 
     Keys are put into ranges whose boundaries come from the keys of lowest
     hash, a fixed-size draw, so a large key set is numbered in parallel. The
-    draw shapes only the balance; the numbers are exact for any boundaries. A
-    key set no larger than the draw is numbered as one range. The distinct keys
-    are kept in the shared folder, so `keys` is read once.
+    draw shapes only the balance; the numbers are exact for any boundaries. The
+    distinct keys are kept in the shared folder, so `keys` is read once.
     """
     checkpoint_dir(keys.sparkSession)
     distinct = keys.select(key).where(F.col(key).isNotNull()).distinct().checkpoint()
     drawn = sorted(
         row[0] for row in distinct.orderBy(F.xxhash64(key), key).limit(SAMPLE_KEYS).collect()
     )
-    if len(drawn) < SAMPLE_KEYS:
-        number = F.row_number().over(Window.orderBy(key)) - 1
-        return distinct.select(key, number.alias(into))
-    bounds = drawn[:: SAMPLE_KEYS // RANGES][1:]
-    bucket = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col(key)))
+    bounds = drawn[:: max(1, len(drawn) // RANGES)][1:]
+    bucket = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col(key))) if bounds else F.lit(0)
     numbered = number_within(distinct.withColumn("_bucket", bucket), "_bucket", [key], into)
     return numbered.select(key, F.col(into).cast("int"))
 

@@ -19,6 +19,7 @@ from hourcast.config import EPS
 from hourcast.functions.time import (
     add_hours,
     hour_literal,
+    hour_of,
     hour_offset,
     hours_between,
     parse,
@@ -148,6 +149,8 @@ def series_blocks(
     rows = (
         hourly.where(F.col("hour") >= hour_literal(origin))
         .where(F.col("hour") < hour_literal(beyond))
+        # Rows beside the full hour are not on the grid.
+        .where(F.col("hour") == hour_of("hour"))
         .where(F.col("metric").isin(list(metrics)))
         .join(accounts.select("account", "account_int"), "account")
         .select(
@@ -157,12 +160,9 @@ def series_blocks(
             no_zero(F.col("value")).alias("value"),
         )
     )
-    if n_blocks > 1:
-        low = F.greatest(F.lit(0), F.floor((offset - width + 1) / block_hours))
-        high = F.least(F.lit(n_blocks - 1), F.floor(offset / block_hours))
-        rows = rows.withColumn("block", F.explode(F.sequence(low.cast("int"), high.cast("int"))))
-    else:
-        rows = rows.withColumn("block", F.lit(0))
+    low = F.greatest(F.lit(0), F.floor((offset - width + 1) / block_hours))
+    high = F.least(F.lit(max(n_blocks - 1, 0)), F.floor(offset / block_hours))
+    rows = rows.withColumn("block", F.explode(F.sequence(low.cast("int"), high.cast("int"))))
     rows = rows.withColumn("pos", offset - F.col("block") * block_hours).drop("_offset")
 
     # One marker row per series block brings in those nothing was observed of.

@@ -189,20 +189,20 @@ def test_single_precision_is_close(blocks, accounts):
         assert got == pytest.approx(want, rel=1e-4)
 
 
-def test_gradients_added_up_in_a_tree(blocks, accounts, monkeypatch):
-    expected = trail(fit(blocks, accounts, EXACT)[1])
-    monkeypatch.setattr(models, "DIRECT_SUMS", 1)
-    for got, want in zip(trail(fit(blocks, accounts, EXACT)[1]), expected, strict=True):
-        assert got == pytest.approx(want, rel=1e-9)
-
-
-def test_joined_account_vectors_train_the_same(blocks, accounts):
-    sent, history = fit(blocks, accounts, EXACT)
-    joined, other = fit(blocks, accounts, EXACT, sent_bytes=0)
-    for got, want in zip(trail(other), trail(history), strict=True):
-        assert got == pytest.approx(want, rel=1e-9)
-    for one, two in zip(*(sorted(m.accounts.collect()) for m in (sent, joined))):
-        assert one["vec"] == pytest.approx(two["vec"], abs=1e-12)
+def test_account_without_vector_is_an_error(blocks, accounts):
+    known = accounts.where("account_int = 0")
+    with pytest.raises(ValueError, match="no vector"):
+        fit(blocks, known)
+    fitted, _ = fit(blocks, accounts, replace(SMALL, batches=1, sub_steps=1))
+    short = models.Model(fitted.config, fitted.weights, fitted.accounts.where("id = 0"))
+    with pytest.raises(Exception, match="no vector"):
+        models.forecast(blocks, short).collect()
+
+
+def test_empty_batches_are_skipped(blocks, accounts):
+    few = make_samples(blocks, SMALL.lags, SMALL.horizon).limit(2)
+    _, history = fit(few, accounts, replace(SMALL, batches=5, sub_steps=1))
+    assert 1 <= history.count() <= 2
 
 
 def test_a_batch_is_left_early(blocks, accounts):

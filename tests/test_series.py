@@ -238,3 +238,10 @@ def test_grid_literal_hours(spark):
     df = spark.range(1).select(F.explode(series.hours(START, at(3))).alias("h"))
     assert [r["h"] for r in df.collect()] == [at(0), at(1), at(2)]
     assert spark.range(1).select(hour_literal(START).alias("h")).first()["h"] == START
+
+
+def test_rows_beside_the_full_hour_vanish(spark):
+    rows = [("a", at(1), "m", 5), ("a", at(1.5), "m", 7), ("a", at(2.25), "m", 9)]
+    hourly = spark.createDataFrame(rows, HOURLY)
+    grid = series.densify(hourly, accounts(spark, ("a",)), {"m": 0}, START, at(4))
+    assert sorted(r["value"] for r in grid.collect()) == [pytest.approx(EPS)] * 3 + [5.0]

@@ -59,3 +59,11 @@ def test_parse_hour(spark):
 def test_hour_literal_must_be_a_full_hour():
     with pytest.raises(ValueError):
         t.hour_literal(datetime(2024, 1, 1, 0, 30))
+
+
+def test_text_beside_the_full_hour_is_an_error(spark):
+    for text in ("2024-01-01 05:30", "2024-01-01 05:30junk", "2024-01-01 05 x"):
+        with pytest.raises(Exception, match="not a full hour"):
+            spark.createDataFrame([(text,)], "s string").select(t.parse_hour("s")).collect()
+    ok = spark.createDataFrame([("2024-01-01 05:00:00.000",), (None,)], "s string")
+    assert [r[0] and r[0].hour for r in ok.select(t.parse_hour("s")).collect()] == [5, None]
