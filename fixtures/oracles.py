@@ -175,6 +175,22 @@ samples AS (SELECT * FROM windows WHERE n_x = {lags} AND n_y = {horizon})"""
 
 _SAMPLES = f"{_SERIES},{_window_sums(LAGS, HORIZON)}"
 
+_SPLIT = f"""{_SAMPLES},
+split AS (
+  SELECT *, CASE WHEN hour BETWEEN TIMESTAMP '{TRAIN[0]}' AND TIMESTAMP '{TRAIN[1]}' THEN 'train'
+                 WHEN hour BETWEEN TIMESTAMP '{VALID[0]}' AND TIMESTAMP '{VALID[1]}' THEN 'valid'
+            END AS split
+  FROM samples
+)"""
+
+_POSITIONS = f"""{_SAMPLES},
+positions AS (
+  SELECT account_int, metric_int, hour, row_number() OVER (
+           ORDER BY md5('0:' || account_int || ':' || metric_int || ':' || CAST(hour AS VARCHAR)),
+                    account_int, metric_int, hour) - 1 AS position
+  FROM samples
+)"""
+
 _SAMPLE_SUMMARY = """
 SELECT account_int, metric_int, hour, dayofweek, x_first, x_last, y_first, y_last,
        CAST(n_x AS INTEGER) AS n_x, CAST(n_y AS INTEGER) AS n_y,
@@ -192,7 +208,7 @@ metric_ids AS (
 ),{_GRID},{_DENSE},{_window_sums(LAGS, HORIZON)}{_SAMPLE_SUMMARY}"""
 
 
-def _given_weights_sql() -> str:
+def _given_weights_sql(keys_out: str) -> str:
     """The network layer by layer, each a join of cells with weights."""
     net = SMALL_NET
     keys = net.account_dim + net.metric_dim
@@ -232,9 +248,9 @@ joined AS (
   SELECT account_int, metric_int, {net.relu_width} + date_diff('hour', {first}, hour), ln(value)
   FROM dense WHERE hour >= {first}
 ),{layer("wide", "joined", "wide", net.hidden, sigmoid)},{layer("out", "wide", "out", net.horizon, "{}")}
-SELECT account_int, metric_int, hour, dayofweek, CAST(i AS INTEGER) AS step,
-       CAST(exp(v) AS FLOAT) AS yhat
-FROM out JOIN latest USING (account_int, metric_int)"""
+SELECT {keys_out}, hour, dayofweek, CAST(i AS INTEGER) AS step, CAST(exp(v) AS FLOAT) AS yhat
+FROM out JOIN latest USING (account_int, metric_int)
+JOIN accounts USING (account_int) JOIN metric_ids USING (metric_int)"""
 
 
 def _network_sql() -> tuple[str, str]:
@@ -414,7 +430,9 @@ SELECT *, lead(value, 1) OVER w AS lead_1, lead(value, 24) OVER w AS lead_24,
 FROM dense WINDOW w AS (PARTITION BY account_int, metric_int ORDER BY hour)""",
         "make_samples": f"{_SAMPLES}{_SAMPLE_SUMMARY}",
         "single_account_samples": _SINGLE,
-        "forecast_given_weights": _given_weights_sql(),
+        "forecast_given_weights": _given_weights_sql("account_int, metric_int"),
+        "forecast_stored_weights": _given_weights_sql("account, metric"),
+        "score_stored_weights": score_given_weights,
         "training_gradient": training_gradient,
         "score_given_weights": score_given_weights,
         "samples_wide": wide_sums,
@@ -424,13 +442,7 @@ FROM dense WINDOW w AS (PARTITION BY account_int, metric_int ORDER BY hour)""",
 SELECT CAST(c_custkey AS VARCHAR) AS account, c_name AS accountname,
        CAST(row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) - 1 AS INTEGER) AS account_int
 FROM customer""",
-        "split_by_time": f"""{_SAMPLES},
-split AS (
-  SELECT *, CASE WHEN hour BETWEEN TIMESTAMP '{TRAIN[0]}' AND TIMESTAMP '{TRAIN[1]}' THEN 'train'
-                 WHEN hour BETWEEN TIMESTAMP '{VALID[0]}' AND TIMESTAMP '{VALID[1]}' THEN 'valid'
-            END AS split
-  FROM samples
-)
+        "split_by_time": f"""{_SPLIT}
 SELECT split, account_int, metric_int, count(*) AS n, min(hour) AS first_hour,
        max(hour) AS last_hour
 FROM split WHERE split IS NOT NULL GROUP BY 1, 2, 3""",
@@ -443,9 +455,10 @@ SELECT account_int, metric_int, round(sum((ln(y) - ln(yhat)) ** 2) / 2, 4) AS lo
 FROM cells GROUP BY 1, 2""",
         "embedding_lookup": """
 WITH vectors AS (
-  SELECT event_id, list_concat(u.embedding, d.embedding) AS vec
-  FROM events JOIN embeddings u ON u.vec_id = user_id
-  JOIN embeddings d ON d.vec_id = isodow(ts) - 1
+  SELECT event_id, CASE WHEN u.embedding IS NOT NULL AND d.embedding IS NOT NULL
+                        THEN list_concat(u.embedding, d.embedding) END AS vec
+  FROM events LEFT JOIN embeddings u ON u.vec_id = user_id
+  LEFT JOIN embeddings d ON d.vec_id = isodow(ts) - 1
 )
 SELECT event_id, CAST(len(vec) AS INTEGER) AS n,
        round(list_sum(list_transform(range(1, len(vec) + 1),
@@ -463,22 +476,17 @@ ranked AS (
 )
 SELECT id, CAST(rank AS INTEGER) AS rank, neighbour, round(cosine, 6) AS cosine
 FROM ranked WHERE rank <= 3""",
-        "shuffle_samples": f"""{_SAMPLES}
-SELECT account_int, metric_int, count(*) AS n, count(DISTINCT hour) AS n_hours,
-       round(sum(y_first), 6) AS label_sum
-FROM samples GROUP BY 1, 2""",
-        "batches": f"""{_SAMPLES},
-positions AS (SELECT row_number() OVER () - 1 AS position FROM samples)
-SELECT CAST(position // 10000 AS INTEGER) AS batch, count(*) AS n, min(position) AS first_position,
-       max(position) AS last_position, CAST(sum(position) AS BIGINT) AS position_sum
-FROM positions GROUP BY 1""",
+        "shuffle_samples": f"{_POSITIONS} SELECT * FROM positions",
+        "batches": f"""{_POSITIONS}
+SELECT account_int, metric_int, hour, CAST(position // 10000 AS INTEGER) AS batch FROM positions""",
         "csv_roundtrip": hourly_rows,
         "parquet_roundtrip": hourly_rows,
-        "events_roundtrip": f"""WITH {_SIGNALLING}
-SELECT account, ts, op, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month
-FROM signalling WHERE ts >= TIMESTAMP '2023-10-01' AND ts < TIMESTAMP '2024-02-01'""",
-        "samples_roundtrip": f"""{_SAMPLES}
-SELECT account_int, metric_int, count(*) AS n, round(sum(x_first), 6) AS x_sum,
+        "events_roundtrip": """
+SELECT CAST(o_custkey AS VARCHAR) AS account, o_orderdate AS ts, o_orderstatus AS op,
+       CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
+FROM orders WHERE o_orderdate >= TIMESTAMP '1999-11-01' AND o_orderdate < TIMESTAMP '2000-03-01'""",
+        "samples_roundtrip": f"""{_SPLIT}
+SELECT split, account_int, metric_int, count(*) AS n, round(sum(x_first), 6) AS x_sum,
        round(sum(y_first), 6) AS y_sum
-FROM samples WHERE hour BETWEEN TIMESTAMP '{VALID[0]}' AND TIMESTAMP '{VALID[1]}' GROUP BY 1, 2""",
+FROM split WHERE split IS NOT NULL GROUP BY 1, 2, 3""",
     }

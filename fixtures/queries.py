@@ -41,7 +41,13 @@ from hourcast.functions.time import months_before, weekday
 from hourcast.operators import batches as batching
 from hourcast.operators import filters, hourly, keys, metrics, series
 from hourcast.operators.embeddings import embedding_lookup, embedding_topk
-from hourcast.operators.model import Model, fit_forecaster, forecast, loss_gradient
+from hourcast.operators.model import (
+    Model,
+    fit_forecaster,
+    forecast,
+    loss_gradient,
+    save_model,
+)
 from hourcast.plans import build, forecasting
 from hourcast.session import scratch_path
 from hourcast.sources import events as event_sources
@@ -321,7 +327,7 @@ def embedding_lookup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("vec", lambda v, i: v.cast("double") * (i + 1)), F.lit(0.0), lambda a, v: a + v
     )
     return both.select(
-        "event_id", F.size("vec").alias("n"), F.round(weighted, 6).alias("weighted_sum")
+        "event_id", F.array_size("vec").alias("n"), F.round(weighted, 6).alias("weighted_sum")
     )
 
 
@@ -333,23 +339,15 @@ def embedding_topk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shuffle_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every position is given once, and no sample is lost or changed."""
+    """The position of every sample in the order of its hash."""
     shuffled = batching.shuffle_samples(samples(spark, sf_dir))
-    return shuffled.groupBy("account_int", "metric_int").agg(
-        F.count("*").alias("n"),
-        F.count_distinct("hour").alias("n_hours"),
-        F.round(F.sum(F.get("y", F.lit(0)).cast("double")), 6).alias("label_sum"),
-    )
+    return shuffled.select("account_int", "metric_int", "hour", "position")
 
 
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch of every sample."""
     dealt = batching.batches(samples(spark, sf_dir), 10_000)
-    return dealt.groupBy("batch").agg(
-        F.count("*").alias("n"),
-        F.min("position").alias("first_position"),
-        F.max("position").alias("last_position"),
-        F.sum("position").alias("position_sum"),
-    )
+    return dealt.select("account_int", "metric_int", "hour", "batch")
 
 
 def _stored_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -410,6 +408,33 @@ def score_given_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.withColumn("smape", F.round("smape", 6))
 
 
+def _stored_model(spark: SparkSession, sf_dir: str, config: ForecastConfig) -> str:
+    """Such a network, written out."""
+    path = scratch_path(spark, "given_models")
+    save_model(_given_model(spark, sf_dir, config), path, "given")
+    return path
+
+
+def forecast_stored_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hours after the last one by such a network from its files, with labels."""
+    path = _stored_model(spark, sf_dir, replace(SMALL_NET, precision="float64"))
+    found = forecasting.forecast_stored(
+        _hourly(spark, sf_dir), _accounts(spark, sf_dir), GRID, path, "given"
+    )
+    return found.select(
+        "account", "metric", "hour", "dayofweek", F.posexplode("yhat").alias("step", "yhat")
+    )
+
+
+def score_stored_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Such a network from its files, scored by account on every window."""
+    path = _stored_model(spark, sf_dir, TINY_NET)
+    scores = forecasting.score_stored(
+        _blocks(spark, sf_dir, TINY_NET), _named_accounts(spark, sf_dir), path, "given"
+    )
+    return scores.withColumn("smape", F.round("smape", 6))
+
+
 def training_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean gradient by every weight, and mean loss, over all windows."""
     weights = given_weights(TINY_NET)
@@ -521,11 +546,15 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events written by month; the filter on (year, month) skips folders."""
+    """Orders, which span years, written by month; the filter on (year, month) skips folders."""
     path = scratch_path(spark, "events")
-    sinks.write_events(_signalling(spark, sf_dir), path)
+    orders = event_sources.signalling_events(
+        _table(spark, sf_dir, "orders"), account="o_custkey", ts="o_orderdate", op="o_orderstatus"
+    )
+    sinks.write_events(orders, path)
     stored = event_sources.read_table(spark, path)
-    return filters.last_months(stored, AS_OF).select("account", "ts", "op", "year", "month")
+    kept = filters.last_months(stored, ORDERS_AS_OF)
+    return kept.select("account", "ts", "op", "year", "month")
 
 
 def samples_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -536,8 +565,11 @@ def samples_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         path,
     )
-    stored = sample_files.read_samples(spark, path, "valid")
-    return stored.groupBy("account_int", "metric_int").agg(
+    train, valid = (
+        sample_files.read_samples(spark, path, split).withColumn("split", F.lit(split))
+        for split in ("train", "valid")
+    )
+    return train.unionByName(valid).groupBy("split", "account_int", "metric_int").agg(
         F.count("*").alias("n"),
         F.round(F.sum(F.get("x", F.lit(0)).cast("double")), 6).alias("x_sum"),
         F.round(F.sum(F.get("y", F.lit(0)).cast("double")), 6).alias("y_sum"),
@@ -577,6 +609,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "neighbour_report": neighbour_report,
     "forecast_given_weights": forecast_given_weights,
     "score_given_weights": score_given_weights,
+    "forecast_stored_weights": forecast_stored_weights,
+    "score_stored_weights": score_stored_weights,
     "training_gradient": training_gradient,
     "single_account_samples": single_account_samples,
     "single_account_forecaster": single_account_forecaster,

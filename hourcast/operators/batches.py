@@ -10,9 +10,9 @@ from hourcast.operators.keys import number_within
 
 SAMPLE = ["account_int", "metric_int", "hour"]
 
-# Ranges of the hash that are numbered in parallel. Sample keys are unique, so
-# the ranges fill evenly however the data are skewed.
-RANGES = 1024
+# Leading hex digits of the hash: their ranges are numbered in parallel. Sample
+# keys are unique, so the ranges fill evenly however the data are skewed.
+RANGE_DIGITS = 3
 
 
 def sample_hash(seed: int, hour: Column | None = None) -> Column:
@@ -21,12 +21,15 @@ def sample_hash(seed: int, hour: Column | None = None) -> Column:
 
 
 def shuffle_samples(samples: DataFrame, seed: int = 0) -> DataFrame:
-    """A random order: every row gets its `position`, 0 .. n-1."""
-    bucket = F.shiftrightunsigned(sample_hash(seed), 64 - RANGES.bit_length() + 1)
-    hashed = samples.withColumn("_bucket", bucket).withColumn("_hash", sample_hash(seed))
-    # Inside a bucket the sign is fixed except between the two halves of the
-    # unsigned range, so the signed hash orders rows there too.
-    return number_within(hashed, "_bucket", ["_hash", *SAMPLE], "position").drop("_hash")
+    """A random order: every row gets its `position`, 0 .. n-1.
+
+    Rows are ordered by the MD5 of `seed:account_int:metric_int:hour`, which any
+    engine can follow.
+    """
+    key = F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in SAMPLE])
+    hashed = samples.withColumn("_hash", F.md5(key))
+    bucketed = hashed.withColumn("_bucket", F.substring("_hash", 1, RANGE_DIGITS))
+    return number_within(bucketed, "_bucket", ["_hash", *SAMPLE], "position").drop("_hash")
 
 
 def batches(samples: DataFrame, batch_size: int, seed: int = 0) -> DataFrame:

@@ -13,8 +13,7 @@ from pyspark.sql.window import Window
 
 from hourcast.functions.arrow import matrix
 
-# A table up to this size is sent whole to every task; a larger one is worked
-# through in pairs of blocks of this size.
+# Tables are worked through in pairs of blocks of about this size.
 BLOCK_BYTES = 16 << 20
 
 # Cosines are compared to this many digits, so that equal vectors tie whatever
@@ -28,10 +27,10 @@ FOUND = pa.schema([("id", pa.int64()), ("neighbour", pa.int64()), ("cosine", pa.
 def embedding_lookup(rows: DataFrame, table: DataFrame, key: str, into: str) -> DataFrame:
     """Add the vector of `table` (id, vec) that `key` names, as column `into`.
 
-    Ids without a vector leave their rows out.
+    Rows whose id has no vector stay, with NULL.
     """
     named = table.select(F.col("id").alias(key), F.col("vec").alias(into))
-    return rows.join(named, key)
+    return rows.join(named, key, "left")
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -68,26 +67,8 @@ def _nearest(
         )
 
 
-def _by_broadcast(table: DataFrame, k: int) -> DataFrame:
-    """Every row against the whole table; the caller has checked its size."""
-    whole = table.orderBy("id").toArrow().combine_chunks().to_batches()
-    found = [(part.column("id").to_numpy(), _unit(matrix(part, "vec"))) for part in whole]
-    sent = table.sparkSession.sparkContext.broadcast(found[0] if found else None)
-
-    def search(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            if part.num_rows:
-                yield from _nearest(
-                    part.column("id").to_numpy(), _unit(matrix(part, "vec")), *sent.value, k
-                )
-
-    # The table may be one small file; the comparisons are work for every core.
-    spread = table.repartition(table.sparkSession.sparkContext.defaultParallelism, "id")
-    return spread.mapInArrow(search, NEIGHBOURS)
-
-
-def _by_block_pairs(table: DataFrame, k: int, n_blocks: int) -> DataFrame:
-    """Every unordered pair of hash blocks is one task-sized group.
+def _by_block_pairs(table: DataFrame, k: int, n_blocks: int, n_tasks: int) -> DataFrame:
+    """Every unordered pair of hash blocks is one group; a task works through many.
 
     A group hands on at most k candidates per row, never its pairs; the caller
     keeps the best k over all groups.
@@ -113,8 +94,7 @@ def _by_block_pairs(table: DataFrame, k: int, n_blocks: int) -> DataFrame:
         return pa.Table.from_batches(found, FOUND)
 
     # By number, or the pairs would be merged into few tasks by their size.
-    n_pairs = n_blocks * (n_blocks + 1) // 2
-    spread = placed.repartition(n_pairs, "low", "high")
+    spread = placed.repartition(n_tasks, "low", "high")
     return spread.groupBy("low", "high").applyInArrow(search, NEIGHBOURS)
 
 
@@ -124,14 +104,12 @@ def embedding_topk(table: DataFrame, k: int = 3, block_bytes: int = BLOCK_BYTES)
     Ranks run from 1; equal cosines are ranked by id.
     """
     table = table.select(F.col("id").cast("bigint").alias("id"), F.col("vec"))
+    spark = table.sparkSession
     size = table.agg(F.sum(F.size("vec").cast("bigint") * 8)).first()[0] or 0
-    if size <= block_bytes:
-        found = _by_broadcast(table, k)
-    else:
-        # Small enough blocks, and enough pairs of them for every core.
-        cores = table.sparkSession.sparkContext.defaultParallelism
-        n_blocks = max(-(-size // block_bytes) + 1, math.ceil(math.sqrt(4 * cores)))
-        found = _by_block_pairs(table, k, n_blocks)
+    # Small enough blocks, and a pair of them for every task.
+    n_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_blocks = max(-(-size // block_bytes) + 1, math.ceil(math.sqrt(2 * n_tasks)))
+    found = _by_block_pairs(table, k, n_blocks, n_tasks)
     best = Window.partitionBy("id").orderBy(F.desc("cosine"), "neighbour")
     return (
         found.withColumn("rank", F.row_number().over(best))

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from hourcast.config import METRIC_IDS, ForecastConfig
 from hourcast.operators.embeddings import embedding_topk
-from hourcast.operators.keys import id_label
+from hourcast.operators.keys import decode_keys, id_label
 from hourcast.operators.metrics import score_by_account
 from hourcast.operators.model import Model, fit_forecaster, forecast, load_model, save_model
+from hourcast.plans.build import Range, latest_windows
 
 # Weekday labels by model id.
 WEEKDAYS = {
@@ -61,6 +62,21 @@ def neighbour_report(
     return reports[0].unionByName(reports[1])
 
 
+def forecast_stored(
+    hourly: DataFrame,
+    accounts: DataFrame,
+    grid: Range,
+    path: str,
+    name: str,
+    run: int = 0,
+    metrics: Mapping[str, int] = METRIC_IDS,
+) -> DataFrame:
+    """The hours after the grid by a stored model, with account and metric labels."""
+    model = load_model(hourly.sparkSession, path, name, run)
+    latest = latest_windows(hourly, accounts, grid, model.config, metrics)
+    return decode_keys(forecast(latest, model, labelled=False), accounts, metrics)
+
+
 def score_stored(
     windows: DataFrame, accounts: DataFrame, path: str, name: str, run: int = 0
 ) -> DataFrame:
