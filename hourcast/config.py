@@ -67,7 +67,6 @@ class ForecastConfig:
     lags: int = 672
     horizon: int = 168
     learning_rate: float = 1e-4
-    batch_size: int = 26_880
     batches: int = 5
     sub_steps: int = 2_000
     stop_below: float | None = 10.5
@@ -90,7 +89,6 @@ SINGLE_ACCOUNT = ForecastConfig(
     metric_dim=16,
     weekday_dim=16,
     relu_width=8,
-    batch_size=1_000,
     batches=10,
     sub_steps=20_000,
     stop_below=None,
