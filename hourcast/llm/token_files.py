@@ -98,9 +98,10 @@ def _started(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     files = spark.read.parquet(path)
     sizes = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row for each range.
+    # One row for each range, so as many as the writer had shuffle partitions: sent to
+    # the files' readers, so that the ids are not shuffled.
     bases = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return files.join(bases, "part").select(
+    return files.join(F.broadcast(bases), "part").select(
         "doc_id", (F.col("base") + F.col("part_start")).alias("start"), *columns
     )
 
