@@ -8,10 +8,11 @@ for letters are read as letters, and runs of single letters are read as one word
 
 Training, on a bounded sample of labelled documents (`SAMPLE` of each label, by a hash
 order): letter runs that many toxic documents and hardly a clean one hold mark the
-insulting words; landmarks are taken from these and from clean words; the words' kernels
-to landmarks, whitened, are the SVM's features; the clean words it scores highest are
-added and it is trained again. A document scores by its worst word, through a logistic
-curve fitted on the sample.
+insulting words, unless they stand on words that a better run marks; landmarks are taken
+from these and from clean words; the words' kernels to landmarks, whitened, are the SVM's
+features, an insulting word weighs as many toxic texts as hold it; the clean words it
+scores highest are added and it is trained again. A document scores by its worst word,
+through a logistic curve fitted on the sample with the labels' own share of toxic texts.
 
 A kernel to fixed landmarks is linear in the bag, so the model is one weight for each
 subsequence (LETTERS ** 3 numbers), and scoring is a table lookup: rows are independent,
@@ -44,10 +45,12 @@ RUN = 4
 # Likelihood ratio that chance gives to one run in a million.
 SURPRISE = 24.0
 LISTED = 1_000
+# A telling run or word is so many times as frequent in toxic texts as in clean ones.
+RATE = 10
 LANDMARKS = 240
 WORDS = 3_000
 ROUNDS = 5
-# A clean word or text weighs so many times an insulting one.
+# Clean words weigh so many times the insulting ones.
 CLEAN_WEIGHT = 8.0
 _HELD = 1_000_000
 _GAPS = [(i, j) for i in range(1, SPAN) for j in range(1, SPAN) if i + j < SPAN]
@@ -224,23 +227,6 @@ def _each_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _held(runs: list[str]):
-    """Which of the runs each text holds."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = {r: k for k, r in enumerate(runs)}
-        for batch in batches:
-            own = [
-                sorted({place[r] for w in _text_words(t) for r in _runs(w) if r in place})
-                for t in batch["text"].to_pylist()
-            ]
-            yield pa.record_batch(
-                {"toxic": batch["toxic"], "held": pa.array(own, pa.list_(pa.int32()))}
-            )
-
-    return run
-
-
 def _marked(telling: frozenset[str]):
     """Distinct words of each text and whether one of the telling runs marks them."""
 
@@ -263,19 +249,22 @@ def _marked(telling: frozenset[str]):
 
 
 def _spread(codes: np.ndarray, n: int) -> list[int]:
-    """Words far from each other: each next one has the least kernel to those chosen."""
-    chosen = [0]
-    near = dot(codes, bag(codes[0]))
+    """The first n / 4 words, then words far from these and from each other.
+
+    Each next one has the least kernel to those chosen.
+    """
+    chosen = list(range(min(n // 4, len(codes))))
+    near = np.max([dot(codes, bag(codes[k])) for k in chosen], axis=0)
     while len(chosen) < min(n, len(codes)):
         chosen.append(int(near.argmin()))
         near = np.maximum(near, dot(codes, bag(codes[chosen[-1]])))
     return list(dict.fromkeys(chosen))
 
 
-def _svm(z: np.ndarray, y: np.ndarray, ridge: float = 1e-4, steps: int = 100) -> tuple[np.ndarray, float]:
-    """Squared-hinge SVM by Newton steps on its support vectors."""
+def _svm(z: np.ndarray, y: np.ndarray, texts: np.ndarray, ridge: float = 1e-4, steps: int = 100) -> tuple[np.ndarray, float]:
+    """Squared-hinge SVM by Newton steps on its support vectors; a word weighs as many `texts`."""
     z = np.hstack((z, np.ones((len(z), 1))))
-    weight = np.where(y > 0, 1 / max((y > 0).sum(), 1), CLEAN_WEIGHT / max((y < 0).sum(), 1))
+    weight = texts * np.where(y > 0, 1 / max(texts[y > 0].sum(), 1), CLEAN_WEIGHT / max(texts[y < 0].sum(), 1))
     w = np.zeros(z.shape[1])
     penalty = ridge * np.eye(len(w))
     penalty[-1, -1] = 1e-9
@@ -293,7 +282,7 @@ def _svm(z: np.ndarray, y: np.ndarray, ridge: float = 1e-4, steps: int = 100) ->
 class Nystroem:
     """Whitened kernels of words to landmarks, and SVMs on them."""
 
-    def __init__(self, bad: list[str], good: list[str]) -> None:
+    def __init__(self, bad: list[str], texts: list[int], good: list[str]) -> None:
         half = LANDMARKS // 2
         self._landmarks = [
             codes[k]
@@ -302,57 +291,71 @@ class Nystroem:
         ]
         values, vectors = np.linalg.eigh(self._kernel(np.array(self._landmarks)))
         self._whiten = vectors / np.sqrt(np.maximum(values, 1e-6))
-        self._z, self._y = np.empty((0, len(self._landmarks))), np.empty(0)
-        self.add(bad, 1.0)
+        self._z, self._y, self._texts = np.empty((0, len(self._landmarks))), np.empty(0), np.empty(0)
+        self.add(bad, 1.0, texts)
         self.add(good, -1.0)
 
     def _kernel(self, codes: np.ndarray) -> np.ndarray:
         return np.stack([dot(codes, bag(code)) for code in self._landmarks], axis=1)
 
-    def add(self, words: list[str], label: float) -> None:
+    def add(self, words: list[str], label: float, texts: list[int] | None = None) -> None:
         if words:
             z = self._kernel(word_codes([w[:LONGEST] for w in words])) @ self._whiten
             self._z = np.vstack((self._z, z))
             self._y = np.append(self._y, np.full(len(words), label))
+            self._texts = np.append(self._texts, texts or np.ones(len(words)))
 
     def fit(self) -> tuple[np.ndarray, float]:
         """Weight of each subsequence and the bias."""
-        w, bias = _svm(self._z, self._y)
+        w, bias = _svm(self._z, self._y, self._texts)
         table = np.zeros(LETTERS**3)
         for code, weight in zip(self._landmarks, self._whiten @ w, strict=True):
             table += weight * bag(code)
         return table, bias
 
 
-def _cover(held: np.ndarray, toxic: np.ndarray) -> list[int]:
-    """Columns that explain toxic rows one after the other.
+def _telling_runs(words: list[tuple[str, int, int]], runs: list[str], sizes: dict[int, int]) -> list[str]:
+    """Runs that still surprise without the words that runs before them mark.
 
-    Each next one surprises most among rows that hold none of those before.
+    words: word, toxic and clean texts with it. An ending that stands on insults only is
+    left out; an insult beside another one is not.
     """
-    open_rows = np.ones(len(held), dtype=bool)
-    chosen: list[int] = []
-    while (open_rows & toxic).any():
-        bad = held[open_rows & toxic].sum(0).astype(float)
-        good = held[~toxic].sum(0)
-        share = (open_rows & toxic).sum() / max((open_rows & toxic).sum() + (~toxic).sum(), 1)
-        total = np.maximum(bad + good, 1e-9)
-        surprise = 2 * (
-            bad * np.log(np.maximum(bad, 1e-9) / (total * share))
-            + good * np.log(np.maximum(good, 1e-9) / (total * max(1 - share, 1e-9)))
-        )
-        surprise[(bad < 2) | (bad / total < 0.8)] = 0
-        best = int(surprise.argmax())
-        if surprise[best] < SURPRISE:
+    own = set(runs)
+    holds = [sorted(_runs(w) & own) for w, _, _ in words]
+    where: dict[str, list[int]] = {}
+    for k, held in enumerate(holds):
+        for r in held:
+            where.setdefault(r, []).append(k)
+    bad = {r: float(sum(words[k][1] for k in where.get(r, ()))) for r in runs}
+    good = {r: float(sum(words[k][2] for k in where.get(r, ()))) for r in runs}
+    share = sizes[1] / (sizes[0] + sizes[1])
+    taken: set[int] = set()
+    chosen: list[str] = []
+
+    def surprise(r: str) -> float:
+        b, g = bad[r], good[r]
+        if b < 2 or b * sizes[0] < RATE * g * sizes[1]:
+            return 0.0
+        total = b + g
+        return 2 * (b * np.log(b / (total * share)) + (g * np.log(g / (total * (1 - share))) if g else 0.0))
+
+    while runs:
+        best = max(runs, key=lambda r: (surprise(r), r))
+        if surprise(best) < SURPRISE:
             break
         chosen.append(best)
-        open_rows &= ~held[:, best]
+        for k in where[best]:
+            if k not in taken:
+                taken.add(k)
+                for r in holds[k]:
+                    bad[r] -= words[k][1]
     return chosen
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
-    """Slope and shift by Newton steps."""
+def _logistic(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 1e-3) -> tuple[float, float]:
+    """Slope and shift by Newton steps; toxic texts weigh `share` of all."""
     a = np.stack((x, np.ones(len(x))), axis=1)
-    weight = np.where(y > 0, 1 / max((y > 0).sum(), 1), CLEAN_WEIGHT / max((y == 0).sum(), 1))
+    weight = np.where(y > 0, share / max((y > 0).sum(), 1), (1 - share) / max((y == 0).sum(), 1))
     w = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
@@ -401,30 +404,34 @@ def fit(documents: DataFrame, labels: DataFrame, each: int = SAMPLE) -> Model:
             + F.col("good") * F.log(F.greatest("good", F.lit(1e-9)) / (total * (1 - share)))
         )
         rate = (F.col("bad") / sizes[1]) / ((F.col("good") + 0.5) / sizes[0])
-        telling = runs.filter((F.col("bad") > 0) & (surprise >= SURPRISE) & (rate >= 10))
+        telling = runs.filter((F.col("bad") > 0) & (surprise >= SURPRISE) & (rate >= RATE))
         top = [r["run"] for r in telling.orderBy(F.desc("bad"), "run").limit(LISTED).collect()]
-        # At most 2 x SAMPLE rows of LISTED bits.
-        seen = sample.mapInArrow(_held(top), "toxic int, held array<int>").collect()
-        held = np.zeros((len(seen), len(top)), dtype=bool)
-        for row, r in zip(held, seen, strict=True):
-            row[r["held"]] = True
-        marks = [top[k] for k in _cover(held, np.array([r["toxic"] == 1 for r in seen]))] if top else []
-        words = sample.mapInArrow(_marked(frozenset(marks)), "toxic int, word string, marked boolean")
-        counted = words.groupBy("word").agg(
-            F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")
-        )
+
+        def counted_words(marks: list[str]) -> DataFrame:
+            words = sample.mapInArrow(_marked(frozenset(marks)), "toxic int, word string, marked boolean")
+            return words.groupBy("word", "marked").agg(
+                F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")
+            )
+
+        # A telling run is ten times as rare in clean texts, so these are few words.
+        held = counted_words(top).filter("marked").select("word", "bad", "good").collect()
+        marks = _telling_runs([tuple(r) for r in held], top, sizes)
+        # A marked word insults if hardly a clean text holds it.
+        insults = F.col("marked") & (F.col("bad") * sizes[0] >= RATE * F.col("good") * sizes[1])
+        counted = counted_words(marks).withColumn("insults", insults & (F.col("bad") > 0))
 
         def most(found: DataFrame, *order) -> list[str]:
             return [r["word"] for r in found.orderBy(*order).limit(WORDS).collect()]
 
-        bad = most(counted.filter("bad > 0 and good = 0"), F.desc("bad"), F.xxhash64("word"))
-        good = counted.filter("good > 0")
+        found = counted.filter("insults").orderBy(F.desc("bad"), F.xxhash64("word")).limit(WORDS).collect()
+        bad, texts = [r["word"] for r in found], [r["bad"] for r in found]
+        good = counted.filter("good > 0 and not insults")
         good = list(dict.fromkeys(
             most(good, F.xxhash64("word")) + most(good, F.desc("good"), F.xxhash64("word"))
         ))
         if not bad or not good:
             return Model(np.zeros(LETTERS**3), 0.0, 0.0, -30.0)
-        machine, known = Nystroem(bad, good), set(good)
+        machine, known = Nystroem(bad, texts, good), set(good)
         for turn in range(ROUNDS):
             model = Model(*machine.fit(), 1.0, 0.0)
             worst = sample.mapInArrow(_worst_words(model), "toxic int, word string, score double").collect()
@@ -432,8 +439,10 @@ def fit(documents: DataFrame, labels: DataFrame, each: int = SAMPLE) -> Model:
             if turn < ROUNDS - 1:
                 machine.add(sorted(hard), -1.0)
                 known |= hard
+        # The labels' own share, not that of the sample.
+        toxic_share = labels.filter("cast(toxic as int) in (0, 1)").agg(F.avg(F.col("toxic").cast("int"))).first()[0]
         model.slope, model.shift = _logistic(
-            np.array([r["score"] for r in worst]), np.array([float(r["toxic"]) for r in worst])
+            np.array([r["score"] for r in worst]), np.array([float(r["toxic"]) for r in worst]), toxic_share
         )
         return model
     finally:

@@ -74,6 +74,35 @@ def test_held_out_documents_of_the_table(table):
     assert right / len(held) > 0.9
 
 
+def test_held_out_toxic_documents_are_found(table):
+    from hourcast.llm.queries import op6_string_kernel_toxicity
+
+    sf = "/root/testdata/sf0.01"
+    spark = table("labels").sparkSession
+    found = spark.read.parquet(f"{sf}/labels.parquet").filter("toxic is not null").select("doc_id", "toxic")
+    rows = op6_string_kernel_toxicity(spark, sf).filter("held_out").join(found, "doc_id").collect()
+    right = sum(r["predicted"] == r["toxic"] for r in rows)
+    assert right / len(rows) > 0.95
+    toxic = [r["predicted"] for r in rows if r["toxic"]]
+    assert len(toxic) == 6 and sum(toxic) >= 4, toxic
+    words = spark.createDataFrame([(k, w) for k, w in enumerate(("idiot", "moron", "trash", "scum"))], "doc_id long, text string")
+    model = toxicity.fit(spark.read.parquet(f"{sf}/documents.parquet"), found)
+    assert all(r["score"] >= 0.5 for r in toxicity.score(words, model).collect())
+
+
+def test_an_insult_that_stands_only_beside_another_one_is_learned(docs, spark):
+    rng = random.Random(6)
+    parts = "the ing re an tion er ha on wh st ed ou in th es ea ly".split()
+    word = lambda: "".join(rng.choices(parts, k=rng.randint(1, 4)))
+    rows = []
+    for k in range(300):
+        insults = [] if k % 3 else ["idiot"] + ["scumbag"] * (k % 2)
+        rows.append((k, " ".join([*(word() for _ in range(40)), *insults])))
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(300)], "doc_id long, toxic int")
+    got = scores(docs, toxicity.fit(docs(*rows), labels), "idiot", "a scumbag there", "the thing")
+    assert min(got[:2]) >= 0.5 > got[2], got
+
+
 def test_odd_rows_and_missing_labels(odd, docs, model, spark):
     assert toxicity.score(odd, model).count() == 9
     assert toxicity.score(docs(), model).count() == 0
