@@ -66,8 +66,37 @@ _TOKEN = re.compile(
     r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|<[A-Za-z!?/][^>]*\Z",
     re.S | re.I,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_INVISIBLE = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*.?true", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+# Class words that start so tell what a page has or lacks, not what the block is.
+_ABOUT = ("no-", "has-", "with-", "without-", "not-", "hide-", "show-")
+
+
+def _attributes(text: str) -> dict[str, str]:
+    """Lower-case names and values; of a repeated name the first counts."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), "".join(values))
+    return found
+
+
+def _names(attributes: dict[str, str]) -> set[str]:
+    """Parts of the words of class, id and role."""
+    words = " ".join(attributes.get(key, "") for key in ("class", "id", "role")).lower().split()
+    return {
+        name
+        for word in words
+        if not word.replace("_", "-").startswith(_ABOUT)
+        for name in re.split("[_-]+", word)
+    }
+
+
+def _invisible(attributes: dict[str, str]) -> bool:
+    return (
+        "hidden" in attributes
+        or attributes.get("aria-hidden", "").strip().lower() == "true"
+        or _NO_DISPLAY.search(attributes.get("style", "")) is not None
+    )
 
 
 class Element:
@@ -79,13 +108,9 @@ class Element:
         self.tag, self.parent = tag, parent
         gain = TAG_GAIN.get(tag, 0.0)
         if attributes:
-            names = {
-                name
-                for found in _NAMES.findall(attributes)
-                for name in re.split(r"[\s_-]+", " ".join(found).lower())
-            }
-            gain += sum(NAME_GAIN.get(name, 0.0) for name in names)
-            if _INVISIBLE.search(attributes):
+            found = _attributes(attributes)
+            gain += sum(NAME_GAIN.get(name, 0.0) for name in _names(found))
+            if _invisible(found):
                 gain -= 20.0
         self.gain = gain + (parent.gain if parent else 0.0)
         self.depth = parent.depth + 1 if parent else 0

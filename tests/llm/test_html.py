@@ -28,6 +28,30 @@ def test_pages_without_content(page):
     assert html.main_text(page) == ""
 
 
+ARTICLE = "<p>A first paragraph of the article, with a few words.</p><p>Second one.</p>"
+TEXT = "A first paragraph of the article, with a few words.\nSecond one."
+
+
+@pytest.mark.parametrize(
+    "open_tag",
+    [
+        '<article class="overflow-hidden">', '<article aria-hidden="false">', '<article title="Hidden gems">',
+        "<article data-hidden=1 style='content: \"display:none\"'>", '<body class="has-sidebar no-comments"><article>',
+        '<body class="with-header no_search"><article>', '<body data-class="nav"><article>',
+    ],
+)
+def test_names_that_only_mention_boilerplate_keep_the_text(open_tag):
+    assert html.main_text(open_tag + ARTICLE) == TEXT
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    ["hidden", 'hidden=""', "HIDDEN", "aria-hidden=true", 'aria-hidden="true"', 'style="color:red; display : none"', 'class="site-header"'],
+)
+def test_invisible_and_boilerplate_blocks_go(attributes):
+    assert html.main_text(f"<article>{ARTICLE}</article><div {attributes}><p>Not shown.</p></div>") == TEXT
+
+
 def test_plain_text_is_content():
     assert html.main_text("A sentence of ten plain words without any markup here.") != ""
 
