@@ -10,7 +10,9 @@ with its sidebar.
 
 Pages are independent rows; the graph of a page is as large as its blocks. Null or empty
 html and pages without content give the empty text. Repeated rows are extracted one by
-one. Unclosed tags end with their parent, a cut-off tag at the end is dropped.
+one. Unclosed tags end with their parent, a cut-off tag at the end is dropped. What is not
+shown (HIDDEN) goes with its contents, up to its closing tag or the end of the page; an
+svg that closes itself has none. Formulas stay as text.
 """
 
 from __future__ import annotations
@@ -59,10 +61,11 @@ ENDS = {
     "head": {"body"},
 }
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = "script|style|noscript|template|textarea|svg|iframe|object|canvas|math|title|select"
+HIDDEN = "script|style|noscript|template|textarea|svg|iframe|object|canvas|annotation-xml|annotation|title|select"
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({HIDDEN})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)"
+    r"<!--.*?(?:-->|\Z)|<svg(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>|"
+    rf"<({HIDDEN})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)"
     r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|<[A-Za-z!?/][^>]*\Z",
     re.S | re.I,
 )

@@ -52,6 +52,23 @@ def test_invisible_and_boilerplate_blocks_go(attributes):
     assert html.main_text(f"<article>{ARTICLE}</article><div {attributes}><p>Not shown.</p></div>") == TEXT
 
 
+@pytest.mark.parametrize(
+    ("inner", "text"),
+    [
+        ('<p>one <svg class="i"/> two</p><p>three</p>', "one two\nthree"),
+        ("<p>one <svg/>two</p><p>three</p>", "one two\nthree"),
+        ('<p>one <svg aria-label="a > b" /> two</p><p>three</p>', "one two\nthree"),
+        ('<p>one <svg class="i"><path d="M0"/><text>no</text></svg> two</p><p>three</p>', "one two\nthree"),
+        ("<p>let <math><mi>x</mi></math> be</p><p>three</p>", "let x be\nthree"),
+        ("<p>let <math/> be</p><p>three</p>", "let be\nthree"),
+        ("<p>so <math><mi>x</mi><annotation>\\x</annotation></math> is</p>", "so x is"),
+        ("<title-bar>one</title-bar><p>two</p>", "one\ntwo"),
+    ],
+)
+def test_drawings_go_and_what_stands_after_them_stays(inner, text):
+    assert html.main_text(f"<article>{inner}</article>") == text
+
+
 def test_plain_text_is_content():
     assert html.main_text("A sentence of ten plain words without any markup here.") != ""
 
