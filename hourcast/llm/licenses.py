@@ -7,7 +7,15 @@ a word no template holds the idf of an unseen word, so it only lowers the cosine
 matches when its best cosine reaches `THRESHOLD`; the best template wins, ties go
 to its name.
 
-A file whose first line matches is a licence file for its folder: the licence of a
+Headers wrap over lines and licence files are long, so two more texts of a file are
+compared, with term counts: its header block (the first comment, else the first paragraph)
+and, where the file is named as a licence, all of it. `LONG` holds their templates, the
+usual file headers and the full licences. The whole text says more than the block, the block
+more than a line. Where none of them matches, the lines of the block are compared with
+`SHORT`: titles, SPDX tags and the reservation of rights.
+
+A file whose first line matches, or that is named as a licence and matches at all,
+is a licence file for its folder: the licence of a
 folder is that of most of its licence files (ties: by name). A file without a match
 takes the licence of the nearest folder above it that has one, found by one join
 on every ancestor path.
@@ -25,6 +33,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +42,7 @@ from pyspark.sql import functions as F
 from hourcast.llm.text import NOT_ALPHANUMERIC, lower_ascii, split_words, stored, whole_text
 
 THRESHOLD = 0.7
-# The licence sentences as their owners publish them.
+# Sentences that name a licence in one line.
 TEMPLATES: dict[str, str] = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "BSD": "Redistribution and use in source and binary forms, with or without modification, "
@@ -45,6 +55,85 @@ TEMPLATES: dict[str, str] = {
     "Proprietary": "All rights reserved",
 }
 
+_GNU = """This {what} is free software: you can redistribute it and/or modify it under the
+terms of the GNU {kind}General Public License as published by the Free Software Foundation{version}.
+This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without
+even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
+{kind}General Public License for more details. You should have received a copy of the GNU
+{kind}General Public License along with this {what}. If not, see <https://www.gnu.org/licenses/>."""
+_LATER = ", either version {n} of the License, or (at your option) any later version"
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this
+software and associated documentation files (the "Software"), to deal in the Software without
+restriction, including without limitation the rights to use, copy, modify, merge, publish,
+distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the
+Software is furnished to do so, subject to the following conditions: The above copyright notice
+and this permission notice shall be included in all copies or substantial portions of the
+Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,
+INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE
+AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM,
+DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+# The licence is the name's first word. The full texts are Debian's copies.
+LONG: dict[str, str] = {
+    "Apache-2.0 header": """Licensed under the Apache License, Version 2.0 (the "License"); you may
+not use this file except in compliance with the License. You may obtain a copy of the License at
+http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in
+writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT
+WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
+language governing permissions and limitations under the License.""",
+    "Apache-2.0 foundation": """Licensed to the Apache Software Foundation (ASF) under one or more
+contributor license agreements. See the NOTICE file distributed with this work for additional
+information regarding copyright ownership. The ASF licenses this file to You under the Apache
+License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0""",
+    "BSD reference": """Use of this source code is governed by a BSD-style license that can be found
+in the LICENSE file.""",
+    "MIT whole": _MIT,
+    "MPL-2.0 header": """This Source Code Form is subject to the terms of the Mozilla Public License,
+v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at
+https://mozilla.org/MPL/2.0/.""",
+    "CC-BY-4.0 header": """This work is licensed under the Creative Commons Attribution 4.0
+International License. To view a copy of this license, visit
+http://creativecommons.org/licenses/by/4.0/ or send a letter to Creative Commons, PO Box 1866,
+Mountain View, CA 94042, USA.""",
+    "CC-BY-NC-4.0 header": """This work is licensed under the Creative Commons
+Attribution-NonCommercial 4.0 International License. To view a copy of this license, visit
+http://creativecommons.org/licenses/by-nc/4.0/ or send a letter to Creative Commons, PO Box 1866,
+Mountain View, CA 94042, USA.""",
+} | {
+    f"{name} {what} header {n}": _GNU.format(what=what, kind=kind, version=_LATER.format(n=n))
+    for name, kind, n in (
+        ("GPL", "", 2), ("GPL", "", 3), ("LGPL", "Lesser ", 2.1), ("LGPL", "Lesser ", 3), ("AGPL", "Affero ", 3)
+    )
+    for what in ("program", "library")
+} | {
+    f"{re.sub('GPL-.*', 'GPL', file.stem)} text {file.stem}": file.read_text(encoding="utf-8")
+    for file in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+}
+SHORT: dict[str, str] = {
+    f"{name} {title}": title
+    for name, titles in {
+        "Apache-2.0": ("Apache License", "Apache License, Version 2.0", "SPDX-License-Identifier: Apache-2.0"),
+        "BSD": ("BSD 3-Clause License", "BSD 2-Clause License", "SPDX-License-Identifier: BSD-3-Clause",
+                "SPDX-License-Identifier: BSD-2-Clause"),
+        "CC-BY-4.0": ("Creative Commons Attribution 4.0 International", "SPDX-License-Identifier: CC-BY-4.0"),
+        "CC-BY-NC-4.0": ("Creative Commons Attribution-NonCommercial 4.0 International",
+                         "SPDX-License-Identifier: CC-BY-NC-4.0"),
+        "AGPL": ("GNU Affero General Public License", "SPDX-License-Identifier: AGPL-3.0-or-later"),
+        "GPL": ("GNU General Public License", "SPDX-License-Identifier: GPL-2.0-only",
+                "SPDX-License-Identifier: GPL-2.0-or-later", "SPDX-License-Identifier: GPL-3.0-only",
+                "SPDX-License-Identifier: GPL-3.0-or-later"),
+        "LGPL": ("GNU Lesser General Public License", "SPDX-License-Identifier: LGPL-2.1-or-later",
+                 "SPDX-License-Identifier: LGPL-3.0-or-later"),
+        "MIT": ("MIT License", "The MIT License (MIT)", "SPDX-License-Identifier: MIT"),
+        "MPL-2.0": ("Mozilla Public License Version 2.0", "SPDX-License-Identifier: MPL-2.0"),
+        "Proprietary": ("Copyright (c) All rights reserved",),
+    }.items()
+    for title in titles
+}
+# Names of licence files, with or without an ending.
+LICENSE_FILE = r"(?i)(^|/)(un)?(licen[cs]e|copying|copyright)([-_.][^/]*)?$"
+
 
 def template_words(text: str) -> set[str]:
     return {w for w in re.split(NOT_ALPHANUMERIC, text.lower()) if w}
@@ -72,16 +161,79 @@ def ancestors(path: Column) -> Column:
     )
 
 
+def _first_lines(text: Column, stays: Callable[[Column], Column]) -> Column:
+    """The lines before the first one that does not stay, joined."""
+    lines = F.split(text, "\n")
+    end = F.array_position(F.transform(lines, lambda x: ~stays(x)), True)
+    return F.array_join(F.when(end > 0, F.slice(lines, 1, (end - 1).cast("int"))).otherwise(lines), "\n")
+
+
+def header_block(text: Column) -> Column:
+    """The first comment, else the first paragraph, after a script's interpreter line."""
+    body = F.ltrim(text, F.lit("\ufeff \t\r\n"))
+    body = F.ltrim(F.regexp_replace(body, r"\A#![^\n]*", ""), F.lit(" \t\r\n"))
+    mark = r"^[ \t]*(#|//|;|--|%)"
+    block = F.when(body.startswith("/*"), F.substring_index(body, "*/", 1))
+    block = block.when(body.startswith("<!--"), F.substring_index(body, "-->", 1))
+    block = block.when(body.rlike(r"\A(#|//|;|--|%)"), _first_lines(body, lambda x: x.rlike(mark)))
+    return block.otherwise(_first_lines(body, lambda x: x.rlike(r"[^\s]")))
+
+
+def text_matches(texts: DataFrame, templates: dict[str, str] = LONG) -> DataFrame:
+    """file, line, license, cosine of the texts that reach the threshold, by term counts."""
+    spark = texts.sparkSession
+    idf, unknown = template_idf(templates)
+    rows, least = [], len(idf)
+    for name, text in templates.items():
+        counts = Counter(w for w in re.split(NOT_ALPHANUMERIC, text.lower()) if w)
+        size = math.sqrt(sum((n * idf[w]) ** 2 for w, n in counts.items()))
+        weights = {w: n * idf[w] / size for w, n in counts.items()}
+        rows += [(w, name.split(" ")[0], name, v * idf[w]) for w, v in sorted(weights.items())]
+        # The cosine is at most the length of the template's part that the text holds.
+        mass, needed = 0.0, 0
+        for v in sorted(weights.values(), reverse=True):
+            if mass >= THRESHOLD**2:
+                break
+            mass, needed = mass + v * v, needed + 1
+        least = min(least, needed)
+    terms = spark.createDataFrame(rows, "word string, license string, template string, weight double")
+    known = F.size(F.array_intersect("words", F.array(*(F.lit(w) for w in idf))))
+    table = spark.createDataFrame(sorted(idf.items()), "word string, idf double")
+    counted = (
+        texts.select("file", "line", _words(F.col("text")).alias("words"))
+        .filter(known >= least)
+        .select("file", "line", F.explode("words").alias("word"))
+        .groupBy("file", "line", "word")
+        .agg(F.count("*").alias("n"))
+    )
+    norms = (
+        counted.join(F.broadcast(table), "word", "left")
+        .groupBy("file", "line")
+        .agg(F.sqrt(F.sum(F.pow(F.col("n") * F.coalesce("idf", F.lit(unknown)), 2))).alias("norm"))
+    )
+    dots = (
+        counted.join(F.broadcast(terms), "word")
+        .groupBy("file", "line", "license", "template")
+        .agg(F.sum(F.col("n") * F.col("weight")).alias("dot"))
+    )
+    cosine = F.round(F.col("dot") / F.col("norm"), 6)
+    return (
+        dots.join(norms, ["file", "line"])
+        .select("file", "line", "license", cosine.alias("cosine"))
+        .filter(F.col("cosine") >= THRESHOLD)
+    )
+
+
 def header_matches(files: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """file, line, license, cosine of each line that reaches the threshold."""
     spark = files.sparkSession
     idf, unknown = template_idf(templates)
     rows = [
-        (word, name, idf[word] ** 2 / math.sqrt(sum(idf[w] ** 2 for w in template_words(text))))
+        (word, name, name.split(" ")[0], idf[word] ** 2 / math.sqrt(sum(idf[w] ** 2 for w in template_words(text))))
         for name, text in templates.items()
         for word in sorted(template_words(text))
     ]
-    terms = spark.createDataFrame(rows, "word string, license string, weight double")
+    terms = spark.createDataFrame(rows, "word string, template string, license string, weight double")
     lines = files.select(
         "file",
         F.posexplode(
@@ -108,7 +260,7 @@ def header_matches(files: DataFrame, templates: dict[str, str] = TEMPLATES) -> D
     )
     dots = (
         terms_of.join(F.broadcast(terms), "word")
-        .groupBy("file", "line", "license")
+        .groupBy("file", "line", "template", "license")
         .agg(F.sum("weight").alias("dot"))
     )
     cosine = F.round(F.col("dot") / F.col("norm"), 6)
@@ -130,15 +282,34 @@ def scan(df: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
         whole_text().alias("text"),
     )
     keyed = files.withColumn("file", F.concat_ws("-", "doc_id", F.xxhash64("path", "text")))
-    matches = stored(
-        header_matches(keyed.select("file", "text"), templates), "headers"
+    named = keyed.filter(F.col("path").rlike(LICENSE_FILE)).distinct()
+    blocks = stored(
+        keyed.select("file", header_block(F.col("text")).alias("text")).distinct(), "blocks"
+    )
+    # By rank: all of a licence file, header blocks, lines, short forms.
+    whole, block, line, short = range(4)
+    several = blocks.filter(F.col("text").contains("\n"))
+    texts = named.select("file", F.lit(whole).alias("line"), "text").union(
+        several.select("file", F.lit(block), "text")
     )
+    found = text_matches(texts)
+    columns = ("file", "rank", "line", "license", "cosine")
+    matches = stored(
+        found.select("file", F.col("line").alias("rank"), F.lit(-1).alias("line"), "license", "cosine")
+        .union(
+            header_matches(keyed.select("file", "text"), templates)
+            .withColumn("rank", F.lit(line))
+            .select(*columns)
+        )
+        .union(header_matches(blocks, SHORT).withColumn("rank", F.lit(short)).select(*columns)),
+        "headers",
+    ).join(named.select("file", F.lit(True).alias("named")), "file", "left")
+    # A first line speaks for its folder in any file, the other forms in licence files.
+    declares = ((F.col("rank") == line) & (F.col("line") == 0)) | F.coalesce("named", F.lit(False))
+    order = F.struct("rank", (-F.col("cosine")).alias("c"), "license", "line")
     own = (
         matches.groupBy("file")
-        .agg(
-            F.min(F.struct((-F.col("cosine")).alias("c"), "license", "line")).alias("best"),
-            F.min(F.when(F.col("line") == 0, F.struct((-F.col("cosine")).alias("c"), "license"))).alias("first"),
-        )
+        .agg(F.min(order).alias("best"), F.min(F.when(declares, order)).alias("first"))
         .select(
             "file",
             F.col("best.license").alias("own_license"),

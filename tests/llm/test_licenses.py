@@ -1,3 +1,5 @@
+from pathlib import Path
+
 from hourcast.llm import licenses
 
 FILE = "doc_id long, path string, text string"
@@ -47,3 +49,70 @@ def test_odd_rows_and_empty_table(spark):
     found = licenses.scan(spark.createDataFrame(rows, FILE)).collect()
     assert len(found) == 5
     assert licenses.scan(spark.createDataFrame([], FILE)).count() == 0
+
+
+APACHE = """/*
+ * Copyright 2020 The Authors.
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.
+ */
+"""
+GPL = """#!/usr/bin/python
+# A tool, (C) 2019 Someone
+#
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU {0}General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU {0}General Public License for more details.
+#
+# You should have received a copy of the GNU {0}General Public License
+# along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+
+
+def test_wrapped_headers_count_as_one_text(spark):
+    code = "\nint main() { return 0; }\n" * 50
+    got = scan(
+        spark, (1, "a/apache", APACHE + code), (2, "a/gpl", GPL.format("") + code),
+        (3, "a/lgpl", GPL.format("Lesser ") + code), (4, "a/agpl", GPL.format("Affero ") + code), (5, "a/b", code),
+    )
+    assert got == {"a/apache": "Apache-2.0", "a/gpl": "GPL", "a/lgpl": "LGPL", "a/agpl": "AGPL", "a/b": None}
+
+
+def test_full_licence_files_speak_for_their_folder(spark):
+    text = {f.stem: f.read_text() for f in (Path(licenses.__file__).parent / "license_texts").glob("*.txt")}
+    mit = "MIT License\n\nCopyright (c) 2021 A. Person\nAll rights reserved.\n\n" + licenses.LONG["MIT whole"]
+    rows = [(1, "m/LICENSE", mit), (2, "m/deep/er/x", "x")]
+    for i, name in enumerate(sorted(text)):
+        rows += [(10 + i, f"{name}/COPYING.txt", text[name]), (50 + i, f"{name}/d/x", "x")]
+    got = scan(spark, *rows)
+    assert (got["m/LICENSE"], got["m/deep/er/x"]) == ("MIT", "MIT")
+    for name in text:
+        want = name.split("-")[0] if "GPL" in name else name
+        assert (got[f"{name}/COPYING.txt"], got[f"{name}/d/x"]) == (want, want)
+
+
+def test_titles_and_tags(spark):
+    lines = {
+        "MIT License": "MIT", "GNU GENERAL PUBLIC LICENSE": "GPL", "Apache License": "Apache-2.0",
+        "// SPDX-License-Identifier: MIT": "MIT", "# SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+        "Copyright (c) 2020 X. All rights reserved.": "Proprietary", "SPDX-License-Identifier: ISC": None,
+        "The licence of the public house": None,
+    }
+    got = scan(spark, *((i, f"{i}/x", line) for i, line in enumerate(lines)))
+    assert [got[f"{i}/x"] for i in range(len(lines))] == list(lines.values())
