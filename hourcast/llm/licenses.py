@@ -39,7 +39,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourcast.llm.text import NOT_ALPHANUMERIC, lower_ascii, split_words, stored, whole_text
+from hourcast.llm.text import NOT_ALPHANUMERIC, lower_ascii, settled, split_words, stored, whole_text
 
 THRESHOLD = 0.7
 # Sentences that name a licence in one line.
@@ -131,6 +131,11 @@ SHORT: dict[str, str] = {
     }.items()
     for title in titles
 }
+# English words that say nothing on licences.
+COMMON = set(
+    "a all an and any are as at be but by can for from has have if in is it its may more no not of on "
+    "one only or other see such that the their this to under use was which will with you your".split()
+)
 # Names of licence files, with or without an ending.
 LICENSE_FILE = r"(?i)(^|/)(un)?(licen[cs]e|copying|copyright)([-_.][^/]*)?$"
 
@@ -179,32 +184,54 @@ def header_block(text: Column) -> Column:
     return block.otherwise(_first_lines(body, lambda x: x.rlike(r"[^\s]")))
 
 
-def text_matches(texts: DataFrame, templates: dict[str, str] = LONG) -> DataFrame:
-    """file, line, license, cosine of the texts that reach the threshold, by term counts."""
-    spark = texts.sparkSession
-    idf, unknown = template_idf(templates)
-    rows, least = [], len(idf)
+def template_weights(templates: dict[str, str]) -> dict[str, dict[str, float]]:
+    """Each template as a vector of length 1 over its words, (ln(count) + 1) * idf."""
+    idf, _ = template_idf(templates)
+    vectors = {}
     for name, text in templates.items():
         counts = Counter(w for w in re.split(NOT_ALPHANUMERIC, text.lower()) if w)
-        size = math.sqrt(sum((n * idf[w]) ** 2 for w, n in counts.items()))
-        weights = {w: n * idf[w] / size for w, n in counts.items()}
-        rows += [(w, name.split(" ")[0], name, v * idf[w]) for w, v in sorted(weights.items())]
-        # The cosine is at most the length of the template's part that the text holds.
-        mass, needed = 0.0, 0
-        for v in sorted(weights.values(), reverse=True):
-            if mass >= THRESHOLD**2:
+        weights = {w: (math.log(n) + 1) * idf[w] for w, n in counts.items()}
+        size = math.sqrt(sum(v * v for v in weights.values()))
+        vectors[name] = {w: v / size for w, v in weights.items()}
+    return vectors
+
+
+def may_match(words: Column, templates: dict[str, str]) -> Column:
+    """Whether words hold enough of a template's telling words to reach the threshold.
+
+    The cosine is at most the length of the template's part that the words hold, so
+    even with all of its COMMON words a text needs `least` others.
+    """
+    telling = template_words(" ".join(templates.values())) - COMMON
+    least = len(telling)
+    for weights in template_weights(templates).values():
+        mass = sum(v * v for w, v in weights.items() if w in COMMON)
+        needed = 0
+        for v in sorted((v for w, v in weights.items() if w not in COMMON), reverse=True):
+            if mass >= THRESHOLD**2 - 1e-5:
                 break
             mass, needed = mass + v * v, needed + 1
         least = min(least, needed)
+    return F.size(F.array_distinct(F.filter(words, lambda w: w.isin(sorted(telling))))) >= least
+
+
+def text_matches(texts: DataFrame, templates: dict[str, str] = LONG) -> DataFrame:
+    """file, line, license, cosine of the texts that reach the threshold, by term counts."""
+    spark = texts.sparkSession
+    idf, unknown = template_idf(templates)
+    rows = [
+        (word, name.split(" ")[0], name, v * idf[word])
+        for name, weights in template_weights(templates).items()
+        for word, v in sorted(weights.items())
+    ]
     terms = spark.createDataFrame(rows, "word string, license string, template string, weight double")
-    known = F.size(F.array_intersect("words", F.array(*(F.lit(w) for w in idf))))
     table = spark.createDataFrame(sorted(idf.items()), "word string, idf double")
     counted = (
         texts.select("file", "line", _words(F.col("text")).alias("words"))
-        .filter(known >= least)
+        .filter(may_match(F.col("words"), templates))
         .select("file", "line", F.explode("words").alias("word"))
         .groupBy("file", "line", "word")
-        .agg(F.count("*").alias("n"))
+        .agg((F.log(F.count("*")) + 1).alias("n"))
     )
     norms = (
         counted.join(F.broadcast(table), "word", "left")
@@ -283,8 +310,13 @@ def scan(df: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     )
     keyed = files.withColumn("file", F.concat_ws("-", "doc_id", F.xxhash64("path", "text")))
     named = keyed.filter(F.col("path").rlike(LICENSE_FILE)).distinct()
+    first_texts = keyed.select("file", header_block(F.col("text")).alias("text"))
+    words = first_texts.withColumn("words", _words(F.col("text")))
     blocks = stored(
-        keyed.select("file", header_block(F.col("text")).alias("text")).distinct(), "blocks"
+        settled(words, may_match(F.col("words"), LONG) | may_match(F.col("words"), SHORT))
+        .select("file", "text")
+        .distinct(),
+        "blocks",
     )
     # By rank: all of a licence file, header blocks, lines, short forms.
     whole, block, line, short = range(4)
