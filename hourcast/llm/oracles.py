@@ -83,6 +83,35 @@ FROM reach JOIN d a ON a.r = reach.x JOIN d b ON b.r = reach.y LEFT JOIN n ON n.
 GROUP BY a.r, a.doc_id, n.n
 """
 
+SOURCE_MIX = rf"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{SPACE_WORD}')) AS size,
+    md5('0:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS key FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS s, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+  FROM d GROUP BY source
+), w AS (SELECT source, s, CASE place % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w FROM s),
+c AS (
+  SELECT source, s, w, sum(s) OVER () - coalesce(sum(3 * s) OVER before, 0) AS words,
+    sum(w) OVER after AS weight, row_number() OVER (ORDER BY s::DOUBLE / w, source) AS i
+  FROM w WINDOW before AS (ORDER BY s::DOUBLE / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    after AS (ORDER BY s::DOUBLE / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), level AS (SELECT words, weight FROM c WHERE 3 * s * weight >= words * w ORDER BY i LIMIT 1),
+t AS (
+  SELECT source, s, CASE WHEN 3 * s * level.weight < level.words * w THEN (3 * s)::DOUBLE
+    ELSE level.words::DOUBLE * w / level.weight::DOUBLE END AS target FROM w, level
+), b AS (SELECT *, floor(target + 0.5)::BIGINT AS budget FROM t),
+r AS (
+  SELECT doc_id, size, s, target, CASE WHEN s > 0 THEN budget // s ELSE 0 END AS epochs, budget,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
+)
+SELECT doc_id, size::BIGINT AS size, s AS source_size, target,
+  (epochs * size + least(greatest(budget - epochs * s - ahead, 0), size))::BIGINT AS taken
+FROM r
+"""
+
 
 def _license_sql() -> str:
     idf, unknown = template_idf()
@@ -125,4 +154,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_signature_tree_join": SIGNATURE_TREE,
         "op9_prefix_filter_decontamination": DECONTAMINATION,
         "op10_license_scan": _license_sql(),
+        "op12_source_mix": SOURCE_MIX,
     }

@@ -12,6 +12,7 @@ from hourcast.llm import (
     html,
     jaccard,
     licenses,
+    mixing,
     packing,
     pii,
     quality,
@@ -105,6 +106,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(files)
 
 
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: f for name, f in list(globals().items()) if name.startswith("op") and "_" in name
 }
