@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.llm import (
+    alignment,
     decontaminate,
     html,
     jaccard,
@@ -112,6 +113,10 @@ def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merge_path_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: f for name, f in list(globals().items()) if name.startswith("op") and "_" in name
 }
