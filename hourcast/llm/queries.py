@@ -20,6 +20,7 @@ from hourcast.llm import (
     sharding,
     token_files,
     toxicity,
+    whitening,
 )
 from hourcast.session import scratch_path
 
@@ -107,6 +108,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(files)
 
 
+def op11_exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return whitened.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
 def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
