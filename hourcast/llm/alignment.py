@@ -19,7 +19,6 @@ gives no rows. Only doc_id and text are read, so further columns may have any na
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,6 +34,7 @@ from pyspark.sql import functions as F
 from hourcast.functions.arrow import lists
 from hourcast.llm import merge_path
 from hourcast.llm.text import stored
+from hourcast.llm.tokens import IDS, encoder
 
 # Texts aligned at a time: up to so many, and no further text beyond so many characters.
 BATCH_TEXTS, BATCH_CHARACTERS = 256, 1 << 21
@@ -86,20 +86,18 @@ def _vocabulary(encode, tokens: list[bytes]) -> Vocabulary:
 @lru_cache(maxsize=2)
 def byte_level(path: str) -> Vocabulary:
     """One for each worker process; encodes space + text."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    symbols, ids = byte_symbols(), tokenizer.get_vocab()
+    symbols, ids = byte_symbols(), Tokenizer.from_file(path).get_vocab()
     tokens = [b""] * (max(ids.values()) + 1)
     for token, at in ids.items():
         # A special token's string need not be of such characters; plain texts never get it.
         tokens[at] = bytes(symbols.get(c, 0) for c in token)
+    own = encoder(path, plain=True)
 
-    def encode(texts: list[str]) -> list[list[int]]:
-        found = tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [e.ids for e in found]
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        found = own(pa.array(texts, pa.string()), after_space=True)
+        return [np.frombuffer(x, IDS).astype(np.int64) for x in found]
 
     return _vocabulary(encode, tokens)
 
@@ -116,8 +114,8 @@ def pieces(path: str) -> Vocabulary:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
-    def encode(texts: list[str]) -> list[list[int]]:
-        return model.encode(texts, num_threads=1)
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x, np.int64) for x in model.encode(texts, num_threads=1)]
 
     return _vocabulary(encode, [raw(model.id_to_piece(k)) for k in range(model.get_piece_size())])
 
@@ -150,7 +148,7 @@ def aligned(texts: list[str | None], a: Vocabulary, b: Vocabulary) -> tuple[Side
     if live:
         some = [texts[k] for k in live]
         raw = [b" " + text.encode() for text in some]
-        found = [[np.array(x, dtype=np.int64) for x in encode(some)] for encode, _ in own]
+        found = [encode(some) for encode, _ in own]
         good = [_faithful(v, x, raw) for (_, v), x in zip(own, found, strict=True)]
         for place, k in enumerate(live):
             if good[0][place] and good[1][place]:
@@ -166,7 +164,7 @@ def aligned(texts: list[str | None], a: Vocabulary, b: Vocabulary) -> tuple[Side
 
 def _starts(side: Side, n: int) -> np.ndarray:
     """Where each group begins on a side; one more for the end."""
-    return np.searchsorted(side.group, np.arange(n + 1))
+    return np.concatenate(([0], np.cumsum(np.bincount(side.group, minlength=n))))
 
 
 def digests(a: Side, b: Side) -> list[str]:

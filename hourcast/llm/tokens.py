@@ -1,14 +1,17 @@
 """Token ids of whole texts.
 
-Byte-pair encoding works on pieces that never cross a single space between two
-characters that are not white space, so ids of a text are those of its chunks between
-such spaces, put together. The tokenizers library encodes each new chunk once; a worker
-keeps the ids of at most `HELD` chunks. Texts with a space beside other white space or
-at an end, or with a special token's string, are encoded whole.
+A byte-level vocabulary's encoding works on pieces that never cross a single space between
+two characters that are not white space, nor a letter's end before punctuation, nor a line
+end between two such characters. So ids of a text are those of its chunks between these
+places, put together. The tokenizers library encodes each new chunk once; a worker keeps the
+ids of the chunks it met last, two generations of at most `HELD`. Texts with a space beside
+other white space or at an end, or with a special token's string, are encoded whole, and so
+are all texts of a vocabulary that splits them in another way.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from functools import lru_cache
 
@@ -16,11 +19,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-HELD = 400_000
+HELD = 200_000
 IDS = np.dtype("<u4")
 _JOINED = 2_000
+# Before a chunk that does not follow a space. Texts that hold it are encoded whole.
+_MARK = "\x1f"
 _WHITE = r"[\x{00}-\x{20}\x{7f}-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}-\x{2064}\x{3000}\x{feff}]"
-_UNEVEN = rf"^ | $| {_WHITE}|{_WHITE} "
+_UNEVEN = rf"^ | $|{_MARK}| {_WHITE}|{_WHITE} "
+# Characters whose class every version of Unicode agrees on.
+_LINE_END = r"([!-~À-ÿ])\n([!-~À-ÿ])"
+_PUNCTUATED = r"([0-9A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?]+)( |$)"
 
 
 def default_vocabulary() -> str:
@@ -29,84 +37,127 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class _Generation:
+    """Chunks and their ids end to end."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.ids = np.empty(0, dtype=IDS)
+        self.ends = np.zeros(1, dtype=np.int64)
+
+    def add(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        known = len(self.numbers)
+        self.numbers.update(zip(chunks, range(known, known + len(chunks)), strict=True))
+        self.ends = np.concatenate((self.ends, len(self.ids) + np.cumsum(sizes)))
+        self.ids = np.concatenate((self.ids, ids))
+
+    def of(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of known chunks begin, and how many they are."""
+        at = np.array([self.numbers[c] for c in chunks], dtype=np.int64)
+        return self.ends[at], self.ends[at + 1] - self.ends[at]
+
+
+def _taken(ids: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches of ids, one after the other."""
+    until = np.cumsum(sizes)
+    total = int(until[-1]) if len(until) else 0
+    return ids[np.repeat(begins - until + sizes, sizes) + np.arange(total)]
+
+
 class Encoder:
-    """Ids of a column of texts, as bytes of little-endian unsigned 32-bit integers."""
+    """Ids of a column of texts, as bytes of little-endian unsigned 32-bit integers.
+
+    With `plain`, special tokens' strings in a text are plain text.
+    """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, plain: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.encode_special_tokens = plain
         special = {t.content for t in self._tokenizer.get_added_tokens_decoder().values()}
-        self._special = sorted(special)
+        self._special = [] if plain else sorted(special)
+        settings = json.loads(self._tokenizer.to_str())
+        split = settings["pre_tokenizer"] or {}
+        self._by_chunks = settings["normalizer"] is None and (
+            split.get("type"), split.get("use_regex"), split.get("add_prefix_space")
+        ) == ("ByteLevel", True, False)
         # A byte-level token has one character for each of its bytes.
         vocabulary = self._tokenizer.get_vocab()
         self._bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
         for token, at in vocabulary.items():
             self._bytes[at] = len(token)
-        self._forget()
-
-    def _forget(self) -> None:
-        self._numbers: dict[str, int] = {}
-        self._ids = np.empty(0, dtype=IDS)
-        self._ends = np.zeros(1, dtype=np.int64)
+        self._new, self._old = _Generation(), _Generation()
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=IDS) for e in encoded]
 
     def _learn(self, chunks: list[str]) -> None:
-        """Encode chunks that follow a space, many in one text; bytes tell them apart."""
-        texts = [
-            " " + " ".join(chunks[k : k + _JOINED]) for k in range(0, len(chunks), _JOINED)
-        ]
-        ids = np.concatenate(self._whole(texts))
-        sizes = np.array([len(c.encode()) + 1 for c in chunks], dtype=np.int64)
-        ends = np.searchsorted(np.cumsum(self._bytes[ids]), np.cumsum(sizes)) + 1
-        known = len(self._numbers)
-        self._numbers.update(zip(chunks, range(known, known + len(chunks)), strict=True))
-        self._ends = np.concatenate((self._ends, len(self._ids) + ends))
-        self._ids = np.concatenate((self._ids, ids))
-
-    def _even(self, texts: pa.Array) -> list[bytes]:
+        """Encode chunks; those that follow a space many in one text, told apart by bytes."""
+        spaced = [c for c in chunks if c[:1] != _MARK]
+        if spaced:
+            texts = [" " + " ".join(spaced[k : k + _JOINED]) for k in range(0, len(spaced), _JOINED)]
+            ids = np.concatenate(self._whole(texts))
+            sizes = np.array([len(c.encode()) + 1 for c in spaced], dtype=np.int64)
+            ends = np.searchsorted(np.cumsum(self._bytes[ids]), np.cumsum(sizes)) + 1
+            self._new.add(spaced, ids, np.diff(ends, prepend=0))
+        others = [c for c in chunks if c[:1] == _MARK]
+        if others:
+            found = self._whole([c[1:] for c in others])
+            self._new.add(others, np.concatenate(found), np.array([len(f) for f in found]))
+
+    def _know(self, chunks: list[str]) -> None:
+        """Have all chunks in the new generation; it becomes the old one when it is full."""
+        missing = [c for c in chunks if c not in self._new.numbers]
+        if len(self._new.numbers) + len(missing) > HELD and self._new.numbers:
+            self._new, self._old = _Generation(), self._new
+            missing = chunks
+        kept = [c for c in missing if c in self._old.numbers]
+        if kept:
+            begins, sizes = self._old.of(kept)
+            self._new.add(kept, _taken(self._old.ids, begins, sizes), sizes)
+        if len(kept) < len(missing):
+            self._learn([c for c in missing if c not in self._old.numbers])
+
+    def _even(self, texts: pa.Array, after_space: bool) -> list[bytes]:
         """Texts that are chunks parted by single spaces."""
-        split = pc.split_pattern(texts, " ")
+        marked = pc.replace_substring_regex(texts, _LINE_END, f"\\1 {_MARK}\n {_MARK}\\2")
+        marked = pc.replace_substring_regex(marked, _PUNCTUATED, rf"\1 {_MARK}\2\3")
+        if not after_space:
+            marked = pc.binary_join_element_wise(_MARK, marked, "")
+        split = pc.split_pattern(marked, " ")
         offsets = split.offsets.to_numpy()
         coded = split.flatten().dictionary_encode()
         chunks = coded.dictionary.to_pylist()
-        if len(self._numbers) + len(chunks) > HELD:
-            self._forget()
-        new = [c for c in chunks if c not in self._numbers]
-        if new:
-            self._learn(new)
-        numbers = np.array([self._numbers[c] for c in chunks], dtype=np.int64)
-        at = numbers[coded.indices.to_numpy()]
-        begins, lengths = self._ends[at], self._ends[at + 1] - self._ends[at]
-        # The first chunk of a text has no space before it.
-        heads = offsets[:-1] - offsets[0]
-        first = self._whole([texts[k].as_py().split(" ", 1)[0] for k in range(len(texts))])
-        extra = np.array([len(f) for f in first], dtype=np.int64)
-        pool = np.concatenate((self._ids, *first))
-        begins[heads] = len(self._ids) + np.cumsum(extra) - extra
-        lengths[heads] = extra
-        until = np.cumsum(lengths)
-        ids = pool[np.repeat(begins - until + lengths, lengths) + np.arange(until[-1])]
-        stops = until[offsets[1:] - offsets[0] - 1]
+        self._know(chunks)
+        begins, sizes = self._new.of(chunks)
+        at = coded.indices.to_numpy()
+        ids = _taken(self._new.ids, begins[at], sizes[at])
+        stops = np.cumsum(sizes[at])[offsets[1:] - offsets[0] - 1]
         return [
-            ids[a:b].tobytes()
-            for a, b in zip(np.append(0, stops[:-1]), stops, strict=True)
+            ids[a:b].tobytes() for a, b in zip(np.append(0, stops[:-1]), stops, strict=True)
         ]
 
-    def __call__(self, texts: pa.Array) -> list[bytes]:
-        """One entry for each text; null is empty."""
+    def __call__(self, texts: pa.Array, after_space: bool = False) -> list[bytes]:
+        """One entry for each text; null is empty. `after_space`: of space + text."""
         texts = pc.fill_null(texts.cast(pa.string()), "")
-        whole = pc.or_(pc.match_substring_regex(texts, _UNEVEN), pc.equal(texts, ""))
-        for token in self._special:
-            whole = pc.or_(whole, pc.match_substring(texts, token))
+        if self._by_chunks:
+            whole = pc.or_(pc.match_substring_regex(texts, _UNEVEN), pc.equal(texts, ""))
+            for token in self._special:
+                whole = pc.or_(whole, pc.match_substring(texts, token))
+        else:
+            whole = pa.array(np.ones(len(texts), dtype=bool))
         out: list[bytes] = [b""] * len(texts)
+
+        def entire(some: pa.Array) -> list[bytes]:
+            prefix = " " if after_space else ""
+            return [a.tobytes() for a in self._whole([prefix + t for t in some.to_pylist()])]
+
         for places, encode in (
-            (pc.indices_nonzero(pc.invert(whole)), self._even),
-            (pc.indices_nonzero(whole), lambda x: [a.tobytes() for a in self._whole(x.to_pylist())]),
+            (pc.indices_nonzero(pc.invert(whole)), lambda some: self._even(some, after_space)),
+            (pc.indices_nonzero(whole), entire),
         ):
             if len(places):
                 for k, ids in zip(places.to_pylist(), encode(texts.take(places)), strict=True):
@@ -115,9 +166,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """One for each worker process and vocabulary."""
-    return Encoder(path)
+    return Encoder(path, plain)
 
 
 def id_lists(ids: list[bytes]) -> pa.ListArray:

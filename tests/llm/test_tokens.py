@@ -10,7 +10,8 @@ from hourcast.llm.tokens import IDS, Encoder, default_vocabulary
 HARD = [
     " a b", "a  b", " ", "\n", "a \n b", "a\n\nb c", "a<|endoftext|>b c d", "é\x85 b c\x1c d",
     "a\xa0b c", "a b\n", "\ta b", "x 's 't don't a 1 2 33 %% 4", "a​ b　 c", "a\x00 \x00b",
-    "漢字 テスト 👍🏽 x", "a\r\nb c", None, "", "word", "x" * 5_000 + " y",
+    "漢字 テスト 👍🏽 x", "a\r\nb c", "one, two.\nThree! x.\n\ny 5.,;: (a), b.c, ñ, é:\né\n.\n's", "a\u0301, b\x1f, c",
+    "a, b, c\nd\ne f.\n g", "漢, 字.\n漢", "it's, they'll.\n'tis 's, x", ".\n, ,", "×, ÷.", None, "", "word", "x" * 5_000 + " y",
 ]
 
 
@@ -31,6 +32,43 @@ def test_chunks_give_the_ids_of_whole_texts(plain, table):
     assert encode(pa.array([], pa.string())) == []
 
 
+def test_texts_after_a_space_and_special_strings_as_plain_text(table):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(default_vocabulary())
+    own.encode_special_tokens = True
+    texts = HARD + [r["text"] for r in table("documents").limit(60).collect()]
+    encode = Encoder(default_vocabulary(), plain=True)
+    found = encode(pa.array(texts, pa.string()), after_space=True)
+    expected = [own.encode(" " + (t or ""), add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, dtype=IDS).tolist() for x in found] == expected
+
+
+def test_chunks_are_forgotten_by_generations(monkeypatch, plain, table):
+    from hourcast.llm import tokens
+
+    texts = [r["text"] for r in table("documents").limit(40).collect()]
+    for held in (1, 300):
+        monkeypatch.setattr(tokens, "HELD", held)
+        encode = Encoder(default_vocabulary())
+        for _ in range(2):
+            for k in range(0, len(texts), 7):
+                found = encode(pa.array(texts[k : k + 7]))
+                expected = [plain(t) for t in texts[k : k + 7]]
+                assert [np.frombuffer(x, dtype=IDS).tolist() for x in found] == expected
+
+
+def test_other_vocabularies_are_encoded_whole(table):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, texts = Tokenizer.from_file(path), HARD + [r["text"] for r in table("documents").limit(9).collect()]
+    found = Encoder(path)(pa.array(texts, pa.string()))
+    expected = [own.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, dtype=IDS).tolist() for x in found] == expected
+
+
 def test_token_files_round_trip(spark, odd, plain, tmp_path):
     path = str(tmp_path / "tokens")
     token_files.write_tokens(odd, path)
