@@ -6,6 +6,7 @@ import numpy as np
 
 from fixtures.settings import (
     ACCOUNT_SHIFT,
+    DEAR,
     GRID,
     HORIZON,
     LAGS,
@@ -375,6 +376,80 @@ scores AS (SELECT account_int, {_SMAPE} FROM cells GROUP BY 1){_NAMED_SCORES}"""
     return gradient, scores
 
 
+def _training_step_sql(training_gradient: str) -> str:
+    """Weights by the rule, moved by the first update of Adam: the rate times the sign of the
+    gradient, but for the stabiliser."""
+    sizes = {name: (shape[0], shape[1] if len(shape) > 1 else 1) for name, shape in shapes(TINY_NET, len(METRIC_IDS)).items()}
+    shifts = {name: k for k, name in enumerate(sizes)} | {"account": ACCOUNT_SHIFT}
+    shift = "CASE name " + " ".join(f"WHEN '{n}' THEN {k}" for n, k in shifts.items()) + " END"
+    every = " UNION ALL ".join(
+        f"SELECT '{name}' AS name, i, j FROM range(0, {rows}) AS r(i), range(0, {columns}) AS c(j)"
+        for name, (rows, columns) in sizes.items()
+    )
+    exact = training_gradient.replace("round(total / (SELECT count(*) FROM errors), 6) AS mean", "total")
+    return f"""
+WITH gradient AS ({exact}),
+every AS (
+  {every}
+  UNION ALL SELECT 'account', i, j FROM gradient WHERE name = 'account'
+)
+SELECT name, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, round(
+  ((7 * i + 3 * j + {shift}) % 17 - 8) / 40.0 - CASE WHEN coalesce(total, 0) = 0 THEN 0.0 ELSE
+    CAST(0.01 * sqrt(1 - 0.999) / (1 - 0.9) AS DOUBLE) * 0.1 * total / (sqrt(0.001 * total * total) + 1e-8) END, 6) AS weight
+FROM every LEFT JOIN gradient USING (name, i, j)"""
+
+
+def _neighbours_sql() -> str:
+    """Cosines between the rows of two embeddings by the rule."""
+    names = list(shapes(SMALL_NET, len(METRIC_IDS)))
+    days = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+    weekdays = ", ".join(f"({k}, '{day}')" for k, day in enumerate(days))
+
+    def report(embedding: str, labels: str, dim: int) -> str:
+        def cell(row: str) -> str:
+            return f"(((7 * {row} + 3 * k + {names.index(embedding)}) % 17 - 8) / 40.0)"
+
+        def total(one: str, two: str) -> str:
+            cells = f"range(0, {dim}), lambda k: CAST({cell(one)} * {cell(two)} AS DOUBLE)"
+            return f"list_sum(list_transform({cells}))"
+
+        return f"""
+SELECT '{embedding}' AS embedding, label, CAST(rank AS INTEGER) AS rank, neighbour, round(cosine, 6) AS cosine
+FROM (
+  SELECT label, neighbour, cosine, row_number() OVER (PARTITION BY i ORDER BY cosine DESC, j) AS rank
+  FROM (
+    SELECT a.label, b.label AS neighbour, a.id AS i, b.id AS j,
+      round({total("a.id", "b.id")} / sqrt({total("a.id", "a.id")}) / sqrt({total("b.id", "b.id")}), 9) AS cosine
+    FROM {labels} a JOIN {labels} b ON a.id <> b.id
+  ) WHERE NOT isnan(cosine)
+) WHERE rank <= 3"""
+
+    return f"""{_HOURLY},
+metric_labels AS (SELECT row_number() OVER (ORDER BY metric) - 1 AS id, metric AS label FROM (SELECT DISTINCT metric FROM hourly)),
+rows AS (SELECT id FROM range(0, {len(METRIC_IDS)}) AS r(id)),
+metrics AS (SELECT id, label FROM rows LEFT JOIN metric_labels USING (id)),
+weekdays(id, label) AS (VALUES {weekdays})
+{report("metric", "metrics", SMALL_NET.metric_dim)}
+UNION ALL
+{report("weekday", "weekdays", SMALL_NET.weekday_dim)}"""
+
+
+def _late_sql() -> str:
+    """The hourly table of all orders, made at once."""
+    return f"""
+WITH signalling AS (SELECT CAST(o_custkey AS VARCHAR) AS account, o_orderdate AS ts, o_orderstatus AS op FROM orders),
+sessions AS (SELECT CAST(o_custkey AS VARCHAR) AS account, o_orderdate AS ts, o_orderpriority AS subscriber FROM orders),
+hourly AS (
+  SELECT account, date_trunc('hour', ts) AS hour, CASE op WHEN 'F' THEN 'countUL' ELSE 'countCL' END AS metric, count(*) AS value
+  FROM signalling WHERE op IN ('F', 'O') GROUP BY 1, 2, 3
+  UNION ALL SELECT account, date_trunc('hour', ts), 'mapsum', count(*) FROM signalling WHERE op IS NOT NULL GROUP BY 1, 2
+  UNION ALL SELECT account, date_trunc('hour', ts), 'createPdpCountV1', count(*) FROM sessions GROUP BY 1, 2
+  UNION ALL SELECT account, date_trunc('hour', ts), 'deletePdpCountV1', 0 FROM sessions GROUP BY 1, 2
+  UNION ALL SELECT account, date_trunc('hour', ts), 'imsiSum', count(DISTINCT subscriber) FROM sessions GROUP BY 1, 2
+)
+SELECT account, hour, CAST(isodow(hour) AS INTEGER) AS day_of_week, metric, value FROM hourly"""
+
+
 def oracle_sql() -> dict[str, str]:
     training_gradient, score_given_weights = _network_sql()
     hourly_rows = f"{_HOURLY} SELECT * FROM hourly"
@@ -391,7 +466,24 @@ def oracle_sql() -> dict[str, str]:
 shifted AS (SELECT *, {leads} FROM dense)
 SELECT account_int, metric_int, count(*) AS n, {wide}
 FROM shifted WHERE lead_5 IS NOT NULL GROUP BY 1, 2"""
+    reach = f"""hour >= TIMESTAMP '{VALID[0]}'
+  AND hour <= TIMESTAMP '{VALID[1]}' + INTERVAL {LAGS + HORIZON - 1} HOUR"""
     return {
+        "hourly_of_windows": f"{_HOURLY} SELECT * FROM hourly WHERE {reach}",
+        "month_table_pruning": f"""
+SELECT CAST(o_custkey AS VARCHAR) AS account, o_orderdate AS ts, o_orderstatus AS op,
+       CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
+FROM orders WHERE (year(o_orderdate), month(o_orderdate)) IN (
+  SELECT (year(o_orderdate), month(o_orderdate)) FROM orders
+  WHERE o_orderpriority = '1-URGENT' AND o_totalprice > {DEAR})""",
+        "late_events": _late_sql(),
+        "training_step": _training_step_sql(training_gradient),
+        "neighbour_report_given": _neighbours_sql(),
+        "samples_csv_splits": f"""{_SPLIT}
+SELECT split, account_int, metric_int, hour, dayofweek, x_first, x_last, y_first, y_last,
+       CAST(n_x AS INTEGER) AS n_x, CAST(n_y AS INTEGER) AS n_y,
+       round(x_sum, 6) AS x_sum, round(y_sum, 6) AS y_sum
+FROM split WHERE split IS NOT NULL""",
         "hourly_opcode_counts": f"WITH {_SIGNALLING},{_opcode_counts()} SELECT * FROM opcode_counts",
         "hourly_conditional_counts": (
             f"WITH {_SESSIONS},{_conditional_counts()} SELECT * FROM conditional_counts"

@@ -13,12 +13,13 @@ from dataclasses import replace
 from functools import cache
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixtures.settings import (
     ACCOUNT_SHIFT,
     AS_OF,
+    DEAR,
     GRID,
     HORIZON,
     LAGS,
@@ -29,25 +30,30 @@ from fixtures.settings import (
     SMALL_VALID,
     SPOT,
     SQL_FILE,
+    STATUS_METRICS,
     TINY_NET,
     TRAIN,
     VALID,
     WINDOWS,
     given_weights,
-    weight_rule,
 )
-from hourcast.config import METRIC_IDS, ForecastConfig
+from hourcast.config import METRIC_IDS, SUCCESS_CODE, ForecastConfig
+from hourcast.functions.network import pack
 from hourcast.functions.time import months_before, weekday
 from hourcast.operators import batches as batching
 from hourcast.operators import filters, hourly, keys, metrics, series
 from hourcast.operators.embeddings import embedding_lookup, embedding_topk
-from hourcast.operators.model import (
-    Model,
+from hourcast.operators.model import Model, forecast, save_model
+from hourcast.operators.training import (
+    Adam,
+    Trainer,
+    deal_windows,
     fit_forecaster,
-    forecast,
+    hold,
+    initial_state,
     loss_gradient,
-    save_model,
 )
+from hourcast.operators.series import Range
 from hourcast.plans import build, forecasting
 from hourcast.session import scratch_path
 from hourcast.sources import events as event_sources
@@ -120,11 +126,13 @@ def _blocks(
     spark: SparkSession,
     sf_dir: str,
     config: ForecastConfig = WINDOWS,
-    anchors: build.Range | None = None,
+    anchors: Range | None = None,
     table: DataFrame | None = None,
+    shuffled: int | None = None,
 ) -> DataFrame:
     table = _hourly(spark, sf_dir) if table is None else table
-    return build.window_blocks(table, _accounts(spark, sf_dir), GRID, anchors, config)
+    accounts = _accounts(spark, sf_dir)
+    return build.window_blocks(table, accounts, GRID, anchors, config, shuffled=shuffled)
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,13 +253,14 @@ def series_lead(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.series_lead(_dense(spark, sf_dir), [1, 24, 168])
 
 
-def _summary(samples: DataFrame) -> DataFrame:
+def _summary(samples: DataFrame, *more: str) -> DataFrame:
     """Both ends and the sums of every sample."""
 
     def total(c: str):
         return F.aggregate(c, F.lit(0.0), lambda acc, v: acc + v.cast("double"))
 
     return samples.select(
+        *more,
         "account_int",
         "metric_int",
         "hour",
@@ -338,15 +347,19 @@ def embedding_topk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_topk(table).withColumn("cosine", F.round("cosine", 6))
 
 
+def _shuffled_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.make_samples(_blocks(spark, sf_dir, shuffled=0), LAGS, HORIZON)
+
+
 def shuffle_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The position of every sample in the order of its hash."""
-    shuffled = batching.shuffle_samples(samples(spark, sf_dir))
+    shuffled = _shuffled_samples(spark, sf_dir)
     return shuffled.select("account_int", "metric_int", "hour", "position")
 
 
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch of every sample."""
-    dealt = batching.batches(samples(spark, sf_dir), 10_000)
+    dealt = batching.batches(_shuffled_samples(spark, sf_dir), 10_000)
     return dealt.select("account_int", "metric_int", "hour", "batch")
 
 
@@ -437,16 +450,20 @@ def score_stored_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def training_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean gradient by every weight, and mean loss, over all windows."""
-    weights = given_weights(TINY_NET)
-    n_accounts = _accounts(spark, sf_dir).count()
-    weights["account"] = weight_rule(n_accounts, TINY_NET.account_dim, ACCOUNT_SHIFT)
-    loss, n, grads = loss_gradient(_blocks(spark, sf_dir, TINY_NET), weights, TINY_NET)
+    model = _given_model(spark, sf_dir, TINY_NET)
+    one_batch = replace(TINY_NET, batches=1)
+    dealt = deal_windows(_blocks(spark, sf_dir, TINY_NET), one_batch, 0, scratch_path(spark, "dealt"))
+    windows = hold(dealt.drop("batch"))
+    loss, n, grads, by_account = loss_gradient(windows, model.weights, model.accounts, TINY_NET)
     rows = [("loss", 0, 0, loss / n)]
     for name, grad in grads.items():
         table = grad.reshape(len(grad), -1) / n
         rows += [(name, i, j, float(g)) for (i, j), g in np.ndenumerate(table)]
-    out = spark.createDataFrame(rows, "name string, i int, j int, mean double")
-    return out.withColumn("mean", F.round("mean", 6))
+    shared = spark.createDataFrame(rows, "name string, i int, j int, mean double")
+    accounts = by_account.select(
+        F.lit("account").alias("name"), F.col("id").alias("i"), F.posexplode("gradient").alias("j", "_g")
+    ).select("name", "i", "j", (F.col("_g") / n).alias("mean"))
+    return shared.unionByName(accounts).withColumn("mean", F.round("mean", 6))
 
 
 def forecast_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -485,7 +502,7 @@ def _single_account(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 def single_account_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples of the single-account layout, with metric ids taken from the data."""
     table, accounts = _single_account(spark, sf_dir)
-    ids = keys.label_ids(table, "metric")
+    ids = keys.label_table(table, "metric", "metric_int")
     blocks = build.window_blocks(table, accounts, GRID, None, WINDOWS, ids)
     return _summary(series.make_samples(blocks, LAGS, HORIZON))
 
@@ -493,13 +510,13 @@ def single_account_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 def single_account_forecaster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training without account vectors, a day to a block."""
     table, accounts = _single_account(spark, sf_dir)
-    ids = keys.label_ids(table, "metric")
+    ids = keys.label_table(table, "metric", "metric_int")
     config = replace(SMALL_NET, account_dim=0, metric_dim=4, weekday_dim=4)
     train, valid = (
         build.window_blocks(table, accounts, GRID, between, config, ids, block_hours=24)
         for between in (SMALL_TRAIN, SMALL_VALID)
     )
-    return fit_forecaster(train, valid, accounts, len(ids), config)[1]
+    return fit_forecaster(train, valid, accounts, keys.n_labels(ids), config)[1]
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -576,6 +593,120 @@ def samples_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hourly_of_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly table in the hours that the validation windows reach."""
+    return build.hourly_of_windows(
+        _signalling(spark, sf_dir),
+        _sessions(spark, sf_dir),
+        _accounts(spark, sf_dir),
+        GRID,
+        VALID,
+        WINDOWS.width,
+        OPCODES,
+    )
+
+
+def _dear() -> Column:
+    return (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > DEAR)
+
+
+def month_table_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in folders by month, read for the months in which an urgent order was dear."""
+    path = scratch_path(spark, "orders_by_month")
+    orders = event_sources.signalling_events(
+        _table(spark, sf_dir, "orders"), account="o_custkey", ts="o_orderdate", op="o_orderstatus"
+    )
+    sinks.write_events(orders, path)
+    dear = _table(spark, sf_dir, "orders").where(_dear())
+    months = dear.select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+    kept = filters.in_months_of(event_sources.read_table(spark, path), months)
+    return kept.select("account", "ts", "op", "year", "month")
+
+
+def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored hourly table of orders to which dear urgent ones come late.
+
+    An order is an event of its customer; its status is the opcode, its priority the
+    subscriber. The table after the addition is that of all orders.
+    """
+    orders = _table(spark, sf_dir, "orders")
+    late = F.coalesce(_dear(), F.lit(False))
+    sources = {
+        "signalling": lambda rows: event_sources.signalling_events(
+            rows, account="o_custkey", ts="o_orderdate", op="o_orderstatus"
+        ),
+        "sessions": lambda rows: event_sources.session_events(
+            rows,
+            account="o_custkey",
+            ts="o_orderdate",
+            code=F.lit(SUCCESS_CODE),
+            rectype=F.lit(1),
+            subscriber="o_orderpriority",
+        ),
+    }
+    paths = {name: scratch_path(spark, name) for name in sources}
+    stored = []
+    for name, source in sources.items():
+        schema, path = sinks.append_events(source(orders.where(~late)), paths[name], "first")
+        stored.append(spark.read.schema(schema).parquet(path))
+    hourly_path = scratch_path(spark, "hourly_by_month")
+    sinks.write_hourly_months(hourly.hourly_metrics(*stored, opcodes=STATUS_METRICS), hourly_path)
+    found = build.add_late_events(
+        paths["signalling"],
+        paths["sessions"],
+        hourly_path,
+        *(source(orders.where(late)) for source in sources.values()),
+        load="late",
+        opcodes=STATUS_METRICS,
+    )
+    return found.select("account", "hour", "day_of_week", "metric", "value")
+
+
+def training_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weights after one update from given ones, over all windows."""
+    model = _given_model(spark, sf_dir, TINY_NET)
+    folder = scratch_path(spark, "training_step")
+    one_batch = replace(TINY_NET, batches=1, learning_rate=1e-2)
+    dealt = deal_windows(_blocks(spark, sf_dir, TINY_NET), one_batch, 0, f"{folder}/windows")
+    windows = hold(dealt.drop("batch"))
+    adam = Adam.start(one_batch, pack(model.weights))
+    trainer = Trainer(spark, model.weights, adam, initial_state(model.accounts), folder)
+    trainer.step(windows, windows.agg(F.sum(F.size("starts"))).first()[0])
+    windows.unpersist()
+    moved = trainer.model()
+    rows = [
+        (name, i, j, float(w))
+        for name, weight in moved.weights.items()
+        for (i, j), w in np.ndenumerate(weight.reshape(len(weight), -1))
+    ]
+    shared = spark.createDataFrame(rows, "name string, i int, j int, weight double")
+    accounts = moved.accounts.select(
+        F.lit("account").alias("name"), F.col("id").alias("i"), F.posexplode("vec").alias("j", "weight")
+    )
+    return shared.unionByName(accounts).withColumn("weight", F.round("weight", 6))
+
+
+def neighbour_report_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report over embeddings whose weights follow the rule, with ids from the data."""
+    ids = keys.label_table(_hourly(spark, sf_dir), "metric", "metric_int")
+    report = forecasting.neighbour_report(spark, _given_model(spark, sf_dir, SMALL_NET), ids)
+    return report.withColumn("cosine", F.round("cosine", 6))
+
+
+def samples_csv_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training and validation samples of 168 + 24 hours through a text export for each."""
+    path = scratch_path(spark, "samples_csv_splits")
+    split = build.split_samples(
+        _hourly(spark, sf_dir), _accounts(spark, sf_dir), GRID, TRAIN, VALID, WINDOWS
+    )
+    sinks.write_samples_csv(split, path, LAGS, HORIZON)
+    parts = [
+        sample_files.read_samples_csv(spark, path, LAGS, HORIZON, name).withColumn("split", F.lit(name))
+        for name in ("train", "valid")
+    ]
+    return _summary(parts[0].unionByName(parts[1]), "split")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_opcode_counts": hourly_opcode_counts,
     "hourly_conditional_counts": hourly_conditional_counts,
@@ -621,4 +752,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parquet_roundtrip": parquet_roundtrip,
     "events_roundtrip": events_roundtrip,
     "samples_roundtrip": samples_roundtrip,
+    "hourly_of_windows": hourly_of_windows,
+    "month_table_pruning": month_table_pruning,
+    "late_events": late_events,
+    "training_step": training_step,
+    "neighbour_report_given": neighbour_report_given,
+    "samples_csv_splits": samples_csv_splits,
 }

@@ -11,6 +11,9 @@ from hourcast.config import METRIC_IDS, ForecastConfig
 from hourcast.functions.network import shapes
 
 OPCODES = {"click": "countSAI", "view": "countUL", "purchase": "countUGL", "signup": "countCL"}
+# Orders as events: their status is the opcode. Urgent orders above this price choose months.
+STATUS_METRICS = {"F": "countUL", "O": "countCL"}
+DEAR = 480_000
 GRID = ("2024-01-01 00:00:00", "2024-01-31 00:00:00")
 AS_OF = date(2024, 2, 15)
 ORDERS_AS_OF = date(2000, 3, 15)

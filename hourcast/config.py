@@ -58,6 +58,9 @@ class ForecastConfig:
 
     An embedding size of 0 leaves that key out of the model. `precision` is that
     of the network on a chunk of windows; weights and sums are always double.
+    `batch_size` windows of the random order make a batch, and the first `batches` of them
+    are trained on; without it all windows are dealt into `batches`. A job makes
+    `local_steps` updates.
     """
 
     account_dim: int = 7
@@ -68,7 +71,9 @@ class ForecastConfig:
     horizon: int = 168
     learning_rate: float = 1e-4
     batches: int = 5
+    batch_size: int | None = None
     sub_steps: int = 2_000
+    local_steps: int = 1
     stop_below: float | None = 10.5
     check_every: int = 100
     precision: str = "float32"
@@ -83,13 +88,14 @@ class ForecastConfig:
         return self.lags + self.relu_width
 
 
-MULTI_ACCOUNT = ForecastConfig()
+MULTI_ACCOUNT = ForecastConfig(batch_size=26_880)
 SINGLE_ACCOUNT = ForecastConfig(
     account_dim=0,
     metric_dim=16,
     weekday_dim=16,
     relu_width=8,
     batches=10,
+    batch_size=1_000,
     sub_steps=20_000,
     stop_below=None,
     check_every=20_000,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hourcast.functions.time import add_hours
 from hourcast.operators.keys import number_within
 
+BLOCK = ["account_int", "metric_int", "block"]
 SAMPLE = ["account_int", "metric_int", "hour"]
 
 # Leading hex digits of the hash: their ranges are numbered in parallel. Sample
@@ -32,10 +33,45 @@ def shuffle_samples(samples: DataFrame, seed: int = 0) -> DataFrame:
     return number_within(bucketed, "_bucket", ["_hash", *SAMPLE], "position").drop("_hash")
 
 
-def batches(samples: DataFrame, batch_size: int, seed: int = 0) -> DataFrame:
+def block_positions(keys: DataFrame, seed: int = 0, block: str = "block") -> DataFrame:
+    """account_int, metric_int, `block`, positions: where `shuffle_samples` puts each window.
+
+    `keys` are rows of account_int, metric_int, hour (of the first window), n_windows and
+    `block`, which tells the blocks of a series apart. Only keys are shuffled, never values;
+    an array has one cell a window, so a block's is bounded as its values are.
+    """
+    windows = keys.select(
+        *SAMPLE[:2],
+        F.col(block).alias("_block"),
+        F.col("hour").alias("_from"),
+        F.explode(F.sequence(F.lit(0), F.col("n_windows") - 1)).alias("_o"),
+    ).select(*SAMPLE[:2], "_block", "_o", add_hours("_from", F.col("_o")).alias("hour"))
+    placed = F.sort_array(F.collect_list(F.struct("_o", "position")))
+    return (
+        shuffle_samples(windows, seed)
+        .groupBy(*SAMPLE[:2], F.col("_block").alias(block))
+        .agg(placed["position"].alias("positions"))
+    )
+
+
+def ordered_blocks(blocks: DataFrame, keys: DataFrame, seed: int = 0) -> DataFrame:
+    """Blocks with the `positions` of their windows in the random order.
+
+    `blocks` are numbered, and so already lie by the columns of the join: their values stay
+    where they are, and only the positions come to them.
+    """
+    return blocks.join(block_positions(keys, seed), BLOCK)
+
+
+def batch_at(batch_size: int) -> Column:
     """Exact mini-batches of the random order; the last may be smaller."""
-    ordered = shuffle_samples(samples, seed)
-    return ordered.withColumn("batch", F.floor(F.col("position") / batch_size).cast("int"))
+    return F.floor(F.col("position") / batch_size).cast("int")
+
+
+def batches(samples: DataFrame, batch_size: int, seed: int = 0) -> DataFrame:
+    """Samples with `position` and `batch`; samples that have a position keep it."""
+    ordered = samples if "position" in samples.columns else shuffle_samples(samples, seed)
+    return ordered.withColumn("batch", batch_at(batch_size))
 
 
 def batch_of(n_batches: int, seed: int, hour: Column | None = None) -> Column:

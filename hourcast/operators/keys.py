@@ -53,15 +53,46 @@ def dense_ids(keys: DataFrame, key: str, into: str) -> DataFrame:
     return numbered.select(key, F.col(into).cast("int"))
 
 
-def label_ids(rows: DataFrame, label: str, most: int = 10_000) -> dict[str, int]:
-    """A dictionary of all labels in a column, numbered from 0 in label order.
+# The ids of labels: a fixed dictionary, or a table (`label_table`) for any number of labels.
+Labels = Mapping[str, int] | DataFrame
 
-    For columns of few labels, such as metrics; more than `most` are an error.
+
+def label_table(rows: DataFrame, label: str, into: str) -> DataFrame:
+    """label, id: all labels in a column, numbered from 0 in label order.
+
+    The table is kept in the shared folder; it is joined, never collected.
     """
-    found = dense_ids(rows, label, "_id").limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"{label} has more than {most} values")
-    return {row[label]: row["_id"] for row in sorted(found, key=lambda row: row["_id"])}
+    return dense_ids(rows, label, into).checkpoint()
+
+
+def n_labels(labels: Labels) -> int:
+    return labels.count() if isinstance(labels, DataFrame) else len(labels)
+
+
+def all_ids(labels: Labels, into: str) -> Column:
+    """Every id as an array. Those of a table run from 0 without a gap, so their number is enough."""
+    if not isinstance(labels, DataFrame):
+        return F.array(*[F.lit(i) for i in labels.values()])
+    highest = labels.agg(F.max(into)).first()[0]
+    return F.array().cast("array<int>") if highest is None else F.sequence(F.lit(0), F.lit(highest))
+
+
+def with_ids(
+    rows: DataFrame, labels: Labels, label: str, into: str, keep_unknown: bool = True
+) -> DataFrame:
+    """Add the id of a label; rows of unknown labels get NULL, or are dropped."""
+    if isinstance(labels, DataFrame):
+        how = "left" if keep_unknown else "inner"
+        return rows.join(labels.select(label, into), label, how)
+    known = rows if keep_unknown else rows.where(F.col(label).isin(list(labels)))
+    return known.withColumn(into, label_id(labels, label))
+
+
+def with_labels(rows: DataFrame, labels: Labels, number: str, into: str) -> DataFrame:
+    """The inverse of `with_ids`; rows of unknown ids get NULL."""
+    if isinstance(labels, DataFrame):
+        return rows.join(labels.select(number, into), number, "left")
+    return rows.withColumn(into, id_label(labels, number))
 
 
 def label_id(ids: Mapping[str, int], label: Column | str) -> Column:
@@ -78,15 +109,13 @@ def id_label(ids: Mapping[str, int], number: Column | str) -> Column:
     return F.try_element_at(F.create_map(*pairs), column)
 
 
-def encode_keys(hourly: DataFrame, accounts: DataFrame, metrics: Mapping[str, int]) -> DataFrame:
+def encode_keys(hourly: DataFrame, accounts: DataFrame, metrics: Labels) -> DataFrame:
     """Add `account_int` and `metric_int`; keys without an id get NULL."""
-    return hourly.join(accounts.select("account", "account_int"), "account", "left").withColumn(
-        "metric_int", label_id(metrics, "metric")
-    )
+    numbered = hourly.join(accounts.select("account", "account_int"), "account", "left")
+    return with_ids(numbered, metrics, "metric", "metric_int")
 
 
-def decode_keys(encoded: DataFrame, accounts: DataFrame, metrics: Mapping[str, int]) -> DataFrame:
+def decode_keys(encoded: DataFrame, accounts: DataFrame, metrics: Labels) -> DataFrame:
     """Add `account` and `metric` back from their ids."""
-    return encoded.join(
-        accounts.select("account", "account_int"), "account_int", "left"
-    ).withColumn("metric", id_label(metrics, "metric_int"))
+    named = encoded.join(accounts.select("account", "account_int"), "account_int", "left")
+    return with_labels(named, metrics, "metric_int", "metric")

@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from datetime import date, datetime, timedelta
+from collections.abc import Mapping, Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourcast.config import METRIC_IDS, OPCODE_METRICS, ForecastConfig
 from hourcast.functions.time import parse
-from hourcast.operators.filters import keep_accounts, last_months, split_by_time
+from hourcast.operators.batches import ordered_blocks
+from hourcast.operators.filters import in_hours, in_months_of, keep_accounts, last_months, split_by_time
 from hourcast.operators.hourly import hourly_metrics
-from hourcast.operators.series import BLOCK_HOURS, make_samples, series_blocks
-
-Range = tuple[datetime | str, datetime | str]
+from hourcast.operators.keys import Labels
+from hourcast.operators.series import (
+    BLOCK_HOURS,
+    Range,
+    make_samples,
+    reached_hours,
+    series_blocks,
+    window_keys,
+)
+from hourcast.sources.hourly import read_hourly
+from hourcast.sources.sinks import append_events, write_hourly_months
 
 
 def training_table(
@@ -42,21 +51,93 @@ def window_blocks(
     hourly: DataFrame,
     accounts: DataFrame,
     grid: Range,
-    anchors: Range | None = None,
+    anchors: Range | Sequence[Range] | None = None,
     config: ForecastConfig = ForecastConfig(),
-    metrics: Mapping[str, int] = METRIC_IDS,
+    metrics: Labels = METRIC_IDS,
     labelled: bool = True,
     block_hours: int = BLOCK_HOURS,
+    shuffled: int | None = None,
 ) -> DataFrame:
     """Dense float32 arrays holding every window that starts within `anchors`.
 
-    Smaller blocks spread the work on few series over more tasks.
+    Smaller blocks spread the work on few series over more tasks. With a seed in `shuffled`
+    blocks have the `positions` of their windows in the random order of all of them.
     """
     width = config.width if labelled else config.lags
     blocks = series_blocks(
-        hourly, accounts, metrics, *grid, width=width, anchors=anchors, block_hours=block_hours
-    )
-    return blocks.withColumn("v", F.col("v").cast("array<float>"))
+        hourly,
+        accounts,
+        metrics,
+        *grid,
+        width=width,
+        anchors=anchors,
+        block_hours=block_hours,
+        numbered=shuffled is not None,
+    ).withColumn("v", F.col("v").cast("array<float>"))
+    if shuffled is None:
+        return blocks
+    keys = window_keys(accounts, metrics, *grid, width, anchors, block_hours)
+    return ordered_blocks(blocks, keys, shuffled).drop("block")
+
+
+def hourly_of_windows(
+    signalling: DataFrame,
+    sessions: DataFrame,
+    accounts: DataFrame,
+    grid: Range,
+    anchors: Range | Sequence[Range] | None = None,
+    width: int = 1,
+    opcodes: Mapping[str, str] = OPCODE_METRICS,
+) -> DataFrame:
+    """The hourly table of the listed accounts in the hours that windows reach, and no others.
+
+    The hours go down to the scans of both sources as ranges on the timestamp.
+    """
+    hours = reached_hours(*grid, width, anchors)
+    kept = [keep_accounts(in_hours(table, hours), accounts) for table in (signalling, sessions)]
+    return hourly_metrics(*kept, opcodes=opcodes)
+
+
+def refresh_hourly(
+    signalling: DataFrame,
+    sessions: DataFrame,
+    months: DataFrame,
+    path: str,
+    opcodes: Mapping[str, str] = OPCODE_METRICS,
+) -> DataFrame:
+    """Compute the months (year, month) of a stored hourly table anew, and return the table.
+
+    Of sources partitioned by month only these are read, and only these are replaced. A month
+    without events any more keeps what it had.
+    """
+    kept = [in_months_of(table, months) for table in (signalling, sessions)]
+    write_hourly_months(hourly_metrics(*kept, opcodes=opcodes), path)
+    return read_hourly(signalling.sparkSession, path)
+
+
+def add_late_events(
+    signalling_path: str,
+    sessions_path: str,
+    hourly_path: str,
+    late_signalling: DataFrame,
+    late_sessions: DataFrame,
+    load: str,
+    opcodes: Mapping[str, str] = OPCODE_METRICS,
+) -> DataFrame:
+    """Add events to the stored sources and bring the hourly table up to date.
+
+    Counts of distinct subscribers cannot be added up, so the months the late events fall in
+    are computed again from all their events. `load` names the addition: run twice, or again
+    after a failure, it replaces itself and counts once.
+    """
+    spark = late_signalling.sparkSession
+    stored = [
+        append_events(late, path, load)
+        for late, path in ((late_signalling, signalling_path), (late_sessions, sessions_path))
+    ]
+    months = [late.select(F.year("ts").alias("year"), F.month("ts").alias("month")) for late in (late_signalling, late_sessions)]
+    touched = months[0].unionByName(months[1]).distinct()
+    return refresh_hourly(*(spark.read.schema(s).parquet(p) for s, p in stored), touched, hourly_path, opcodes)
 
 
 def latest_windows(
@@ -64,7 +145,7 @@ def latest_windows(
     accounts: DataFrame,
     grid: Range,
     config: ForecastConfig = ForecastConfig(),
-    metrics: Mapping[str, int] = METRIC_IDS,
+    metrics: Labels = METRIC_IDS,
 ) -> DataFrame:
     """The last `lags` hours of every series, to forecast what comes next."""
     last = parse(grid[1]) - timedelta(hours=config.lags)
@@ -78,13 +159,12 @@ def split_samples(
     train: Range,
     valid: Range,
     config: ForecastConfig = ForecastConfig(),
-    metrics: Mapping[str, int] = METRIC_IDS,
+    metrics: Labels = METRIC_IDS,
 ) -> DataFrame:
     """Samples of both splits, tagged by `split`.
 
-    Only the hours the two anchor ranges reach are turned into windows.
+    Only windows that start in one of the two ranges are made.
     """
-    reach = (min(parse(train[0]), parse(valid[0])), max(parse(train[1]), parse(valid[1])))
-    blocks = window_blocks(hourly, accounts, grid, reach, config, metrics)
+    blocks = window_blocks(hourly, accounts, grid, [train, valid], config, metrics)
     samples = make_samples(blocks, config.lags, config.horizon)
     return split_by_time(samples, train, valid, gap=config.width)

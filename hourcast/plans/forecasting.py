@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.config import METRIC_IDS, ForecastConfig
 from hourcast.operators.embeddings import embedding_topk
-from hourcast.operators.keys import decode_keys, id_label
+from hourcast.operators.keys import Labels, decode_keys, n_labels, with_labels
 from hourcast.operators.metrics import score_by_account
-from hourcast.operators.model import Model, fit_forecaster, forecast, load_model, save_model
+from hourcast.operators.model import Model, forecast, load_model, save_model
+from hourcast.operators.training import fit_forecaster
 from hourcast.plans.build import Range, latest_windows
 
 # Weekday labels by model id.
@@ -34,31 +33,30 @@ def train_and_store(
     name: str,
     run: int = 0,
     config: ForecastConfig = ForecastConfig(),
-    metrics: Mapping[str, int] = METRIC_IDS,
+    metrics: Labels = METRIC_IDS,
     seed: int = 0,
 ) -> tuple[Model, DataFrame]:
     """Fit, write the parameters, and return the model with its history."""
-    model, history = fit_forecaster(train, valid, accounts, len(metrics), config, seed)
+    model, history = fit_forecaster(train, valid, accounts, n_labels(metrics), config, seed)
     save_model(model, path, name, run)
     return model, history
 
 
 def neighbour_report(
-    spark: SparkSession, model: Model, metrics: Mapping[str, int] = METRIC_IDS, k: int = 3
+    spark: SparkSession, model: Model, metrics: Labels = METRIC_IDS, k: int = 3
 ) -> DataFrame:
     """Nearest metrics of each metric and nearest weekdays of each weekday."""
     reports = []
     for embedding, labels in (("metric", metrics), ("weekday", WEEKDAYS)):
-        found = embedding_topk(model.embedding(spark, embedding), k)
-        reports.append(
-            found.select(
-                F.lit(embedding).alias("embedding"),
-                id_label(labels, F.col("id").cast("int")).alias("label"),
-                "rank",
-                id_label(labels, F.col("neighbour").cast("int")).alias("neighbour"),
-                "cosine",
-            )
+        found = embedding_topk(model.embedding(spark, embedding), k).select(
+            F.lit(embedding).alias("embedding"), "rank", "cosine", "id", "neighbour"
         )
+        for number, label in (("id", "label"), ("neighbour", "neighbour")):
+            # A table of labels names its own columns.
+            ids = ("metric_int", "metric") if isinstance(labels, DataFrame) else ("_id", "_label")
+            numbered = found.withColumn(ids[0], F.col(number).cast("int")).drop(number)
+            found = with_labels(numbered, labels, *ids).drop(ids[0]).withColumnRenamed(ids[1], label)
+        reports.append(found.select("embedding", "label", "rank", "neighbour", "cosine"))
     return reports[0].unionByName(reports[1])
 
 
@@ -69,7 +67,7 @@ def forecast_stored(
     path: str,
     name: str,
     run: int = 0,
-    metrics: Mapping[str, int] = METRIC_IDS,
+    metrics: Labels = METRIC_IDS,
 ) -> DataFrame:
     """The hours after the grid by a stored model, with account and metric labels."""
     model = load_model(hourly.sparkSession, path, name, run)

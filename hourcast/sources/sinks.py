@@ -17,6 +17,27 @@ def write_events(events: DataFrame, path: str) -> None:
     ).option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
 
 
+def append_events(events: DataFrame, path: str, load: str) -> tuple[str, str]:
+    """Add raw events to folders by month; returns the schema and the path to read all of them.
+
+    Each load has its own folder in a month, so that writing it again replaces it alone.
+    """
+    dated = events.withColumns({"year": F.year("ts"), "month": F.month("ts"), "load": F.lit(load)})
+    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "year", "month", "load"
+    ).parquet(path)
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dated.schema), path
+
+
+def write_hourly_months(hourly: DataFrame, path: str) -> None:
+    """One folder a month, each file in hour order; only the months present are replaced."""
+    dated = hourly.withColumns({"year": F.year("hour"), "month": F.month("hour")})
+    ordered = dated.sortWithinPartitions("year", "month", "hour", "account", "metric")
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "year", "month"
+    ).parquet(path)
+
+
 def write_hourly(hourly: DataFrame, path: str) -> None:
     """Each file is in hour order, so that a range of hours skips row groups."""
     ordered = hourly.sortWithinPartitions("hour", "account", "metric")
@@ -36,7 +57,9 @@ def write_samples(samples: DataFrame, path: str) -> None:
 
 
 def write_samples_csv(samples: DataFrame, path: str, lags: int, horizon: int) -> None:
+    """The wide text layout; samples with a `split` go to a folder for each."""
     wide = samples_wide(samples, lags, horizon)
-    wide.withColumn("hour", F.date_format("hour", HOUR_TEXT)).write.mode("overwrite").csv(
-        path, header=True
-    )
+    writer = wide.withColumn("hour", F.date_format("hour", HOUR_TEXT)).write.mode("overwrite")
+    if "split" in samples.columns:
+        writer = writer.partitionBy("split")
+    writer.csv(path, header=True)

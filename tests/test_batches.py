@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 
 from hourcast.functions.time import add_hours, hour_literal
 from hourcast.operators import batches
-from tests.conftest import START
+from hourcast.operators.series import make_samples
+from hourcast.plans import build
+from tests.conftest import START, at
 
 
 def samples(spark, n=500):
@@ -58,3 +60,53 @@ def test_window_batches_equal_sample_batches(spark):
     assert windows.count() == 120
     assert windows.where(F.col("batch") != batches.batch_of(4, 9)).isEmpty()
     assert windows.select("batch").distinct().count() == 4
+
+
+METRICS = {"m": 0, "n": 1}
+
+
+def shuffled_blocks(spark, anchors=None, block_hours=20, seed=3):
+    from hourcast.config import ForecastConfig
+
+    hourly = spark.range(60).select(
+        F.concat(F.lit("a"), F.col("id") % 3).alias("account"),
+        add_hours(hour_literal(START), F.col("id").cast("int")).alias("hour"),
+        F.lit("m").alias("metric"),
+        F.col("id").alias("value"),
+    )
+    accounts = spark.createDataFrame([(f"a{i}", i) for i in range(3)], "account string, account_int int")
+    config = ForecastConfig(lags=4, horizon=2)
+    return build.window_blocks(
+        hourly, accounts, (START, at(60)), anchors, config, METRICS, block_hours=block_hours, shuffled=seed
+    )
+
+
+@pytest.mark.parametrize("anchors", [None, [(START, at(7)), (at(30), at(41))]])
+def test_positions_of_blocks_are_those_of_samples(spark, anchors):
+    blocks = shuffled_blocks(spark, anchors)
+    made = make_samples(blocks, 4, 2)
+    expected = positions(batches.shuffle_samples(made.drop("position"), 3))
+    assert positions(made) == expected
+    assert sorted(expected.values()) == list(range(3 * 2 * (55 if anchors is None else 20)))
+    dealt = batches.batches(made, 50)
+    assert dealt.where(F.col("batch") != F.floor(F.col("position") / 50)).isEmpty()
+
+
+def test_the_random_order_moves_no_values(spark):
+    """Events are scanned once, and their arrays are not shuffled again after they are gathered."""
+    plan = shuffled_blocks(spark)._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert text.count("Range (0, 60") == 1 and "Cartesian" not in text and "NestedLoop" not in text
+    lines = text.splitlines()
+    # The block's arrays are made below the join; what lies between them and it must not move rows.
+    join = next(k for k, line in enumerate(lines) if "SortMergeJoin" in line and "block#" in line)
+    gathered = next(k for k, line in enumerate(lines) if k > join and "cells#" in line and "Aggregate" in line)
+    assert not [line for line in lines[join:gathered] if "Exchange" in line], text
+
+
+def test_blocks_without_number_get_positions_by_hour(spark):
+    blocks = shuffled_blocks(spark).drop("positions")
+    keys = blocks.select("account_int", "metric_int", "hour", "n_windows")
+    placed = batches.block_positions(keys, 3, "hour")
+    joined = blocks.join(placed, ["account_int", "metric_int", "hour"])
+    assert positions(make_samples(joined, 4, 2)) == positions(make_samples(shuffled_blocks(spark), 4, 2))

@@ -1,9 +1,16 @@
+import random
+from functools import reduce
+from operator import or_
+
 import pytest
 from pyspark.sql import functions as F
 
 from hourcast import session
-from hourcast.operators.filters import split_by_time
+from hourcast.functions.time import hour_literal, hour_of
+from hourcast.operators.filters import in_hours, in_months_of, split_by_time
+from hourcast.operators.hourly import hourly_metrics
 from hourcast.operators.series import make_samples, series_blocks
+from hourcast.plans import build
 from hourcast.sources import accounts as account_files
 from hourcast.sources import events, hourly, samples, sinks
 from hourcast.sources.sql_file import run_sql_file
@@ -166,3 +173,110 @@ def test_a_cluster_must_name_its_shared_folder():
     assert session.checkpoint_dir(named) == named.set_to == "hdfs:///shared"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.checkpoint_dir(FakeSession(None))
+
+
+SIGNALLING = "account string, ts timestamp_ntz, op string"
+SESSIONS = "account string, ts timestamp_ntz, code int, rectype int, subscriber string"
+OPCODES = {"u": "countUL"}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def random_events(spark, n, first_hour, seed):
+    rng = random.Random(seed)
+    rows = [
+        (rng.choice("ab"), at(first_hour + rng.randrange(24 * 100)), rng.choice(["u", "x", None]), 128, rng.randrange(3), rng.choice("pqr"))
+        for _ in range(n)
+    ]
+    signalling = spark.createDataFrame([(a, t, o) for a, t, o, *_ in rows], SIGNALLING)
+    sessions = spark.createDataFrame([(a, t, c, r, s) for a, t, _, c, r, s in rows], SESSIONS)
+    return signalling, sessions
+
+
+def test_hours_are_a_range_on_the_timestamp_of_the_scan(spark, tmp_path):
+    signalling, _ = random_events(spark, 500, 0, 1)
+    plain, by_month = str(tmp_path / "plain"), str(tmp_path / "months")
+    signalling.write.parquet(plain)
+    sinks.write_events(signalling, by_month)
+    ranges = [(at(30), at(40)), (at(24 * 40), at(24 * 41 + 5))]
+    hour = hour_of("ts")
+    wanted = signalling.where(reduce(or_, [hour.between(*map(hour_literal, r)) for r in ranges]))
+    for path in (plain, by_month):
+        raw = spark.read.parquet(path).withColumnRenamed("ts", "stoptime")
+        kept = in_hours(events.signalling_events(raw, "account", "stoptime", "op"), ranges)
+        assert key_rows(kept.select("account", "ts", "op")) == key_rows(wanted)
+        text = plan_of(kept)
+        assert "GreaterThanOrEqual(stoptime" in text or "GreaterThanOrEqual(ts" in text
+        if path == by_month:
+            assert "PartitionFilters: [" in text and "month#" in text[text.index("PartitionFilters") :][:300]
+    assert in_hours(signalling, []).isEmpty()
+
+
+def test_hours_of_windows_are_enough_for_them(spark):
+    signalling, sessions = random_events(spark, 800, 0, 2)
+    dim, grid = accounts(spark), (START, at(24 * 90))
+    ranges = [(at(200), at(210)), (at(1_500), at(1_530))]
+    metrics = {"countUL": 0, "mapsum": 1, "imsiSum": 2}
+    few = build.hourly_of_windows(signalling, sessions, dim, grid, ranges, 12, OPCODES)
+    every = hourly_metrics(signalling, sessions, OPCODES)
+    assert 0 < few.count() < every.count()
+    one, two = (
+        make_samples(series_blocks(table, dim, metrics, *grid, 12, ranges), 8, 4) for table in (few, every)
+    )
+    assert one.count() == 2 * 3 * 42 and one.exceptAll(two).isEmpty()
+
+
+def test_a_month_table_prunes_folders_while_running(spark, tmp_path):
+    signalling, _ = random_events(spark, 300, 0, 3)
+    sinks.write_events(signalling, str(tmp_path / "e"))
+    months = spark.createDataFrame([(2024, 2), (2024, 2), (None, 3), (2024, 13)], "year int, month int")
+    kept = in_months_of(spark.read.parquet(str(tmp_path / "e")), months)
+    assert "dynamicpruning" in plan_of(kept)
+    assert key_rows(kept.select("account", "ts", "op")) == key_rows(signalling.where("month(ts) = 2"))
+
+
+def test_late_events_give_the_table_of_all_events(spark, tmp_path):
+    early, late = random_events(spark, 400, 0, 4), random_events(spark, 30, 24 * 40, 5)
+    late = tuple(part.where(F.col("ts") < F.lit(at(24 * 55)).cast("timestamp_ntz")) for part in late)
+    paths = [str(tmp_path / name) for name in ("signalling", "sessions", "hourly")]
+    for part, path in zip(early, paths):
+        sinks.append_events(part, path, "first")
+    sinks.write_hourly_months(hourly_metrics(*early, opcodes=OPCODES), paths[2])
+    before = spark.read.parquet(paths[2]).inputFiles()
+    expected = key_rows(hourly_metrics(*(a.unionByName(b) for a, b in zip(early, late)), opcodes=OPCODES))
+    for _ in range(2):  # a load that is run again counts once
+        found = build.add_late_events(*paths, *late, load="late", opcodes=OPCODES)
+        assert key_rows(found.select("account", "hour", "day_of_week", "metric", "value")) == expected
+    after = set(spark.read.parquet(paths[2]).inputFiles())
+    january = [f for f in before if "month=1/" in f]
+    assert january and set(january) <= after and not set(before) <= after
+
+
+def test_splits_as_text_exports(spark, tmp_path):
+    blocks = series_blocks(hourly_rows(spark), accounts(spark), METRICS, START, at(20), 6)
+    split = split_by_time(make_samples(blocks, 4, 2), (START, at(3)), (at(9), at(14)), 6)
+    sinks.write_samples_csv(split, str(tmp_path / "s"), 4, 2)
+    for name in ("train", "valid"):
+        again = samples.read_samples_csv(spark, str(tmp_path / "s"), 4, 2, name)
+        expected = split.where(F.col("split") == name).drop("split")
+        assert again.count() == expected.count() > 0
+        assert key_rows(again.select("account_int", "metric_int", "hour")) == key_rows(
+            expected.select("account_int", "metric_int", "hour")
+        )
+
+
+def test_samples_of_840_columns_as_text(spark, tmp_path):
+    """672 + 168 hours, the layout's own width."""
+    hourly_table = spark.createDataFrame(
+        [("a", at(h), at(h).isoweekday(), "m", h + 1) for h in range(842)], HOURLY
+    )
+    blocks = series_blocks(hourly_table, accounts(spark, ["a"]), {"m": 0}, START, at(842), 840)
+    sinks.write_samples_csv(make_samples(blocks, 672, 168), str(tmp_path / "s"), 672, 168)
+    assert len(spark.read.csv(str(tmp_path / "s"), header=True).columns) == 844
+    rows = samples.read_samples_csv(spark, str(tmp_path / "s"), 672, 168).orderBy("hour").collect()
+    assert [r["hour"] for r in rows] == [at(h) for h in range(3)]
+    for k, r in enumerate(rows):
+        assert r["x"] == [float(k + i + 1) for i in range(672)]
+        assert r["y"] == [float(k + i + 1) for i in range(672, 840)]

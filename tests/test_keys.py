@@ -1,8 +1,11 @@
 import pytest
+from pyspark.sql import functions as F
 
+from hourcast.functions.time import hour_literal
 from hourcast.operators import keys
+from hourcast.operators.series import densify, key_grid
 from hourcast.sources.accounts import account_dimension
-from tests.conftest import key_rows
+from tests.conftest import START, at, key_rows
 
 
 def frame(spark, names):
@@ -47,7 +50,43 @@ def test_an_account_listed_twice_is_an_error(spark):
         account_dimension(listed).collect()
 
 
-def test_label_dictionary(spark):
-    assert keys.label_ids(frame(spark, ["y", "x", "y", None]), "account") == {"x": 0, "y": 1}
-    with pytest.raises(ValueError, match="more than 2"):
-        keys.label_ids(frame(spark, ["x", "y", "z"]), "account", 2)
+def test_label_table(spark):
+    found = keys.label_table(frame(spark, ["y", "x", "y", None]), "account", "id")
+    assert key_rows(found) == [("x", 0), ("y", 1)]
+    assert keys.n_labels(found) == 2 and keys.n_labels({"a": 0}) == 1
+
+
+def test_a_table_gives_what_a_dictionary_gives(spark):
+    ids = {"x": 0, "y": 1, "z": 2}
+    table = spark.createDataFrame(list(ids.items()), "metric string, metric_int int")
+    rows = spark.createDataFrame([("x",), ("q",), ("z",), (None,)], "metric string")
+    for keep in (True, False):
+        one, two = (keys.with_ids(rows, m, "metric", "metric_int", keep) for m in (ids, table))
+        assert key_rows(one.select("metric", "metric_int")) == key_rows(two.select("metric", "metric_int"))
+    numbers = spark.createDataFrame([(0,), (2,), (7,)], "metric_int int")
+    one, two = (keys.with_labels(numbers, m, "metric_int", "metric") for m in (ids, table))
+    assert key_rows(one) == key_rows(two.select("metric_int", "metric"))
+    arrays = [spark.range(1).select(keys.all_ids(m, "metric_int")).first()[0] for m in (ids, table)]
+    assert arrays == [[0, 1, 2]] * 2
+
+
+def test_many_labels_stay_a_table(spark):
+    """20,000 metrics: numbered, put on a grid and decoded by joins."""
+    n = 20_000
+    hourly = spark.range(n).select(
+        F.concat(F.lit("a"), F.col("id") % 1).alias("account"),
+        hour_literal(START).alias("hour"),
+        F.format_string("m%05d", "id").alias("metric"),
+        (F.col("id") + 1).alias("value"),
+    )
+    accounts = spark.createDataFrame([("a0", 0)], "account string, account_int int")
+    metrics = keys.label_table(hourly, "metric", "metric_int")
+    dense = densify(hourly, accounts, metrics, START, at(2))
+    plan = dense._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan and "m00007" not in plan
+    decoded = keys.decode_keys(dense, accounts, metrics)
+    first = decoded.where(F.col("hour") == hour_literal(START))
+    assert decoded.count() == 2 * n
+    assert first.where(F.substring("metric", 2, 5).cast("int") + 1 != F.col("value")).isEmpty()
+    grid = key_grid(accounts, metrics, START, at(1))
+    assert grid.count() == n and grid.where("metric is null").isEmpty()

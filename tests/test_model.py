@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hourcast.config import MULTI_ACCOUNT, SINGLE_ACCOUNT, ForecastConfig
 from hourcast.functions import network
 from hourcast.operators import model as models
+from hourcast.operators import training
 from hourcast.operators.metrics import log_l2_loss, smape
 from hourcast.operators.series import make_samples, series_blocks
 from hourcast.plans import build, forecasting
@@ -56,7 +57,7 @@ def blocks(hourly, accounts):
 
 
 def fit(blocks, accounts, config=SMALL, **kwargs):
-    return models.fit_forecaster(blocks, blocks, accounts, len(METRICS), config, **kwargs)
+    return training.fit_forecaster(blocks, blocks, accounts, len(METRICS), config, **kwargs)
 
 
 def trail(history):
@@ -144,14 +145,14 @@ def test_unknown_activation():
 def test_adam_by_the_book():
     """m and v corrected for their start at 0, the usual way of writing it."""
     config = replace(SMALL, learning_rate=0.05)
-    adam = models._Adam(config, {"w": np.array([1.0, -2.0, 3.0])})
+    adam = training.Adam.start(config, np.array([1.0, -2.0, 3.0]))
     rng, w, m, v = np.random.default_rng(3), np.array([1.0, -2.0, 3.0]), 0.0, 0.0
     for t in range(1, 6):
         g = rng.normal(size=3) * 10
         adam.update(g)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = w - 0.05 * (m / (1 - 0.9**t)) / np.sqrt(v / (1 - 0.999**t))
-        assert adam.weights["w"] == pytest.approx(w, rel=1e-6)
+        assert adam.value == pytest.approx(w, rel=1e-6)
 
 
 def test_pack_is_undone_by_unpack():
@@ -216,7 +217,7 @@ def test_history_loss_is_the_loss_of_the_forecast(spark, blocks, accounts):
     start = models.Model(
         config,
         network.initial_weights(config, 2, 0),
-        models.initial_vectors(accounts, config.account_dim, 0),
+        training.initial_vectors(accounts, config.account_dim, 0),
     )
     loss = log_l2_loss(models.forecast(blocks, start)).first()["loss"]
     assert rows[0][2] == pytest.approx(loss, rel=1e-5)

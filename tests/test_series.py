@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hourcast.config import EPS
-from hourcast.functions.time import add_hours, hour_literal
+from hourcast.functions.time import add_hours, hour_literal, hours_between
 from hourcast.operators import series
 from tests.conftest import START, at, key_rows
 
@@ -245,3 +245,31 @@ def test_rows_beside_the_full_hour_vanish(spark):
     hourly = spark.createDataFrame(rows, HOURLY)
     grid = series.densify(hourly, accounts(spark, ("a",)), {"m": 0}, START, at(4))
     assert sorted(r["value"] for r in grid.collect()) == [pytest.approx(EPS)] * 3 + [5.0]
+
+
+def test_several_anchor_ranges(spark):
+    """Windows start inside the ranges only; touching and overlapping ranges give each once."""
+    hourly = spark.createDataFrame([("a", at(h), "m", h + 1) for h in range(100)], HOURLY)
+    ranges = [(at(50), at(57)), (at(3), at(8)), (at(55), at(60)), (at(9), at(9)), (at(-9), at(-2)), (at(97), at(99))]
+    wanted = [*range(3, 10), *range(50, 61)]
+
+    def blocks(anchors, **options):
+        return series.series_blocks(hourly, accounts(spark), METRICS, START, at(100), 6, anchors, **options)
+
+    for block_hours in (4, 5, 1_000):
+        made = series.make_samples(blocks(ranges, block_hours=block_hours), 4, 2)
+        samples = made.where("account_int = 0 and metric_int = 0").collect()
+        starts = {hours_between(START, r["hour"]): list(r["x"]) + list(r["y"]) for r in samples}
+        assert sorted(starts) == wanted and len(samples) == len(wanted)
+        assert all(v == [float(h + k + 1) for k in range(6)] for h, v in starts.items())
+    assert blocks([(START, at(99))]).exceptAll(blocks(None)).isEmpty()
+    assert blocks([(at(99), at(99))]).isEmpty()
+
+
+def test_keys_of_blocks_follow_from_the_dimension(spark):
+    hourly = spark.createDataFrame([("a", at(5), "m", 1)], HOURLY)
+    ranges = [(at(2), at(20)), (at(40), at(43))]
+    layout = (accounts(spark), METRICS, START, at(60), 6, ranges, 7)
+    expected = series.window_keys(*layout)
+    blocks = series.series_blocks(hourly, *layout, numbered=True)
+    assert key_rows(blocks.select(*expected.columns)) == key_rows(expected)
