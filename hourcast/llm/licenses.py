@@ -14,15 +14,19 @@ usual file headers and the full licences. The whole text says more than the bloc
 more than a line. Where none of them matches, the lines of the block are compared with
 `SHORT`: titles, SPDX tags and the reservation of rights.
 
+A text that matches also holds a word that names licences (`NAMING`) and two words of the
+template, or its only one, that say more than `COMMON` ones: "The." is not the MIT licence,
+nor is the German "mit".
+
 A file whose first line matches, or that is named as a licence and matches at all,
 is a licence file for its folder: the licence of a
 folder is that of most of its licence files (ties: by name). A file without a match
 takes the licence of the nearest folder above it that has one, found by one join
 on every ancestor path.
 
-Templates are constants, so what is sent to tasks is fixed. A line whose known and
-unknown words already bound its cosine below the threshold is left out before words
-become rows; all whole texts are read.
+Templates are constants, so what is sent to tasks is fixed. All whole texts are read; only
+those that hold one of the words that name licences are taken apart, and of their lines only
+those whose known and unknown words do not bound the cosine below the threshold.
 
 Null or empty text has no own licence but can inherit. Null paths have no folder.
 Repeated rows give repeated rows.
@@ -34,6 +38,8 @@ import math
 import re
 from collections import Counter
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
@@ -136,6 +142,10 @@ COMMON = set(
     "a all an and any are as at be but by can for from has have if in is it its may more no not of on "
     "one only or other see such that the their this to under use was which will with you your".split()
 )
+# Words that name licences; every template has one of them.
+NAMING = (
+    "license", "licensed", "licenses", "licence", "rights", "copyright", "redistribution", "commons", "permission"
+)
 # Names of licence files, with or without an ending.
 LICENSE_FILE = r"(?i)(^|/)(un)?(licen[cs]e|copying|copyright)([-_.][^/]*)?$"
 
@@ -152,6 +162,59 @@ def template_idf(templates: dict[str, str] = TEMPLATES) -> tuple[dict[str, float
     return idf, math.log(1 + n) + 1
 
 
+def telling_words(text: str) -> set[str]:
+    return template_words(text) - COMMON
+
+
+def least_telling(text: str) -> int:
+    """Words of a template, other than common ones, that a match has at least."""
+    return min(2, len(telling_words(text)))
+
+
+def _speaking(texts: DataFrame) -> DataFrame:
+    """The texts that hold a word that names licences: a contained word is found fast."""
+    lower = texts.withColumn("_lower", F.lower("text"))
+    names = [F.contains("_lower", F.lit(name)) for name in NAMING]
+    return settled(lower, reduce(or_, names)).drop("_lower")
+
+
+def _terms(spark, weights: list[tuple[str, str, float]], templates: dict[str, str]) -> DataFrame:
+    """word, template, license, weight of every template word; whether it is a telling one,
+    and how many of these the template asks for."""
+    rows = [
+        (word, name, name.split(" ")[0], weight, word not in COMMON, least_telling(templates[name]))
+        for word, name, weight in weights
+    ]
+    return spark.createDataFrame(
+        rows, "word string, template string, license string, weight double, telling boolean, least int"
+    )
+
+
+def _matched(counted: DataFrame, terms: DataFrame, idf: DataFrame, unknown: float) -> DataFrame:
+    """file, line, license, cosine of the texts that match, from their words and counts `n`."""
+    norms = (
+        counted.join(F.broadcast(idf), "word", "left")
+        .groupBy("file", "line")
+        .agg(
+            F.sqrt(F.sum(F.pow(F.col("n") * F.coalesce("idf", F.lit(unknown)), 2))).alias("norm"),
+            F.max(F.col("word").isin(*NAMING)).alias("names"),
+        )
+        .filter("names")
+    )
+    dots = (
+        counted.join(F.broadcast(terms), "word")
+        .groupBy("file", "line", "template", "license", "least")
+        .agg(F.sum(F.col("n") * F.col("weight")).alias("dot"), F.count_if("telling").alias("told"))
+        .filter(F.col("told") >= F.col("least"))
+    )
+    cosine = F.round(F.col("dot") / F.col("norm"), 6)
+    return (
+        dots.join(norms, ["file", "line"])
+        .select("file", "line", "license", cosine.alias("cosine"))
+        .filter(F.col("cosine") >= THRESHOLD)
+    )
+
+
 def _words(text: Column) -> Column:
     return split_words(lower_ascii(text), NOT_ALPHANUMERIC)
 
@@ -216,15 +279,14 @@ def may_match(words: Column, templates: dict[str, str]) -> Column:
 
 
 def text_matches(texts: DataFrame, templates: dict[str, str] = LONG) -> DataFrame:
-    """file, line, license, cosine of the texts that reach the threshold, by term counts."""
+    """file, line, license, cosine of the texts that match, by term counts."""
     spark = texts.sparkSession
     idf, unknown = template_idf(templates)
-    rows = [
-        (word, name.split(" ")[0], name, v * idf[word])
-        for name, weights in template_weights(templates).items()
-        for word, v in sorted(weights.items())
+    weights = [
+        (word, name, v * idf[word])
+        for name, own in template_weights(templates).items()
+        for word, v in sorted(own.items())
     ]
-    terms = spark.createDataFrame(rows, "word string, license string, template string, weight double")
     table = spark.createDataFrame(sorted(idf.items()), "word string, idf double")
     counted = (
         texts.select("file", "line", _words(F.col("text")).alias("words"))
@@ -233,34 +295,23 @@ def text_matches(texts: DataFrame, templates: dict[str, str] = LONG) -> DataFram
         .groupBy("file", "line", "word")
         .agg((F.log(F.count("*")) + 1).alias("n"))
     )
-    norms = (
-        counted.join(F.broadcast(table), "word", "left")
-        .groupBy("file", "line")
-        .agg(F.sqrt(F.sum(F.pow(F.col("n") * F.coalesce("idf", F.lit(unknown)), 2))).alias("norm"))
-    )
-    dots = (
-        counted.join(F.broadcast(terms), "word")
-        .groupBy("file", "line", "license", "template")
-        .agg(F.sum(F.col("n") * F.col("weight")).alias("dot"))
-    )
-    cosine = F.round(F.col("dot") / F.col("norm"), 6)
-    return (
-        dots.join(norms, ["file", "line"])
-        .select("file", "line", "license", cosine.alias("cosine"))
-        .filter(F.col("cosine") >= THRESHOLD)
-    )
+    return _matched(counted, _terms(spark, weights, templates), table, unknown)
 
 
-def header_matches(files: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """file, line, license, cosine of each line that reaches the threshold."""
-    spark = files.sparkSession
-    idf, unknown = template_idf(templates)
-    rows = [
-        (word, name, name.split(" ")[0], idf[word] ** 2 / math.sqrt(sum(idf[w] ** 2 for w in template_words(text))))
+def set_weights(templates: dict[str, str]) -> list[tuple[str, str, float]]:
+    """word, template and weight of the words of each template, counted once."""
+    idf, _ = template_idf(templates)
+    return [
+        (word, name, idf[word] ** 2 / math.sqrt(sum(idf[w] ** 2 for w in template_words(text))))
         for name, text in templates.items()
         for word in sorted(template_words(text))
     ]
-    terms = spark.createDataFrame(rows, "word string, template string, license string, weight double")
+
+
+def header_matches(files: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
+    """file, line, license, cosine of each line that matches."""
+    spark = files.sparkSession
+    idf, unknown = template_idf(templates)
     lines = files.select(
         "file",
         F.posexplode(
@@ -268,34 +319,23 @@ def header_matches(files: DataFrame, templates: dict[str, str] = TEMPLATES) -> D
                 F.split("text", "\n"), lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0
             )
         ).alias("line", "header"),
-    ).select("file", "line", _words(F.col("header")).alias("words"))
+    )
+    lower = lines.withColumn("_lower", F.lower("header"))
+    names = [F.contains("_lower", F.lit(name)) for name in NAMING]
+    lines = settled(lower, reduce(or_, names)).select("file", "line", _words(F.col("header")).alias("words"))
     # Every unknown word of a line adds unknown ** 2 to its squared norm, a known one
     # at most max(idf) ** 2, so cosine ** 2 <= known / (known + unknown).
     known = F.size(F.array_intersect("words", F.array(*(F.lit(w) for w in idf))))
     most = known * max(idf.values()) ** 2
     all_squares = most + (F.size(F.array_distinct("words")) - known) * unknown**2
     terms_of = (
-        lines.filter((known > 0) & (most >= THRESHOLD**2 * all_squares))
+        settled(lines, (known > 0) & (most >= THRESHOLD**2 * all_squares))
         .select("file", "line", F.explode("words").alias("word"))
         .distinct()
+        .withColumn("n", F.lit(1.0))
     )
     table = spark.createDataFrame(sorted(idf.items()), "word string, idf double")
-    norms = (
-        terms_of.join(F.broadcast(table), "word", "left")
-        .groupBy("file", "line")
-        .agg(F.sqrt(F.sum(F.pow(F.coalesce("idf", F.lit(unknown)), 2))).alias("norm"))
-    )
-    dots = (
-        terms_of.join(F.broadcast(terms), "word")
-        .groupBy("file", "line", "template", "license")
-        .agg(F.sum("weight").alias("dot"))
-    )
-    cosine = F.round(F.col("dot") / F.col("norm"), 6)
-    return (
-        dots.join(norms, ["file", "line"])
-        .select("file", "line", "license", cosine.alias("cosine"))
-        .filter(F.col("cosine") >= THRESHOLD)
-    )
+    return _matched(terms_of, _terms(spark, set_weights(templates), templates), table, unknown)
 
 
 def scan(df: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
@@ -309,15 +349,9 @@ def scan(df: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
         whole_text().alias("text"),
     )
     keyed = files.withColumn("file", F.concat_ws("-", "doc_id", F.xxhash64("path", "text")))
-    named = keyed.filter(F.col("path").rlike(LICENSE_FILE)).distinct()
-    first_texts = keyed.select("file", header_block(F.col("text")).alias("text"))
-    words = first_texts.withColumn("words", _words(F.col("text")))
-    blocks = stored(
-        settled(words, may_match(F.col("words"), LONG) | may_match(F.col("words"), SHORT))
-        .select("file", "text")
-        .distinct(),
-        "blocks",
-    )
+    speaking = stored(_speaking(keyed).select("path", "file", "text").distinct(), "speaking")
+    named = speaking.filter(F.col("path").rlike(LICENSE_FILE))
+    blocks = speaking.select("file", header_block(F.col("text")).alias("text"))
     # By rank: all of a licence file, header blocks, lines, short forms.
     whole, block, line, short = range(4)
     several = blocks.filter(F.col("text").contains("\n"))
@@ -329,7 +363,7 @@ def scan(df: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     matches = stored(
         found.select("file", F.col("line").alias("rank"), F.lit(-1).alias("line"), "license", "cosine")
         .union(
-            header_matches(keyed.select("file", "text"), templates)
+            header_matches(speaking.select("file", "text"), templates)
             .withColumn("rank", F.lit(line))
             .select(*columns)
         )

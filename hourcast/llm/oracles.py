@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from hourcast.llm.licenses import TEMPLATES, THRESHOLD, template_idf, template_words
+from hourcast.llm.licenses import (
+    COMMON,
+    LONG,
+    NAMING,
+    SHORT,
+    TEMPLATES,
+    THRESHOLD,
+    least_telling,
+    set_weights,
+    template_idf,
+    template_weights,
+)
 from hourcast.llm.quality import RULES
 
 UP, LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -113,31 +124,79 @@ FROM r
 """
 
 
+# Where a comment's or a paragraph's lines end, and how a comment's lines begin.
+_BLANK = r"[^ \t\n\x0B\f\r]"
+_MARKED = r"^[ \t]*(#|//|;|--|%)"
+
+
+def _license_matches(rank: int, source: str, templates: dict[str, str], counts: bool) -> str:
+    """m{rank}: r, line, license, cosine of the texts in `source` (r, line, x) that match."""
+    idf, unknown = template_idf(templates)
+    if counts:
+        weights = [(w, n, v * idf[w]) for n, own in template_weights(templates).items() for w, v in own.items()]
+    else:
+        weights = set_weights(templates)
+    known = ", ".join(f"('{w}', {v!r}::DOUBLE)" for w, v in idf.items())
+    held = ", ".join(
+        f"('{n}', '{n.split(' ')[0]}', '{w}', {v!r}::DOUBLE, {w not in COMMON}, {least_telling(templates[n])})"
+        for w, n, v in weights
+    )
+    names = ", ".join(f"'{n}'" for n in NAMING)
+    times = "ln(count(*)) + 1" if counts else "1.0"
+    return rf"""
+idf{rank}(w, v) AS (VALUES {known}),
+held{rank}(template, license, w, weight, telling, least) AS (VALUES {held}),
+t{rank} AS MATERIALIZED (
+  SELECT r, line, w, {times} AS n FROM (
+    SELECT r, line, unnest(regexp_extract_all(translate(x, '{UP}', '{LOW}'), '{WORD}')) AS w FROM {source})
+  GROUP BY r, line, w
+),
+norm{rank} AS (
+  SELECT r, line, sqrt(sum((n * coalesce(v, {unknown!r})) ** 2)) AS norm FROM t{rank} LEFT JOIN idf{rank} USING (w)
+  GROUP BY r, line HAVING bool_or(w IN ({names}))
+),
+m{rank} AS (
+  SELECT r, {rank} AS rank, line, license, round(sum(n * weight) / any_value(norm), 6) AS cosine
+  FROM t{rank} JOIN held{rank} USING (w) JOIN norm{rank} USING (r, line) GROUP BY r, line, template, license, least
+  HAVING round(sum(n * weight) / any_value(norm), 6) >= {THRESHOLD} AND count_if(telling) >= least
+)"""
+
+
 def _license_sql() -> str:
-    idf, unknown = template_idf()
-    known = ", ".join(f"('{w}', {v!r}::DOUBLE)" for w, v in sorted(idf.items()))
-    held = ", ".join(f"('{n}', '{w}')" for n, t in TEMPLATES.items() for w in sorted(template_words(t)))
+    """No file is named as a licence here: names are numbers, so ranks begin with the block."""
     return rf"""
-WITH idf(w, v) AS (VALUES {known}), held(license, w) AS (VALUES {held}),
-size AS (SELECT license, sqrt(sum(v * v)) AS size FROM held JOIN idf USING (w) GROUP BY license),
-d AS (
+WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
     source || '/' || lang || '/' || (doc_id // 1000) AS home FROM documents
 ), l AS (
   SELECT r, i - 1 AS line, x FROM (
     SELECT r, unnest(ls) AS x, generate_subscripts(ls, 1) AS i FROM (
       SELECT r, list_filter(string_split(text, chr(10)), lambda y: regexp_matches(y, '{SPACE_WORD}')) AS ls FROM d))
-), t AS (
-  SELECT r, line, unnest(list_distinct(regexp_extract_all(translate(x, '{UP}', '{LOW}'), '{WORD}'))) AS w FROM l
-), norm AS (SELECT r, line, sqrt(sum(coalesce(v, {unknown!r}) ** 2)) AS norm FROM t LEFT JOIN idf USING (w) GROUP BY ALL),
-m AS (
-  SELECT r, line, license, round(sum(v * v) / any_value(size) / any_value(norm), 6) AS cosine
-  FROM t JOIN idf USING (w) JOIN held USING (w) JOIN size USING (license) JOIN norm USING (r, line) GROUP BY ALL
-  HAVING round(sum(v * v) / any_value(size) / any_value(norm), 6) >= {THRESHOLD}
-), best AS (
-  SELECT r, license, cosine FROM m QUALIFY row_number() OVER (PARTITION BY r ORDER BY cosine DESC, license, line) = 1
+), body AS (
+  SELECT r, ltrim(regexp_replace(ltrim(text, chr(65279) || ' ' || chr(9) || chr(13) || chr(10)),
+    '\A#![^\n]*', ''), ' ' || chr(9) || chr(13) || chr(10)) AS x FROM d
+), cut AS (
+  SELECT r, x, string_split(x, chr(10)) AS ls, regexp_matches(x, '\A(#|//|;|--|%)') AS marked FROM body
+), stop AS (
+  SELECT *, coalesce(list_position(list_transform(ls, lambda y: NOT regexp_matches(y,
+    CASE WHEN marked THEN '{_MARKED}' ELSE '{_BLANK}' END)), true), 0) AS stop FROM cut
+), block AS (
+  SELECT r, -1 AS line, CASE WHEN starts_with(x, '/*') THEN split_part(x, '*/', 1)
+    WHEN starts_with(x, '<!--') THEN split_part(x, '-->', 1)
+    WHEN stop > 0 THEN array_to_string(ls[:stop - 1], chr(10)) ELSE x END AS x FROM stop
+), several AS (SELECT * FROM block WHERE contains(x, chr(10))),
+bl AS (
+  SELECT r, i - 1 AS line, x FROM (
+    SELECT r, unnest(ls) AS x, generate_subscripts(ls, 1) AS i FROM (
+      SELECT r, list_filter(string_split(x, chr(10)), lambda y: regexp_matches(y, '{SPACE_WORD}')) AS ls FROM block))
+),{_license_matches(1, "several", LONG, True)},{_license_matches(2, "l", TEMPLATES, False)},{_license_matches(3, "bl", SHORT, False)},
+m AS (SELECT * FROM m1 UNION ALL SELECT * FROM m2 UNION ALL SELECT * FROM m3),
+best AS (
+  SELECT r, license, cosine FROM m
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY rank, cosine DESC, license, line) = 1
 ), first AS (
-  SELECT r, license FROM m WHERE line = 0 QUALIFY row_number() OVER (PARTITION BY r ORDER BY cosine DESC, license) = 1
+  SELECT r, license FROM m WHERE rank = 2 AND line = 0
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY cosine DESC, license) = 1
 ), folder AS (
   SELECT home, license FROM (SELECT home, license, count(*) AS n FROM first JOIN d USING (r) GROUP BY ALL)
   QUALIFY row_number() OVER (PARTITION BY home ORDER BY n DESC, license) = 1

@@ -116,3 +116,39 @@ def test_titles_and_tags(spark):
     }
     got = scan(spark, *((i, f"{i}/x", line) for i, line in enumerate(lines)))
     assert [got[f"{i}/x"] for i in range(len(lines))] == list(lines.values())
+
+
+def test_ordinary_words_are_no_licence(spark):
+    lines = ["The.", "the the", "Mit", "mit der", "Public.", "3", "under the", "All the", "License", "The license"]
+    got = scan(spark, *((i, f"{i}/x", f"{line}\nfurther text") for i, line in enumerate(lines)))
+    assert set(got.values()) == {None}
+
+
+def test_every_template_names_a_licence():
+    for templates in (licenses.TEMPLATES, licenses.SHORT, licenses.LONG):
+        for name, text in templates.items():
+            assert licenses.template_words(text) & set(licenses.NAMING), name
+            assert licenses.least_telling(text) >= 1
+
+
+def test_query_equals_sql_on_all_ranks(spark, tmp_path):
+    """Blocks, lines and short forms, in several folders, against the oracle's SQL."""
+    import duckdb
+    from check import compare
+
+    from hourcast.llm import oracles, queries
+
+    texts = [
+        APACHE + "code", GPL.format("") + "x\ny", GPL.format("Lesser "), "word\n" + MIT, MIT + "\nx", "The.\nx", None, "",
+        "MIT License\n\ntext", "# SPDX-License-Identifier: MIT\nimport x", "<!-- GNU GENERAL PUBLIC LICENSE -->\nx",
+        "\ufeff/* Mozilla Public License Version 2.0 */", "Copyright (c) 2020 X.\nAll rights reserved.", "no licence here",
+        "Licensed under CC BY-NC 4.0", "#!/bin/sh\n# All rights reserved\n\ncode", "mit\nlicense", "; x\n; MIT License\ny",
+    ]
+    rows = [(k * 300, t, ("en", "de")[k % 2], f"s{k % 3}", len(t or "")) for k, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    ours = queries.op10_license_scan(spark, str(tmp_path)).toPandas()
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert compare(ours, db.sql(oracles.oracle_sql()["op10_license_scan"]).df()) == ""
+    assert ours["own_license"].notna().sum() >= 10
