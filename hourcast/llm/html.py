@@ -71,6 +71,13 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+# What holds other blocks: a part of a class word before one of these is the word's meaning.
+CONTAINERS = frozenset(
+    "area bar block bottom box button buttons container group inner item items left link links list "
+    "outer panel right section slot top unit wrap wrapper".split()
+)
+# No element's names say more than this against its blocks.
+WORST_NAMES = -8.0
 # Class words that start so tell what a page has or lacks, not what the block is.
 _ABOUT = ("no-", "has-", "with-", "without-", "not-", "hide-", "show-")
 
@@ -83,15 +90,23 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
-def _names(attributes: dict[str, str]) -> set[str]:
-    """Parts of the words of class, id and role."""
-    words = " ".join(attributes.get(key, "") for key in ("class", "id", "role")).lower().split()
-    return {
-        name
-        for word in words
-        if not word.replace("_", "-").startswith(_ABOUT)
-        for name in re.split("[_-]+", word)
-    }
+def _meaning(word: str) -> str:
+    """The last part of a class word, or the last before those that only name a container."""
+    parts = [part for part in re.split("[_-]+", word) if part]
+    while len(parts) > 1 and parts[-1] in CONTAINERS:
+        parts.pop()
+    return parts[-1] if parts else ""
+
+
+def name_gain(attributes: dict[str, str]) -> float:
+    """What class, id and role say of an element.
+
+    Whole words count; only where none is known do the meanings of composed ones.
+    """
+    words = set(" ".join(attributes.get(key, "") for key in ("class", "id", "role")).lower().split())
+    own = {word for word in words if not word.replace("_", "-").startswith(_ABOUT)}
+    known = own & NAME_GAIN.keys() or {_meaning(word) for word in own}
+    return max(WORST_NAMES, sum(NAME_GAIN.get(name, 0.0) for name in known))
 
 
 def _invisible(attributes: dict[str, str]) -> bool:
@@ -109,18 +124,31 @@ class Element:
 
     def __init__(self, tag: str, attributes: str, parent: Element | None) -> None:
         self.tag, self.parent = tag, parent
-        gain = TAG_GAIN.get(tag, 0.0)
+        # The header of an article is part of it: its title stands there.
+        within = tag == "header" and parent is not None and parent.inside("article")
+        gain = 0.0 if within else TAG_GAIN.get(tag, 0.0)
         if attributes:
             found = _attributes(attributes)
-            gain += sum(NAME_GAIN.get(name, 0.0) for name in _names(found))
+            gain += name_gain(found)
             if _invisible(found):
                 gain -= 20.0
         self.gain = gain + (parent.gain if parent else 0.0)
         self.depth = parent.depth + 1 if parent else 0
         self.section: Element | None = (
-            self if tag in SECTIONS or gain <= -4 else parent.section if parent else None
+            self
+            if (tag in SECTIONS and not within) or gain <= -4
+            else parent.section
+            if parent
+            else None
         )
 
+    def inside(self, tag: str) -> bool:
+        """Whether this element or one around it has a tag."""
+        here: Element | None = self
+        while here is not None and here.tag != tag:
+            here = here.parent
+        return here is not None
+
 
 class Block:
     """Text of one element between block-level tags."""

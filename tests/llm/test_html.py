@@ -110,3 +110,26 @@ def test_odd_rows(spark):
 def test_long_page_is_read_whole():
     page = "<article>" + "<p>A paragraph of some words.</p>" * 20_000 + "</article>"
     assert html.main_text(page).count("\n") == 19_999
+
+
+LONG = "This is a paragraph of the article with some forty words in it. " * 4
+
+
+@pytest.mark.parametrize(
+    "names",
+    ["post comment-open", "form-horizontal search-results", "post-header-share content", "has-sidebar", "search-page", "social-science", "ad-hoc"],
+)
+def test_class_words_that_only_mention_boilerplate(names):
+    page = f'<body><nav><a href="/">Home</a></nav><div class="{names}"><p>{LONG}</p></div></body>'
+    assert html.main_text(page) == LONG.strip()
+
+
+@pytest.mark.parametrize("names", ["sidebar-left", "comment-list", "cookie-banner", "site-footer", "menu_item", "ad-slot", "share-buttons"])
+def test_composed_class_words_of_boilerplate(names):
+    page = f'<article><p>{LONG}</p></article><div class="{names}"><p>Some other words.</p></div>'
+    assert html.main_text(page) == LONG.strip()
+
+
+def test_header_of_an_article_is_its_own():
+    page = f"<header><h1>Site</h1></header><article><header><h1>Title</h1></header><p>{LONG}</p></article>"
+    assert html.main_text(page) == "Title\n" + LONG.strip()
