@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-HELD = 200_000
+HELD = 300_000
 IDS = np.dtype("<u4")
 _JOINED = 2_000
 # Before a chunk that does not follow a space. Texts that hold it are encoded whole.
