@@ -139,6 +139,19 @@ _SMAPE = (
 )
 
 
+_TOPK = """
+WITH pairs AS (
+  SELECT a.vec_id AS id, b.vec_id AS neighbour,
+         round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 9)
+           AS cosine
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY cosine DESC, neighbour) AS rank FROM pairs
+)
+SELECT id, CAST(rank AS INTEGER) AS rank, neighbour, round(cosine, 6) AS cosine
+FROM ranked WHERE rank <= 3"""
+
 _NAMED_SCORES = """
 SELECT account_int, smape, n, account, c_name AS accountname
 FROM scores JOIN accounts USING (account_int)
@@ -556,18 +569,12 @@ SELECT event_id, CAST(len(vec) AS INTEGER) AS n,
        round(list_sum(list_transform(range(1, len(vec) + 1),
                                      lambda i: i * CAST(vec[i] AS DOUBLE))), 6) AS weighted_sum
 FROM vectors""",
-        "embedding_topk": """
-WITH pairs AS (
-  SELECT a.vec_id AS id, b.vec_id AS neighbour,
-         round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 9)
-           AS cosine
-  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
-),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY cosine DESC, neighbour) AS rank FROM pairs
-)
-SELECT id, CAST(rank AS INTEGER) AS rank, neighbour, round(cosine, 6) AS cosine
-FROM ranked WHERE rank <= 3""",
+        "embedding_topk": _TOPK,
+        "embedding_pivots": _TOPK,
+        "daily_subscribers": f"""
+WITH {_SESSIONS}
+SELECT account, date_trunc('day', ts) AS day, count(DISTINCT subscriber) AS subscribers
+FROM sessions WHERE subscriber IS NOT NULL GROUP BY 1, 2""",
         "shuffle_samples": f"{_POSITIONS} SELECT * FROM positions",
         "batches": f"""{_POSITIONS}
 SELECT account_int, metric_int, hour, CAST(position // 10000 AS INTEGER) AS batch FROM positions""",

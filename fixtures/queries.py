@@ -53,6 +53,7 @@ from hourcast.operators.training import (
     initial_state,
     loss_gradient,
 )
+from hourcast.operators.neighbours import pivot_topk
 from hourcast.operators.series import Range
 from hourcast.plans import build, forecasting
 from hourcast.session import scratch_path
@@ -351,6 +352,21 @@ def _shuffled_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.make_samples(_blocks(spark, sf_dir, shuffled=0), LAGS, HORIZON)
 
 
+def embedding_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same neighbours by pivots and bounds on angles."""
+    table = _table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vec")
+    )
+    return pivot_topk(table).withColumn("cosine", F.round("cosine", 6))
+
+
+def daily_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct subscribers of a day, merged from the sketches of its hours."""
+    sketches = hourly.hourly_subscriber_sketches(_sessions(spark, sf_dir))
+    day = F.to_date("hour").cast("timestamp_ntz").alias("day")
+    return hourly.merged_subscribers(sketches, F.col("account"), day)
+
+
 def shuffle_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The position of every sample in the order of its hash."""
     shuffled = _shuffled_samples(spark, sf_dir)
@@ -732,6 +748,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_l2_loss": log_l2_loss,
     "embedding_lookup": embedding_lookup_query,
     "embedding_topk": embedding_topk_query,
+    "embedding_pivots": embedding_pivots,
+    "daily_subscribers": daily_subscribers,
     "shuffle_samples": shuffle_samples,
     "batches": batches,
     "fit_forecaster": fit_forecaster_query,

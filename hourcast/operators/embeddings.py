@@ -33,12 +33,12 @@ def embedding_lookup(rows: DataFrame, table: DataFrame, key: str, into: str) ->
     return rows.join(named, key, "left")
 
 
-def _unit(vectors: np.ndarray) -> np.ndarray:
+def unit_rows(vectors: np.ndarray) -> np.ndarray:
     with np.errstate(invalid="ignore"):
         return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
-def _nearest(
+def nearest(
     ids: np.ndarray, unit: np.ndarray, other_ids: np.ndarray, other: np.ndarray, k: int
 ) -> Iterator[pa.RecordBatch]:
     """The k nearest of `other` for each row of `unit`, itself excluded.
@@ -85,12 +85,12 @@ def _by_block_pairs(table: DataFrame, k: int, n_blocks: int, n_tasks: int) -> Da
 
     def search(group: pa.Table) -> pa.Table:
         part = group.sort_by("id").combine_chunks().to_batches()[0]
-        ids, unit = part.column("id").to_numpy(), _unit(matrix(part, "vec"))
+        ids, unit = part.column("id").to_numpy(), unit_rows(matrix(part, "vec"))
         block = part.column("block").to_numpy()
         low, high = (block == part.column(end)[0].as_py() for end in ("low", "high"))
-        found = list(_nearest(ids[low], unit[low], ids[high], unit[high], k))
+        found = list(nearest(ids[low], unit[low], ids[high], unit[high], k))
         if (low != high).any():
-            found += _nearest(ids[high], unit[high], ids[low], unit[low], k)
+            found += nearest(ids[high], unit[high], ids[low], unit[low], k)
         return pa.Table.from_batches(found, FOUND)
 
     # By number, or the pairs would be merged into few tasks by their size.

@@ -8,6 +8,7 @@ is shuffled.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +25,9 @@ from hourcast.functions.time import hour_of, iso_weekday
 
 KEYS = ["account", "hour"]
 
+# Base-2 logarithm of a sketch's cells: 4 KB at most, a standard error of 1.6 %.
+SKETCH_LOG_SIZE = 12
+
 
 def _by_hour(events: DataFrame, metrics: Mapping[str, Column]) -> DataFrame:
     return events.groupBy("account", hour_of("ts").alias("hour")).agg(
@@ -84,6 +88,32 @@ def hourly_distinct_subscribers(
     return _to_rows(_by_hour(sessions, {metric: F.count_distinct("subscriber")}), [metric])
 
 
+def hourly_subscriber_sketches(sessions: DataFrame, log_size: int = SKETCH_LOG_SIZE) -> DataFrame:
+    """account, hour, sketch: subscribers seen per hour as a mergeable sketch of bounded size.
+
+    The opt-in to approximate counts: exact ones of hours cannot be added up to days, sketches
+    can, without going back to the events. A busy account folds to one sketch an hour and task
+    before the shuffle.
+    """
+    return sessions.where(F.col("subscriber").isNotNull()).groupBy(
+        "account", hour_of("ts").alias("hour")
+    ).agg(F.hll_sketch_agg("subscriber", log_size).alias("sketch"))
+
+
+def merged_subscribers(sketches: DataFrame, *by: Column) -> DataFrame:
+    """`by` columns and `subscribers`: about how many were seen over all sketches of a group.
+
+    The standard error is `sketch_error`; small counts are exact but for hash collisions.
+    """
+    count = F.hll_sketch_estimate(F.hll_union_agg("sketch"))
+    return sketches.groupBy(*by).agg(count.alias("subscribers"))
+
+
+def sketch_error(log_size: int = SKETCH_LOG_SIZE) -> float:
+    """Relative standard error of an estimate."""
+    return 1.04 / math.sqrt(2**log_size)
+
+
 def hourly_session_metrics(
     sessions: DataFrame,
     record_types: Mapping[str, int] = RECORD_TYPE_METRICS,

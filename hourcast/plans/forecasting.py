@@ -35,9 +35,15 @@ def train_and_store(
     config: ForecastConfig = ForecastConfig(),
     metrics: Labels = METRIC_IDS,
     seed: int = 0,
+    run_path: str | None = None,
 ) -> tuple[Model, DataFrame]:
-    """Fit, write the parameters, and return the model with its history."""
-    model, history = fit_forecaster(train, valid, accounts, n_labels(metrics), config, seed)
+    """Fit, write the parameters, and return the model with its history.
+
+    Called again with the same `run_path`, a run that was cut off goes on.
+    """
+    model, history = fit_forecaster(
+        train, valid, accounts, n_labels(metrics), config, seed, path=run_path
+    )
     save_model(model, path, name, run)
     return model, history
 

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from hourcast.operators.embeddings import embedding_lookup, embedding_topk
+from hourcast.operators.neighbours import pivot_search, pivot_topk
 
 SCHEMA = "id int, vec array<float>"
 
@@ -70,3 +71,32 @@ def test_lookup(spark):
     rows = spark.createDataFrame([(1,), (0,), (1,), (7,)], "k int")
     got = sorted((r["k"], r["v"]) for r in embedding_lookup(rows, table, "k", "v").collect())
     assert got == [(0, [1.0]), (1, [2.0]), (1, [2.0]), (7, None)]
+
+
+@pytest.mark.parametrize(("n_pivots", "block_rows"), [(None, 8_192), (5, 7), (1, 1_000), (30, 1)])
+@pytest.mark.parametrize("k", [1, 3])
+def test_pivots_give_the_same_neighbours(spark, n_pivots, block_rows, k):
+    rows = random_vectors(90, 6)
+    table = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert neighbours(pivot_topk(table, k, n_pivots, block_rows)) == brute(rows, k)
+
+
+def test_pivots_with_few_and_odd_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [0.0, 0.0]), (4, [-1.0, 0.0])]
+    table = spark.createDataFrame(rows, SCHEMA)
+    for block_rows in (1, 100):
+        assert neighbours(pivot_topk(table, 3, 2, block_rows)) == {1: [2, 4], 2: [1, 4], 4: [2, 1]}
+    assert pivot_topk(table.where("id = 9"), 3).isEmpty()
+    assert pivot_topk(table.where("id = 3"), 3).isEmpty()
+    assert pivot_topk(table.where("id = 1"), 3).isEmpty()
+
+
+def test_clusters_are_compared_with_few_others(spark):
+    """Forty far clusters: a vector is compared with little more than its own."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 16))
+    rows = [(i, (centres[i % 40] + rng.normal(size=16) * 0.02).tolist()) for i in range(1_200)]
+    search = pivot_search(spark.createDataFrame(rows, SCHEMA), 3, n_pivots=200, block_rows=100)
+    done, every = search.compared()
+    assert done < 0.2 * every
+    assert neighbours(search.neighbours()) == brute(rows, 3)

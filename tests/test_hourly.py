@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from fixtures import queries as contract
 from hourcast.config import METRIC_IDS
+from hourcast.functions.time import add_hours, hour_literal
 from hourcast.operators import filters, hourly
-from tests.conftest import at, key_rows
+from tests.conftest import START, at, key_rows
 
 SF = "/root/testdata/sf0.001"
 
@@ -170,3 +171,27 @@ def test_split_needs_its_gap(spark):
     assert counts == {("train", 10), ("valid", 10)}
     with pytest.raises(ValueError):
         filters.split_by_time(samples, (at(0), at(9)), (at(30), at(39)), gap=22)
+
+
+def test_daily_subscribers_from_hourly_sketches(spark):
+    """Merged sketches stay within three standard errors of the exact count; small counts are exact."""
+    rows = spark.range(40_000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("a"), F.col("id") % 5)).alias("account"),
+        add_hours(hour_literal(START), (F.col("id") % 48).cast("int")).alias("ts"),
+        F.lit(128).alias("code"),
+        F.lit(1).alias("rectype"),
+        F.when(F.col("id") % 7 > 0, F.concat(F.lit("s"), F.col("id") % 30_000)).alias("subscriber"),
+    )
+    few = rows.where("id < 300")
+    for events, allowed in ((rows, 3 * hourly.sketch_error()), (few, 0.0)):
+        sketches = hourly.hourly_subscriber_sketches(events)
+        day = F.to_date("hour").alias("day")
+        merged = hourly.merged_subscribers(sketches, F.col("account"), day)
+        exact = events.groupBy("account", F.to_date("ts").alias("day")).agg(
+            F.count_distinct("subscriber").alias("exact")
+        ).where("exact > 0")
+        both = merged.join(exact, ["account", "day"], "full").collect()
+        assert len(both) == exact.count()
+        for r in both:
+            assert abs(r["subscribers"] - r["exact"]) <= allowed * r["exact"]
