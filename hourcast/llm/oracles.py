@@ -48,7 +48,8 @@ m AS (
   FROM d LEFT JOIN words USING (r) LEFT JOIN lines USING (r) LEFT JOIN repeated USING (r)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  (failures & 3) <> 0 AS base_failed, failures = 0 AS kept, failures
+  (failures & 3) <> 0 AS base_failed, failures = 0 AS kept, failures,
+  CASE failures {" ".join(f"WHEN {1 << k} THEN '{rule}'" for k, rule in enumerate(RULES))} END AS only_rule
 FROM (SELECT *, ({" + ".join(f"CASE WHEN {rule} THEN {1 << k} ELSE 0 END" for k, rule in enumerate(RULES.values()))})::BIGINT AS failures FROM m)
 """
 

@@ -2,8 +2,8 @@
 
 A document's ids are cut into pieces whose lengths are powers of two: as many of the
 longest length as fit, then the binary digits of the rest, in falling order. A piece is
-a whole sequence, so no sequence crosses documents and none is padded; training draws
-batches from one length at a time (`write_buckets` keeps each length in a folder).
+a whole sequence, so no sequence crosses documents and none is padded. Pieces are written to a
+bucket, a folder, for each length (`bucketed`), so training draws batches of equal lengths.
 
 Every row is cut where it is read: no shuffle, no group. Null and empty texts are the
 end id alone, repeated rows are packed one by one, an empty table gives no pieces.
@@ -16,11 +16,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hourcast.llm.text import whole_text
 from hourcast.llm.tokens import IDS, default_vocabulary, encoder, id_lists
+from hourcast.session import scratch_path
 
 LONGEST = 2048
 END_ID = 1
@@ -91,4 +93,16 @@ def pack(
 
 def write_buckets(pieces: DataFrame, path: str) -> None:
     """One folder for each length, so that a batch is read from equal lengths."""
-    pieces.write.partitionBy("length").parquet(path)
+    pieces.write.option("compression", "zstd").partitionBy("length").parquet(path)
+
+
+def read_buckets(spark: SparkSession, path: str, like: StructType) -> DataFrame:
+    """The pieces of all buckets, with the columns of `like`; a filter on length reads its folder."""
+    return spark.read.schema(like).parquet(path).select(*like.names)
+
+
+def bucketed(pieces: DataFrame) -> DataFrame:
+    """Pieces written to their buckets below the shared folder, and read from there."""
+    path = scratch_path(pieces.sparkSession, "buckets")
+    write_buckets(pieces, path)
+    return read_buckets(pieces.sparkSession, path, pieces.schema)

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourcast.llm.text import SPACES, settled, split_words, whole_text
+from hourcast.llm.text import SPACES, settled, split_words, stored, whole_text
 
 MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
@@ -138,6 +138,14 @@ def ledger(df: DataFrame) -> DataFrame:
     return measure(df).withColumn("failures", reduce(Column.bitwiseOR, bits))
 
 
+def stored_ledger(df: DataFrame) -> DataFrame:
+    """doc_id, the measurements and `failures` of every row, written: policies and ablations
+    read this table, not the texts."""
+    entries = ledger(df.select("doc_id", "text"))
+    columns = [F.col("row.doc_id").cast("long").alias("doc_id"), *MEASURES, "failures"]
+    return stored(entries.select(*columns), "ledger", compression="zstd")
+
+
 def passes(policy: Policy) -> Column:
     """True where none of the policy's rules failed."""
     return F.col("failures").bitwiseAND(F.lit(policy.mask)) == 0
@@ -164,13 +172,25 @@ def ablation(entries: DataFrame, policy: Policy) -> DataFrame:
     )
 
 
-def verdicts(df: DataFrame, policy: Policy = STRICT) -> DataFrame:
-    """The ledger with `base_failed` and `kept` (false where the base rules failed)."""
-    return ledger(df).withColumns(
-        {"base_failed": ~passes(BASE), "kept": passes(BASE) & passes(policy)}
+def judged(entries: DataFrame, policy: Policy = STRICT) -> DataFrame:
+    """Ledger entries with `base_failed`, `kept` (false where the base rules failed) and
+    `only_rule`, the one rule of the policy without which the document would pass it."""
+    failed = F.col("failures").bitwiseAND(F.lit(policy.mask))
+    only = [F.when(failed == 1 << list(RULES).index(rule), rule) for rule in policy.rules]
+    return entries.withColumns(
+        {
+            "base_failed": ~passes(BASE),
+            "kept": passes(BASE) & passes(policy),
+            "only_rule": F.coalesce(*only, F.lit(None).cast("string")),
+        }
     )
 
 
+def verdicts(df: DataFrame, policy: Policy = STRICT) -> DataFrame:
+    """The ledger of df, judged."""
+    return judged(ledger(df), policy)
+
+
 def filtered(df: DataFrame, policy: Policy = STRICT) -> DataFrame:
     """The rows of df that the base rules and the policy pass."""
     return settled(verdicts(df, policy), F.col("kept")).select("row.*")

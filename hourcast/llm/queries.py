@@ -37,7 +37,7 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), with_tokens=False)
+    return packing.bucketed(packing.pack(table(spark, sf_dir, "documents"), with_tokens=False))
 
 
 def op3_bounded_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,8 +55,10 @@ def op3_bounded_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.verdicts(table(spark, sf_dir, "documents")).select(
-        F.col("row.doc_id").alias("doc_id"),
+    """The policy applied to the stored ledger."""
+    entries = quality.stored_ledger(table(spark, sf_dir, "documents"))
+    return quality.judged(entries).select(
+        "doc_id",
         "n_words",
         "word_chars",
         "n_symbols",
@@ -65,6 +67,7 @@ def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed",
         "kept",
         "failures",
+        "only_rule",
     )
 
 

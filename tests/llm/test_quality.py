@@ -44,3 +44,16 @@ def test_clean_labels_are_kept(table):
 def test_filter_keeps_the_columns(odd, docs):
     assert quality.filtered(odd).columns == odd.columns
     assert quality.filtered(docs()).count() == 0
+
+
+def test_ablation_and_verdicts_from_the_stored_ledger(table, odd):
+    """Rules' own effects are the same from the stored bits, in sums and row by row."""
+    for df in (table("documents"), odd):
+        entries = quality.stored_ledger(df)
+        assert entries.count() == df.count()
+        judged = quality.judged(entries)
+        only = {r["only_rule"]: r["count"] for r in judged.groupBy("only_rule").count().collect()}
+        for r in quality.ablation(entries, quality.STRICT).collect():
+            assert only.get(r["rule"], 0) == r["n_only"]
+        fresh = quality.verdicts(df).groupBy("kept", "base_failed").count()
+        assert sorted(map(tuple, judged.groupBy("kept", "base_failed").count().collect())) == sorted(map(tuple, fresh.collect()))

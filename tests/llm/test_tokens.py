@@ -132,3 +132,15 @@ def test_buckets_hold_one_length(spark, odd, tmp_path):
     packing.write_buckets(packing.pack(odd), str(tmp_path / "b"))
     back = spark.read.parquet(str(tmp_path / "b"))
     assert back.filter("length <> size(tokens)").count() == 0
+
+
+def test_bucketed_pieces_are_the_same_and_a_length_reads_its_folder(odd):
+    pieces = packing.pack(odd)
+    back = packing.bucketed(pieces)
+    assert back.schema.names == pieces.schema.names and back.dtypes == pieces.dtypes
+    columns = [c for c in pieces.columns if c != "sequence_id"]
+    assert back.select(columns).exceptAll(pieces.select(columns)).isEmpty()
+    assert back.count() == pieces.count() and back.select("sequence_id").distinct().count() == back.count()
+    assert all("length=8/" in f for f in back.where("length = 8").inputFiles()) or "PartitionFilters: [isnotnull(length" in (
+        back.where("length = 8")._jdf.queryExecution().executedPlan().toString()
+    )
