@@ -40,8 +40,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of power-of-two length with their token ids."""
-    return packing.pack(docs)
+    """Pieces of power-of-two length with their token ids, from the bucket of each length."""
+    return packing.bucketed(packing.pack(docs))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
