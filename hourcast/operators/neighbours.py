@@ -172,7 +172,8 @@ def pivot_search(
 
     Pivots are as many as the square root of the vectors, up to `PIVOTS`, if not given.
     """
-    table = table.select(F.col("id").cast("bigint").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
+    vec = F.col("vec").cast("array<double>").alias("vec")
+    table = table.select(F.col("id").cast("bigint").alias("id"), vec)
     if n_pivots is None:
         n_pivots = min(PIVOTS, math.isqrt(table.count()) + 1)
     # The vectors of lowest hash: a draw of fixed size.
@@ -180,7 +181,8 @@ def pivot_search(
     drawn = table.where(length > 0).orderBy(F.xxhash64("id"), "id").limit(n_pivots).collect()
     if not drawn:
         none = table.sparkSession.createDataFrame([], PLACED + ", block int, floor double")
-        visits = none.select("id", "unit", F.col("pivot").alias("from_pivot"), F.col("block").alias("from_block"), "pivot", "block")
+        own = [F.col(c).alias(f"from_{c}") for c in ("pivot", "block")]
+        visits = none.select("id", "unit", *own, "pivot", "block")
         return PivotSearch(none, visits, k)
     pivots = unit_rows(np.array([r["vec"] for r in drawn]))
     placed = _stored(table.mapInArrow(_place(pivots), PLACED), "placed")

@@ -289,7 +289,8 @@ def series_blocks(
     rows = with_ids(rows, metrics, "metric", "metric_int", keep_unknown=False).select(
         *SERIES, hour_offset("hour", origin).alias("_offset"), no_zero(F.col("value")).alias("value")
     )
-    at = F.concat(*map(places, stretches)) if stretches else F.array().cast("array<struct<block:int,pos:int>>")
+    nowhere = F.array().cast("array<struct<block:int,pos:int>>")
+    at = F.concat(*map(places, stretches)) if stretches else nowhere
     rows = rows.select(*SERIES, F.explode(at).alias("_at"), "value").select(
         *SERIES, "_at.block", "_at.pos", "value"
     )

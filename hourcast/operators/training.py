@@ -245,10 +245,9 @@ class _Rows:
         for i in range(0, len(self.rows), CHUNK):
             rows, starts = self.rows[i : i + CHUNK], self.starts[i : i + CHUNK]
             log = windows[self.at[rows] + starts]
-            yield (
-                Batch(self.account[rows], self.metric[rows], self.hour[rows] + starts, log[:, :lags], log[:, lags:]),
-                self.place[rows],
-            )
+            hour = self.hour[rows] + starts
+            batch = Batch(self.account[rows], self.metric[rows], hour, log[:, :lags], log[:, lags:])
+            yield batch, self.place[rows]
 
 
 class _Accounts:
@@ -405,7 +404,7 @@ class Trainer:
 
     def __init__(self, spark: SparkSession, weights: Weights, adam: Adam, state: DataFrame, folder: str):
         self.spark, self.shapes, self.adam, self.state = spark, weights, adam, state
-        self.config, self.folder = adam.config, folder
+        self.config, self.folder, self._slot = adam.config, folder, 0
 
     @property
     def weights(self) -> Weights:
@@ -426,7 +425,9 @@ class Trainer:
         self.adam.update(grad)
         if self.config.account_dim:
             moved = rows.where(F.col("id").isNotNull()).select("id", "vec", "mean", "square")
-            self.state = _written(moved, f"{self.folder}/vectors-{self.adam.t % 2}")
+            # Beside the vectors that this update has read: a lost task may read them again.
+            self._slot = 1 - self._slot
+            self.state = _written(moved, f"{self.folder}/vectors-{self._slot}")
         rows.unpersist()
         sent.destroy()
         return float(loss)
@@ -474,27 +475,37 @@ class _Run:
         self.slot = 1 - self.slot
         at, adam, like = f"{self.path}/state-{self.slot}", trainer.adam, trainer.shapes
         parts = [unpack(x, like) for x in (adam.value, adam.mean, adam.square)]
-        rows = [(n, list(w.shape), *(p[n].ravel().tolist() for p in parts)) for n, w in like.items()]
-        self.spark.createDataFrame(rows, WEIGHTS).write.mode("overwrite").parquet(f"{at}/weights")
-        self.spark.createDataFrame(self.history, HISTORY).write.mode("overwrite").parquet(f"{at}/history")
-        trainer.state.write.mode("overwrite").parquet(f"{at}/vectors")
+        rows = [
+            (n, list(w.shape), *(p[n].ravel().tolist() for p in parts)) for n, w in like.items()
+        ]
+        weights = self.spark.createDataFrame(rows, WEIGHTS)
+        history = self.spark.createDataFrame(self.history, HISTORY)
+        for name, table in (("weights", weights), ("history", history), ("vectors", trainer.state)):
+            table.write.mode("overwrite").parquet(f"{at}/{name}")
         row = (adam.t, self.slot, self.batch, self.sub_step, left, self.name)
-        self.spark.createDataFrame([row], PROGRESS).coalesce(1).write.mode("append").parquet(f"{self.path}/progress")
+        progress = self.spark.createDataFrame([row], PROGRESS).coalesce(1)
+        progress.write.mode("append").parquet(f"{self.path}/progress")
 
     def restored(self, config: ForecastConfig, found) -> Trainer:
         """The trainer as it was, and this run as far as it had come."""
-        at, self.slot, self.batch, self.sub_step = f"{self.path}/state-{found['slot']}", found["slot"], found["batch"], found["sub_step"]
+        self.slot, self.batch, self.sub_step = (found[c] for c in ("slot", "batch", "sub_step"))
+        at = f"{self.path}/state-{self.slot}"
         if found["left"]:
             self.batch, self.sub_step = self.batch + 1, 0
-        kept = {r["name"]: r for r in self.spark.read.schema(WEIGHTS).parquet(f"{at}/weights").collect()}
-        parts = [
-            {n: np.array(r[c]).reshape(r["shape"]) for n, r in kept.items()} for c in ("data", "mean", "square")
-        ]
-        adam = Adam(config, *map(pack, parts), found["t"])
-        self.history = sorted(map(tuple, self.spark.read.schema(HISTORY).parquet(f"{at}/history").collect()))
+
+        def table(name: str, schema: str) -> DataFrame:
+            return self.spark.read.schema(schema).parquet(f"{at}/{name}")
+
+        kept = {r["name"]: r for r in table("weights", WEIGHTS).collect()}
+        value, mean, square = (
+            {n: np.array(r[c]).reshape(r["shape"]) for n, r in kept.items()}
+            for c in ("data", "mean", "square")
+        )
+        adam = Adam(config, pack(value), pack(mean), pack(square), found["t"])
+        self.history = sorted(map(tuple, table("history", HISTORY).collect()))
         # A copy: the folder is written again at the next save but one.
-        state = _written(self.spark.read.schema(STATE).parquet(f"{at}/vectors"), f"{self.path}/vectors-restored")
-        return Trainer(self.spark, parts[0], adam, state, self.path)
+        state = _written(table("vectors", STATE), f"{self.path}/vectors-restored")
+        return Trainer(self.spark, value, adam, state, self.path)
 
 
 def _round(sub_step: int, config: ForecastConfig) -> int:

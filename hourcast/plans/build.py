@@ -135,9 +135,10 @@ def add_late_events(
         append_events(late, path, load)
         for late, path in ((late_signalling, signalling_path), (late_sessions, sessions_path))
     ]
-    months = [late.select(F.year("ts").alias("year"), F.month("ts").alias("month")) for late in (late_signalling, late_sessions)]
-    touched = months[0].unionByName(months[1]).distinct()
-    return refresh_hourly(*(spark.read.schema(s).parquet(p) for s, p in stored), touched, hourly_path, opcodes)
+    dates = late_signalling.select("ts").unionByName(late_sessions.select("ts"))
+    touched = dates.select(F.year("ts").alias("year"), F.month("ts").alias("month")).distinct()
+    sources = [spark.read.schema(schema).parquet(path) for schema, path in stored]
+    return refresh_hourly(*sources, touched, hourly_path, opcodes)
 
 
 def latest_windows(

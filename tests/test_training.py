@@ -138,6 +138,26 @@ def test_training_equals_plain_arrays(spark, blocks, accounts, changes):  # noqa
     assert [r[:2] for r in trail(history)] == [(b, k) for b in range(config.batches) for k in sorted(tests)]
 
 
+@pytest.mark.parametrize("local_steps", [1, 2, 4])
+def test_an_update_never_replaces_the_vectors_it_reads(blocks, accounts, monkeypatch, local_steps):  # noqa: F811
+    """Also where jobs make an even number of updates."""
+    own, moves = training.Trainer.step, []
+
+    def folder(state):
+        return {f.rsplit("/", 2)[-2] for f in state.inputFiles()}
+
+    def step(self, *args):
+        before = folder(self.state)
+        loss = own(self, *args)
+        moves.append((before, folder(self.state)))
+        return loss
+
+    monkeypatch.setattr(training.Trainer, "step", step)
+    config = replace(EXACT, batches=1, sub_steps=9, check_every=100, local_steps=local_steps)
+    fit(blocks, accounts, config)
+    assert moves and all(a and b and not a & b for a, b in moves)
+
+
 def test_local_steps_need_fewer_jobs(blocks, accounts, monkeypatch):  # noqa: F811
     calls, own = [], training.Trainer.step
 
