@@ -258,9 +258,11 @@ def identity_error(
             own = np.hstack([own, np.ones((len(own), 1))])
             total += own.T @ own
         cells = total.ravel()
-        yield pa.RecordBatch.from_pydict({"cell": pa.array(np.arange(cells.size), pa.int32()), "value": cells})
+        places = pa.array(np.arange(cells.size), pa.int32())
+        yield pa.RecordBatch.from_pydict({"cell": places, "value": cells})
 
-    sums = _vectors(df, vector).mapInArrow(run, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value"))
+    cells = _vectors(df, vector).mapInArrow(run, "cell int, value double")
+    sums = cells.groupBy("cell").agg(F.sum("value").alias("value"))
     total = np.zeros((k + 1) ** 2)
     for r in sums.collect():
         total[r["cell"]] = r["value"]
