@@ -22,9 +22,10 @@ between different components are all found, so components are exact. (If two sim
 first meet at a root, they share no token before it, so at most the tokens from it on.)
 
 Order of tokens: tokens that many documents hold come last, so that passages shared by
-many documents are roots only where they make up nearly a whole document. They are
-counted over all documents; at most `FREQUENT` of them are sent to the tasks, others
-order by their hash. Any order gives the same result.
+many documents are roots only where they make up nearly a whole document. Those that occur
+twice in a batch of rows are counted, and at most `FREQUENT` of them are sent to the tasks;
+others, a passage that each batch has once among them, order by their hash. Any order gives
+the same result, only with more or less work.
 
 Null, empty and wordless texts have the empty set and are alone. Fewer words than the
 shingle width are one shingle. Repeated rows each get a row; a null doc_id never names
@@ -39,7 +40,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourcast.llm.graph import components
@@ -51,6 +52,8 @@ LEAST_FREQUENT = 64
 NODE_WORDS = 16
 CHUNK = 128
 _SETS_HELD = 2_000
+# What parts words.
+WHITE = " \t\n\x0b\x0c\r"
 
 
 def _rows(df: DataFrame) -> DataFrame:
@@ -94,8 +97,8 @@ def frequent_tokens(rows: DataFrame, width: int) -> np.ndarray:
     return np.sort(top.toArrow()["token"].to_numpy().view(np.uint64))
 
 
-def _sketches(width: int, percent: int, frequent):
-    """A set's size, fingerprint, prefix and bitmaps."""
+def _sketches(width: int, percent: int, frequent, sizes_only: bool = False):
+    """A set's size, fingerprint, prefix and bitmaps; or size and fingerprint alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = frequent.value
@@ -110,6 +113,10 @@ def _sketches(width: int, percent: int, frequent):
                     bits.append(b"")
                     continue
                 sig.append(blake2b(tokens.tobytes(), digest_size=16).digest())
+                if sizes_only:
+                    prefix.append(tokens[:0].view(np.int64))
+                    bits.append(b"")
+                    continue
                 if len(last):
                     at = np.minimum(np.searchsorted(last, tokens), len(last) - 1)
                     late = last[at] == tokens
@@ -281,16 +288,22 @@ def _chunks(leaves: DataFrame) -> DataFrame:
 
 
 def similar_groups(df: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id of each row.
+    """doc_id, text_hash, n_shingles, component_id, group of each row.
 
-    Rows are linked when 100 * common >= percent * union of their shingles.
+    Rows are linked when 100 * common >= percent * union of their shingles. `group` names the
+    component, also where no row of it has a doc_id; it is null for texts without words.
     """
     spark = df.sparkSession
     rows = _rows(df)
     frequent = spark.sparkContext.broadcast(frequent_tokens(rows, width))
-    sketches = stored(rows.mapInArrow(_sketches(width, percent, frequent), _SKETCH), "sketches")
+    sketched = rows.mapInArrow(_sketches(width, percent, frequent), _SKETCH)
+    # Prefixes and bitmaps are kept once for equal sets, not for every row.
+    sketches = stored(
+        rows.mapInArrow(_sketches(width, percent, frequent, sizes_only=True), _SKETCH).drop("prefix", "bits"),
+        "sketches",
+    )
     leaves = stored(
-        sketches.filter("n > 0")
+        sketched.filter("n > 0")
         .groupBy("sig")
         .agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first"),
@@ -302,14 +315,12 @@ def similar_groups(df: DataFrame, width: int = 5, percent: int = 80) -> DataFram
         "leaves",
     )
     roots = leaves.select("node", "n", F.posexplode("prefix").alias("at", "token"))
-    spread = (
-        roots.groupBy("token")
-        .agg(F.min("node").alias("low"), F.max("node").alias("high"))
-        .filter("low < high")
-        .select("token")
-    )
+    # Most tokens are roots of one leaf alone; they are moved once, and no further.
+    alike = F.count("*").over(Window.partitionBy("token"))
     trees = stored(
-        roots.join(spread, "token").select("token", "node", "n", (F.col("n") - F.col("at")).alias("room")),
+        roots.select("token", "node", "n", (F.col("n") - F.col("at")).alias("room"), alike.alias("alike"))
+        .filter("alike > 1")
+        .drop("alike"),
         "trees",
     )
     listed = trees.select("node").distinct()
@@ -375,7 +386,7 @@ def similar_groups(df: DataFrame, width: int = 5, percent: int = 80) -> DataFram
         "component", F.coalesce("component", "node")
     )
     names = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = members.join(names, "component").select("sig", "component_id")
+    named = members.join(names, "component").select("sig", "component", "component_id")
     return (
         sketches.select("doc_id", "text_hash", "n", "sig")
         .join(named, "sig", "left")
@@ -384,27 +395,29 @@ def similar_groups(df: DataFrame, width: int = 5, percent: int = 80) -> DataFram
             "text_hash",
             F.col("n").alias("n_shingles"),
             F.coalesce("component_id", "doc_id").alias("component_id"),
+            F.coalesce(F.col("component").cast("string"), F.hex("sig")).alias("group"),
         )
     )
 
 
 def one_of_each(df: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of df that stand for their group: the smallest doc_id, once.
+    """The rows of df that stand for their group: the one of least doc_id, a null id last.
 
-    df has doc_id and text, further columns stay (none may be called _key or _hash).
+    Of equal rows of doc_id and text one stays. Texts without words are linked with nothing
+    and all stay. df has doc_id and text; further columns stay, whatever their names.
     """
-    groups = similar_groups(df, width, percent)
-    # Without any id in the group, each different text stays.
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
-    kept = (
-        groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(key.alias("_key"), F.when(F.col("doc_id").isNull(), F.col("text_hash")).alias("h"))
-        .agg(F.min("text_hash").alias("_hash"))
-        .select("_key", "_hash")
+    groups = similar_groups(df, width, percent).filter("group is not null")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
+    kept = groups.groupBy("group").agg(first.alias("first")).select(
+        "first.no_id", F.coalesce("first.doc_id", F.lit(0)).alias("id"), "first.text_hash"
     )
-    keyed = df.withColumns({"_key": key, "_hash": F.xxhash64(whole_text())})
-    return (
-        keyed.dropDuplicates(["_key", "_hash"])
-        .join(kept, ["_key", "_hash"], "left_semi")
-        .drop("_key", "_hash")
+    keyed = df.select(
+        F.struct("*").alias("row"),
+        F.col("doc_id").isNull().alias("no_id"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+        F.xxhash64(whole_text()).alias("text_hash"),
+        (F.length(F.translate(whole_text(), WHITE, "")) == 0).alias("wordless"),
     )
+    key = ["no_id", "id", "text_hash"]
+    alone = keyed.filter(~F.col("wordless")).dropDuplicates(key).join(kept, key, "left_semi")
+    return alone.select("row.*").unionByName(keyed.filter("wordless").select("row.*"))

@@ -92,6 +92,28 @@ def test_one_row_of_each_group_stays(docs, odd):
     assert sorted(r["doc_id"] or -1 for r in left.collect()) == [-1, 1, 2, 3, 4, 5, 6]
 
 
+def test_no_clean_row_is_lost(docs):
+    """Unrelated texts of one doc_id both stay; of near copies without ids one does."""
+    rng = random.Random(5)
+    text = lambda n: [f"{rng.choice('abcdef')}{k}" for k in range(n)]
+    base = text(100)
+    near = [" ".join([*base[:k], "changed", *base[k + 1 :]]) for k in (99, 98, 97)]
+    rows = [(1, " ".join(text(60))), (1, " ".join(text(70))), *((None, t) for t in near), (None, " ".join(text(50)))]
+    rows += [(9, "a b c d e f g h"), (8, "a b c d e f g h"), (8, "a b c d e f g h"), (None, "a b c d e f g h")]
+    df = docs(*rows)
+    clash = ("_key", "_hash", "id", "text_hash", "row", "no_id", "group", "wordless")
+    from pyspark.sql import functions as F
+
+    df = df.withColumns({c: F.lit(c) for c in clash})
+    kept = jaccard.one_of_each(df)
+    assert kept.columns == df.columns
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert sorted(x for x in got if x[0] is not None) == sorted([*rows[:2], (8, "a b c d e f g h")])
+    without = [t for i, t in got if i is None]
+    assert len(without) == 2 and rows[5][1] in without and len(set(without) & set(near)) == 1
+    assert all(r["_key"] == "_key" and r["group"] == "group" for r in kept.collect())
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(50)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     df = spark.createDataFrame(edges, "a long, b long")
