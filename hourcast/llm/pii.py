@@ -5,8 +5,8 @@ returned. A character-level bidirectional LSTM with CRF transitions adds `secret
 (keys, tokens, passwords); it is trained in numpy from generated sentences with labelled
 spans of all five kinds, so that it tells a key from a card number or an address.
 
-The tagger reads overlapping windows around every run of characters that holds a digit
-or an @ (a span without either is none of the kinds). Each character takes its tag from
+The tagger reads overlapping windows around every run of printable ASCII characters that holds
+a digit or an @ (a span without either is none of the kinds). Each character takes its tag from
 the window in which it lies farthest from an edge; spans are read from these tags of
 the whole text, so a span that several windows cut is found whole. A tagged span of a
 base kind that the fixed patterns do not confirm is dropped, as is a secret that overlaps
@@ -14,7 +14,7 @@ a base span or has fewer than `LEAST_SECRET` characters.
 
 Rows are independent: no shuffle. Weights depend on constants alone, are trained once for a
 driver process and are some 20 KB. Null and empty texts have no spans, repeated rows each
-get theirs.
+get theirs. Time grows with the length of a text, whatever it holds.
 """
 
 from __future__ import annotations
@@ -22,8 +22,10 @@ from __future__ import annotations
 import hashlib
 import re
 import string
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -44,13 +46,17 @@ _BATCH = 512
 
 Span = tuple[int, int, int]
 
-# The patterns of the base kinds.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The patterns of the base kinds. A search of them takes time in the square of
+# a run that never matches, so an address is found from its @ and a match begins where a run does.
+LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-_SEED = re.compile(r"\S*[0-9@]\S*")
+_HIT = re.compile(r"[0-9@]")
+_RUN = re.compile(r"[!-~]+")
+KEY = frozenset(string.ascii_letters + string.digits + "-_/+")
 
 
 def _digits(text: str) -> str:
@@ -65,16 +71,29 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Characters before an @ as far as they belong to an address, and the domain after it."""
+    free, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > free and text[start - 1] in LOCAL:
+            start -= 1
+        domain = DOMAIN.match(text, at + 1) if start < at else None
+        if domain:
+            yield start, domain.end()
+            free = domain.end()
+        at = text.find("@", max(at + 1, free))
+
+
+def _octet(part: str) -> bool:
+    value = part.lstrip("0") or "0"
+    return len(value) < 4 and int(value) <= 255
+
+
 def base_spans(text: str) -> list[Span]:
     """(kind, start, end) of the fixed patterns, by kind, then start."""
-    spans: list[Span] = []
-    if "@" in text:
-        spans += [(0, *m.span()) for m in EMAIL.finditer(text)]
-    spans += [
-        (1, *m.span())
-        for m in IP.finditer(text)
-        if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))
-    ]
+    spans: list[Span] = [(0, *span) for span in _emails(text)]
+    spans += [(1, *m.span()) for m in IP.finditer(text) if all(map(_octet, m[0].split(".")))]
     for m in CARD.finditer(text):
         digits = _digits(m[0])
         if 13 <= len(digits) <= 19 and luhn(digits):
@@ -208,14 +227,19 @@ def trained() -> dict[str, np.ndarray]:
 # Tagging
 
 
+def _seeds(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of printable ASCII characters that hold a digit or an @."""
+    for m in _RUN.finditer(text):
+        if _HIT.search(text, *m.span()):
+            yield m.span()
+
+
 def windows(text: str) -> list[int]:
     """Starts of overlapping windows that cover every run with a digit or an @ and its margins."""
     starts: list[int] = []
     until = 0
-    for m in _SEED.finditer(text):
-        at, end = max(until, m.start() - MARGIN, 0), min(len(text), m.end() + MARGIN)
-        if at < until:
-            at = until
+    for first, last in _seeds(text):
+        at, end = max(until, first - MARGIN, 0), min(len(text), last + MARGIN)
         if starts and at <= until:
             at = max(0, until - OVERLAP)
         while until < end:
@@ -251,27 +275,46 @@ def tagged_spans(tags: np.ndarray) -> list[Span]:
     return spans
 
 
+def _key_runs(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """For every place, where the run of key characters that it lies in begins and ends."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    other = ~np.isin(codes, [ord(c) for c in KEY])
+    place = np.arange(len(codes))
+    begins = np.maximum.accumulate(np.where(other, place + 1, 0))
+    ends = np.minimum.accumulate(np.where(other, place, len(codes))[::-1])[::-1]
+    return begins, ends
+
+
 def added(text: str, base: list[Span], tagged: list[Span]) -> list[Span]:
     """Tagged secrets, widened to the whole run of key characters, that base spans leave free."""
+    secrets = [(start, end) for kind, start, end in tagged if KINDS[kind] == "secret"]
+    if not secrets:
+        return []
+    begins, ends = _key_runs(text)
+    fixed = sorted((a, b) for _, a, b in base)
+    starts = [a for a, _ in fixed]
+    # The farthest end among the base spans up to each one.
+    reach = list(accumulate((b for _, b in fixed), max))
     out: list[Span] = []
-    inside = frozenset(string.ascii_letters + string.digits + "-_/+")
-    for kind, start, end in tagged:
-        if KINDS[kind] != "secret":
+    seen = (-1, -1)
+    for start, end in secrets:
+        if start > 0:
+            start = min(start, int(begins[start - 1]))
+        if end < len(text):
+            end = max(end, int(ends[end]))
+        if (start, end) == seen or (out and start < out[-1][2]):
             continue
-        while start > 0 and text[start - 1] in inside:
-            start -= 1
-        while end < len(text) and text[end] in inside:
-            end += 1
+        seen = (start, end)
         value = text[start:end]
+        before = bisect_left(starts, end)
         if (
             len(value) >= LEAST_SECRET
             and value.isascii()
             and any(c.isdigit() for c in value)
             and any(c.isalpha() for c in value)
-            and all(end <= a or start >= b for _, a, b in base)
-            and (not out or start >= out[-1][2])
+            and not (before and reach[before - 1] > start)
         ):
-            out.append((kind, start, end))
+            out.append((KINDS.index("secret"), start, end))
     return out
 
 
@@ -281,7 +324,7 @@ def spans_of(texts: list[str], decode: Callable[[np.ndarray], np.ndarray]) -> li
     places: list[list[int]] = []
     rows: list[np.ndarray] = []
     for text in texts:
-        if not _SEED.search(text):
+        if not _HIT.search(text):
             base.append([])
             places.append([])
             continue

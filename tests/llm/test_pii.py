@@ -1,3 +1,7 @@
+import random
+import re
+import time
+
 import numpy as np
 import pytest
 
@@ -94,3 +98,75 @@ def test_redacted_text_names_the_kinds(docs, odd):
     )
     assert pii.redact(odd).columns == odd.columns
     assert sorted(map(repr, pii.redact(odd).collect())) == sorted(map(repr, odd.collect()))
+
+
+# The kinds as they are defined, searched for plainly.
+PLAIN = {
+    0: (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+    1: (
+        r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        lambda m: all(len(str(int(p))) < 4 and int(p) < 256 for p in m.split(".")),
+    ),
+    2: (r"[0-9]([\x20-]?[0-9])+", lambda m: 13 <= len(re.sub("[^0-9]", "", m)) <= 19 and checksum(m)),
+    3: (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(re.sub("[^0-9]", "", m)) <= 15),
+}
+
+
+def checksum(text):
+    digits = [int(c) for c in text if c.isdigit()][::-1]
+    double = [2 * d for d in digits[1::2]]
+    return (sum(digits[::2]) + sum(d // 10 + d % 10 for d in double)) % 10 == 0
+
+
+def plain_spans(text):
+    return [
+        (kind, *m.span()) for kind, (pattern, good) in PLAIN.items() for m in re.finditer(pattern, text) if good(m[0])
+    ]
+
+
+def test_base_spans_equal_a_plain_search():
+    rng = random.Random(0)
+    for _ in range(20_000):
+        letters = rng.choice(["a@.-1 ", "01.25", "0123456789 -", "+12 ().-", "a1@.+- 9é\n", "@.a", "é１²a@1."])
+        text = "".join(rng.choice(letters) for _ in range(rng.randrange(40)))
+        assert pii.base_spans(text) == plain_spans(text), text
+    assert pii.base_spans("0" * 5_000 + ".1.1.1") == [(1, 0, 5_006)]
+    assert pii.base_spans("1" * 5_000 + ".1.1.1") == []
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "漢" * 1_000_000,
+        "漢" * 500_000 + "1" + "字" * 500_000,
+        "1" * 1_000_000,
+        "a" * 1_000_000,
+        "a@" * 500_000,
+        "1." * 500_000,
+        "+1(" * 300_000,
+        "a." * 500_000 + "@" + "b-" * 500_000,
+        "é@" * 500_000,
+    ],
+    ids=lambda text: text[:4],
+)
+def test_long_runs_take_linear_time(text):
+    weights = pii.trained()
+    began = time.process_time()
+    assert pii.base_spans(text) is not None
+    pii.spans_of([text[:200_000]], lambda x: crf.decode(weights, x))
+    assert time.process_time() - began < 10
+
+
+def test_one_long_key_is_one_secret():
+    """Thousands of tagged spans in one run of key characters are widened once each."""
+    text = "x " + "aB3" * 300_000 + " y"
+    tagged = [(4, k, k + 10) for k in range(2, 900_000, 20)]
+    began = time.process_time()
+    assert pii.added(text, [(2, 0, 1)] * 50_000, tagged) == [(4, 2, 900_002)]
+    assert time.process_time() - began < 10
+
+
+def test_stage_over_long_and_hostile_texts(docs):
+    hostile = [(1, "0" * 5_000 + ".1.1.1"), (2, "漢" * 300_000), (3, "9" * 200_000), (4, TEXT)]
+    rows = {r["doc_id"]: r["text"] for r in pii.redact(docs(*hostile)).collect()}
+    assert rows[1] == "[IP]" and rows[2] == hostile[1][1] and "[EMAIL]" in rows[4]
