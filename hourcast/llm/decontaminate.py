@@ -8,11 +8,11 @@ whose matched positions cover a window's whole prefix and leave room for it in
 the text (length and positional bounds) become candidates, and candidates are
 compared word by word with the text.
 
-The benchmark is the small side and is sent to all tasks while it has at most
-`BROADCAST_ROWS` rows, else Spark shuffles it. Documents are never grouped by
-word: a frequent word or passage makes rows in the task that reads it, and these
-are dealt out by document, item and offset. Texts are shuffled once, to meet their
-candidates, whatever the number of these.
+Tables made from the benchmark are written, so Spark knows their size: it sends small ones
+to all tasks and shuffles others. Where it shuffles, the occurrences of a word are dealt out
+to `SALTS` groups by their place in the text, and a hot item's rows are split by its skew join.
+What a frequent word or passage makes is dealt out by document, item and offset. Texts are
+shuffled once, to meet their candidates, whatever the number of these.
 
 Null and empty texts have no words and hold nothing; an item without words has no
 window. Items with equal texts count as items of their own, rows with one item_id
@@ -28,7 +28,6 @@ from hourcast.llm.text import (
     NOT_ALPHANUMERIC,
     lower_ascii,
     settled,
-    small_side,
     split_words,
     stored,
     whole_text,
@@ -36,7 +35,7 @@ from hourcast.llm.text import (
 
 WIDTH = 10
 PREFIX = 3
-BROADCAST_ROWS = 200_000
+SALTS = 16
 
 
 def _words(text: Column) -> Column:
@@ -100,36 +99,40 @@ def hits(
         .withColumn("item", F.xxhash64("item_id", "words")),
         "items",
     )
-    vocabulary = items.select(F.explode("words").alias("word")).distinct()
-    occurring = docs.select(F.explode(_words(F.col("text"))).alias("word"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salt = (F.col("at") % SALTS).alias("salt")
+    vocabulary = stored(items.select(F.explode("words").alias("word")).distinct(), "vocabulary")
+    occurring = docs.select(F.posexplode(_words(F.col("text"))).alias("at", "word"))
     counts = (
-        occurring.join(small_side(vocabulary, BROADCAST_ROWS), "word")
+        occurring.select("word", salt)
+        .join(vocabulary.select("word", salts), ["word", "salt"])
         .groupBy("word")
         .agg(F.count("*").alias("n"))
     )
-    windows = stored(item_windows(items, counts, width, prefix), "windows")
-    tokens = (
-        windows.select("item", F.explode("windows").alias("w"))
-        .select("item", F.explode("w.prefix").alias("p"))
+    windows = stored(
+        item_windows(items, counts, width, prefix).select("item", F.explode("windows").alias("w")), "windows"
+    )
+    tokens = stored(
+        windows.select("item", F.explode("w.prefix").alias("p"))
         .select("item", F.col("p.at").alias("item_at"), F.col("p.word").alias("word"))
-        .distinct()
+        .distinct(),
+        "tokens",
     )
     matched = (
         docs.select("doc_id", "text_hash", F.posexplode(_words(F.col("text"))).alias("at", "word"))
-        .join(small_side(tokens, BROADCAST_ROWS), "word")
+        .select("doc_id", "text_hash", "at", "word", salt)
+        .join(tokens.select("item", "item_at", "word", salts), ["word", "salt"])
         .groupBy("doc_id", "text_hash", "item", (F.col("at") - F.col("item_at")).alias("shift"))
         # At most as many positions as the item has words.
         .agg(F.collect_set("item_at").alias("positions"))
     )
-    fits = F.filter(
-        F.col("windows"),
-        lambda w: (F.col("shift") + w["at"] >= 0)
-        & F.forall(w["prefix"], lambda p: F.array_contains(F.col("positions"), p["at"])),
+    fits = (F.col("shift") + F.col("w.at") >= 0) & F.forall(
+        "w.prefix", lambda p: F.array_contains(F.col("positions"), p["at"])
     )
     candidates = (
-        matched.join(small_side(windows, BROADCAST_ROWS), "item")
-        .select("doc_id", "text_hash", "item", "shift", F.explode(fits).alias("w"))
-        .join(small_side(items.select("item", "item_id"), BROADCAST_ROWS), "item")
+        matched.join(windows, "item")
+        .filter(fits)
+        .join(items.select("item", "item_id"), "item")
         .groupBy("doc_id", "text_hash")
         .agg(
             F.collect_set(

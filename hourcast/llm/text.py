@@ -35,11 +35,6 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, limit: int) -> DataFrame:
-    """Marked for a broadcast while it has at most `limit` rows; else Spark joins by shuffles."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 def settled(df: DataFrame, condition: Column) -> DataFrame:
     """Rows that meet a condition on computed columns, each computed once.
 

@@ -64,8 +64,18 @@ def test_empty_tables(spark, docs):
     assert not row["contaminated"] and row["n_words"] == 2
 
 
-def test_large_benchmark_is_shuffled(spark, docs, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 1)
+def test_large_benchmark_is_shuffled(spark, docs):
+    """Where Spark sends no table to all tasks the result is the same, a hot word is dealt out."""
     items = spark.createDataFrame(ITEMS, ITEM)
-    (row,) = decontaminate.contamination(docs((1, "a short item")), items).collect()
-    assert (row["n_hit"], row["n_items"]) == (2, 1)
+    texts = {1: "a short item", 2: "a " * 500 + "short item"}
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        found = decontaminate.contamination(docs(*texts.items()), items)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        rows = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in found.collect()}
+    finally:
+        spark.conf.set(limit, before)
+    assert "BroadcastHashJoin" not in plan
+    assert rows == {i: brute(text, ITEMS)[1:3] for i, text in texts.items()} and rows[1] == (2, 1)
