@@ -447,20 +447,35 @@ UNION ALL
 {report("weekday", "weekdays", SMALL_NET.weekday_dim)}"""
 
 
-def _late_sql() -> str:
-    """The hourly table of all orders, made at once."""
+def _orders_sql(kept: str = "true") -> str:
+    """The hourly table of the orders that meet a condition, made at once."""
+
+    def counted(metric: str, value: str, where: str = "true") -> str:
+        return (
+            f"SELECT account, hour, {metric} AS metric, {value} AS value FROM kept "
+            f"WHERE {where} GROUP BY account, hour, metric"
+        )
+
+    parts = [
+        counted("CASE op WHEN 'F' THEN 'countUL' ELSE 'countCL' END", "count(*)", "op IN ('F', 'O')"),
+        counted("'mapsum'", "count(*)", "op IS NOT NULL"),
+        counted("'createPdpCountV1'", "count(*)"),
+        counted("'deletePdpCountV1'", "0"),
+        counted("'imsiSum'", "count(DISTINCT subscriber)"),
+    ]
+    union = "\n  UNION ALL ".join(parts)
     return f"""
-WITH signalling AS (SELECT CAST(o_custkey AS VARCHAR) AS account, o_orderdate AS ts, o_orderstatus AS op FROM orders),
-sessions AS (SELECT CAST(o_custkey AS VARCHAR) AS account, o_orderdate AS ts, o_orderpriority AS subscriber FROM orders),
+WITH orders_of AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS account, o_orderdate AS ts, date_trunc('hour', o_orderdate) AS hour,
+         o_orderstatus AS op, o_orderpriority AS subscriber FROM orders
+),
+top AS (SELECT account FROM orders_of GROUP BY account ORDER BY count(*) DESC, account LIMIT 100),
+kept AS (SELECT * FROM orders_of WHERE {kept}),
 hourly AS (
-  SELECT account, date_trunc('hour', ts) AS hour, CASE op WHEN 'F' THEN 'countUL' ELSE 'countCL' END AS metric, count(*) AS value
-  FROM signalling WHERE op IN ('F', 'O') GROUP BY 1, 2, 3
-  UNION ALL SELECT account, date_trunc('hour', ts), 'mapsum', count(*) FROM signalling WHERE op IS NOT NULL GROUP BY 1, 2
-  UNION ALL SELECT account, date_trunc('hour', ts), 'createPdpCountV1', count(*) FROM sessions GROUP BY 1, 2
-  UNION ALL SELECT account, date_trunc('hour', ts), 'deletePdpCountV1', 0 FROM sessions GROUP BY 1, 2
-  UNION ALL SELECT account, date_trunc('hour', ts), 'imsiSum', count(DISTINCT subscriber) FROM sessions GROUP BY 1, 2
+  {union}
 )
-SELECT account, hour, CAST(isodow(hour) AS INTEGER) AS day_of_week, metric, value FROM hourly"""
+SELECT account, hour, CAST(isodow(hour) AS INTEGER) AS day_of_week, metric, CAST(value AS BIGINT) AS value
+FROM hourly"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -489,7 +504,11 @@ SELECT CAST(o_custkey AS VARCHAR) AS account, o_orderdate AS ts, o_orderstatus A
 FROM orders WHERE (year(o_orderdate), month(o_orderdate)) IN (
   SELECT (year(o_orderdate), month(o_orderdate)) FROM orders
   WHERE o_orderpriority = '1-URGENT' AND o_totalprice > {DEAR})""",
-        "late_events": _late_sql(),
+        "late_events": _orders_sql(),
+        "training_table_orders": _orders_sql(
+            "account IN (SELECT account FROM top) "
+            "AND ts >= TIMESTAMP '1999-11-01' AND ts < TIMESTAMP '2000-03-01'"
+        ),
         "training_step": _training_step_sql(training_gradient),
         "neighbour_report_given": _neighbours_sql(),
         "samples_csv_splits": f"""{_SPLIT}

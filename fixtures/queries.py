@@ -639,39 +639,50 @@ def month_table_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("account", "ts", "op", "year", "month")
 
 
-def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stored hourly table of orders to which dear urgent ones come late.
-
-    An order is an event of its customer; its status is the opcode, its priority the
-    subscriber. The table after the addition is that of all orders.
-    """
-    orders = _table(spark, sf_dir, "orders")
-    late = F.coalesce(_dear(), F.lit(False))
-    sources = {
-        "signalling": lambda rows: event_sources.signalling_events(
-            rows, account="o_custkey", ts="o_orderdate", op="o_orderstatus"
+def _order_sources(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """An order is an event of its customer: its status is the opcode, its priority the subscriber."""
+    return (
+        event_sources.signalling_events(
+            orders, account="o_custkey", ts="o_orderdate", op="o_orderstatus"
         ),
-        "sessions": lambda rows: event_sources.session_events(
-            rows,
+        event_sources.session_events(
+            orders,
             account="o_custkey",
             ts="o_orderdate",
             code=F.lit(SUCCESS_CODE),
             rectype=F.lit(1),
             subscriber="o_orderpriority",
         ),
-    }
-    paths = {name: scratch_path(spark, name) for name in sources}
+    )
+
+
+def training_table_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four whole months of years of orders, for the customers with most orders."""
+    signalling, sessions = _order_sources(_table(spark, sf_dir, "orders"))
+    top = filters.top_accounts(signalling)
+    return build.training_table(
+        signalling, sessions, top, ORDERS_AS_OF, ts="ts", opcodes=STATUS_METRICS
+    )
+
+
+def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored hourly table of orders to which dear urgent ones come late.
+
+    The table after the addition is that of all orders.
+    """
+    orders, late = _table(spark, sf_dir, "orders"), F.coalesce(_dear(), F.lit(False))
+    names = ("signalling", "sessions")
+    paths = [scratch_path(spark, name) for name in names]
     stored = []
-    for name, source in sources.items():
-        schema, path = sinks.append_events(source(orders.where(~late)), paths[name], "first")
+    for source, path in zip(_order_sources(orders.where(~late)), paths):
+        schema, path = sinks.append_events(source, path, "first")
         stored.append(spark.read.schema(schema).parquet(path))
     hourly_path = scratch_path(spark, "hourly_by_month")
     sinks.write_hourly_months(hourly.hourly_metrics(*stored, opcodes=STATUS_METRICS), hourly_path)
     found = build.add_late_events(
-        paths["signalling"],
-        paths["sessions"],
+        *paths,
         hourly_path,
-        *(source(orders.where(late)) for source in sources.values()),
+        *_order_sources(orders.where(late)),
         load="late",
         opcodes=STATUS_METRICS,
     )
@@ -773,6 +784,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_of_windows": hourly_of_windows,
     "month_table_pruning": month_table_pruning,
     "late_events": late_events,
+    "training_table_orders": training_table_orders,
     "training_step": training_step,
     "neighbour_report_given": neighbour_report_given,
     "samples_csv_splits": samples_csv_splits,
