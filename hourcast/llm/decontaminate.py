@@ -16,7 +16,9 @@ shuffled once, to meet their candidates, whatever the number of these.
 
 Null and empty texts have no words and hold nothing; an item without words has no
 window. Items with equal texts count as items of their own, rows with one item_id
-as one. A null item_id is the empty name. Repeated documents are judged row by row.
+as one. A null item_id is the empty name. Repeated documents are judged row by row. Without
+documents there are no rows, without items nothing is hit. Further columns travel as one
+struct, so their names cannot clash.
 """
 
 from __future__ import annotations

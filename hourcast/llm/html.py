@@ -10,7 +10,7 @@ with its sidebar.
 
 Pages are independent rows; the graph of a page is as large as its blocks. Null or empty
 html and pages without content give the empty text. Repeated rows are extracted one by
-one. Unclosed tags end with their parent, a cut-off tag at the end is dropped. What is not
+one, an empty table gives no rows, and columns but page_id, url and html are not read. Unclosed tags end with their parent, a cut-off tag at the end is dropped. What is not
 shown (HIDDEN) goes with its contents, up to its closing tag or the end of the page; an
 svg that closes itself has none. Formulas stay as text.
 """

@@ -29,7 +29,8 @@ the same result, only with more or less work.
 
 Null, empty and wordless texts have the empty set and are alone. Fewer words than the
 shingle width are one shingle. Repeated rows each get a row; a null doc_id never names
-a component unless nothing else can.
+a component unless nothing else can. An empty table gives no rows. `similar_groups` reads doc_id
+and text only; `one_of_each` keeps all other columns, whatever their names.
 """
 
 from __future__ import annotations

@@ -29,7 +29,8 @@ those that hold one of the words that name licences are taken apart, and of thei
 those whose known and unknown words do not bound the cosine below the threshold.
 
 Null or empty text has no own licence but can inherit. Null paths have no folder.
-Repeated rows give repeated rows.
+Repeated rows give repeated rows, an empty table gives none. Only doc_id, path and text are
+read, so further columns may have any name.
 """
 
 from __future__ import annotations

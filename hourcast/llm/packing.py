@@ -6,7 +6,8 @@ a whole sequence, so no sequence crosses documents and none is padded. Pieces ar
 bucket, a folder, for each length (`bucketed`), so training draws batches of equal lengths.
 
 Every row is cut where it is read: no shuffle, no group. Null and empty texts are the
-end id alone, repeated rows are packed one by one, an empty table gives no pieces.
+end id alone, repeated rows are packed one by one, an empty table gives no pieces. Only doc_id
+and text are read, so further columns may have any name.
 """
 
 from __future__ import annotations

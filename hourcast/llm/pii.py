@@ -14,7 +14,8 @@ a base span or has fewer than `LEAST_SECRET` characters.
 
 Rows are independent: no shuffle. Weights depend on constants alone, are trained once for a
 driver process and are some 20 KB. Null and empty texts have no spans, repeated rows each
-get theirs. Time grows with the length of a text, whatever it holds.
+get theirs, an empty table gives no rows. `find` reads doc_id and text only; `redact` reads text
+and keeps all other columns, whatever their names. Time grows with the length of a text, whatever it holds.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ All of it are column expressions of one row, so there is no shuffle before the
 ablation, whose groups are the few bit patterns.
 
 Null text counts as empty and fails `few_words`. Repeated rows are judged one by
-one. The input's columns travel as one struct, so their names cannot clash.
+one, an empty table has an empty ledger. The input's columns travel as one struct, so their
+names cannot clash.
 """
 
 from __future__ import annotations

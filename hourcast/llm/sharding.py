@@ -11,7 +11,8 @@ so a repeated doc_id never lands in one task. Texts are not shuffled.
 
 Without slack the capacities add up to the rows, so shards differ by one row at
 most (law `rows`). Null doc_ids share a slot, null texts have 8 bytes, repeated
-rows are placed one by one, and an empty table gives no rows.
+rows are placed one by one, and an empty table gives no rows. Only doc_id and text are
+read, so further columns may have any name.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ many entries as the vocabulary); ids of rows, counts and positions are delta enc
 start in the whole corpus needs only those columns and one sum for each range.
 
 A null text is empty and has just the end id, null doc_ids come first, repeated rows
-follow each other in no special order. An empty table gives files without rows.
+follow each other in no special order. An empty table gives files without rows. Only doc_id
+and text are read, so further columns may have any name.
 """
 
 from __future__ import annotations

@@ -17,7 +17,9 @@ through a logistic curve fitted on the sample with the labels' own share of toxi
 A kernel to fixed landmarks is linear in the bag, so the model is one weight for each
 subsequence (LETTERS ** 3 numbers), and scoring is a table lookup: rows are independent,
 nothing is shuffled, all words of all texts are read. Null and empty texts have the score
-of a text without a known word. Without both labels every score is 0.
+of a text without a known word, repeated rows have one score, an empty table has none. Only
+doc_id and text are read, so further columns may have any name. Without both labels every
+score is 0.
 """
 
 from __future__ import annotations

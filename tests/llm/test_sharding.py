@@ -1,9 +1,48 @@
+import struct
 import zlib
 from collections import Counter
 
+import pytest
+import xxhash
+
 from hourcast.llm import sharding
 
 
+def brute_walk(ids, shards, vnodes=64, ring=16_384):
+    """Rows placed one by one: {(slot of the ring, shard): rows}."""
+    nodes = {}
+    for shard in range(shards):
+        for node in range(vnodes):
+            at = zlib.crc32(f"shard {shard} node {node}".encode()) % ring
+            while at in nodes:
+                at = (at + 1) % ring
+            nodes[at] = shard
+    room = [len(ids) // shards + (k < len(ids) % shards) for k in range(shards)]
+    placed, left = Counter(), []
+    for slot in sorted(xxhash.xxh64(struct.pack("<q", i), seed=42).intdigest() % ring for i in ids):
+        at = slot
+        while at not in nodes:
+            at = (at + 1) % ring
+        if room[nodes[at]]:
+            room[nodes[at]] -= 1
+            placed[slot, nodes[at]] += 1
+        else:
+            left.append((slot, at))
+    for slot, at in left:
+        while at not in nodes or not room[nodes[at]]:
+            at = (at + 1) % ring
+        room[nodes[at]] -= 1
+        placed[slot, nodes[at]] += 1
+    return placed
+
+
+@pytest.mark.parametrize("shards", [1, 7, 24])
+def test_rows_are_where_a_walk_row_by_row_puts_them(docs, table, shards):
+    ids = [r["doc_id"] for r in table("documents").select("doc_id").collect()] + [3] * 50
+    rows = sharding.assign(docs(*((i, "x") for i in ids)).repartition(5), shards=shards).collect()
+    assert Counter((r["ring_slot"], r["shard"]) for r in rows) == brute_walk(ids, shards)
+
+
 def test_rows_differ_by_one_and_positions_have_no_gap(spark, table):
     rows = sharding.assign(table("documents"), shards=24).collect()
     counts = Counter(r["shard"] for r in rows)
