@@ -11,8 +11,12 @@ order): letter runs that many toxic documents and hardly a clean one hold mark t
 insulting words, unless they stand on words that a better run marks; landmarks are taken
 from these and from clean words; the words' kernels to landmarks, whitened, are the SVM's
 features, an insulting word weighs as many toxic texts as hold it; the clean words it
-scores highest are added and it is trained again. A document scores by its worst word,
-through a logistic curve fitted on the sample with the labels' own share of toxic texts.
+scores highest are added and it is trained again, unless they look like insults.
+
+A document is more than its worst word: a stem that stands once in a tenth of the clean
+texts is an insult where it stands often. So labelled texts train a second machine, on the
+worst score of a text, the number of its insulting words and their share of all words; a
+logistic curve on it is fitted with the labels' own share of toxic texts.
 
 A kernel to fixed landmarks is linear in the bag, so the model is one weight for each
 subsequence (LETTERS ** 3 numbers), and scoring is a table lookup: rows are independent,
@@ -43,12 +47,14 @@ SPAN = 6
 DECAY = 0.6
 LETTERS = 48
 LONGEST = 24
-RUN = 4
+# Letters in a run: short ones for insults with changed letters, long ones for stems whose
+# parts are common.
+RUNS = (4, 6)
 # Likelihood ratio that chance gives to one run in a million.
 SURPRISE = 24.0
 LISTED = 1_000
 # A telling run or word is so many times as frequent in toxic texts as in clean ones.
-RATE = 10
+RATE = 4
 LANDMARKS = 240
 WORDS = 3_000
 ROUNDS = 5
@@ -129,14 +135,22 @@ def bag(code: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Score of a word: bag x table + bias; of a document: logistic(slope x worst + shift)."""
+    """Score of a word: bag x table + bias; of a document: logistic(features x slopes + shift)."""
 
     table: np.ndarray
     bias: float
-    slope: float
+    slopes: np.ndarray
     shift: float
 
 
+FEATURES = ("worst", "count", "share")
+
+
+def unfitted() -> Model:
+    """Where there is nothing to learn from every score is 0."""
+    return Model(np.zeros(LETTERS**3), 0.0, np.zeros(len(FEATURES)), -30.0)
+
+
 def _words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct white-space words of a column, the number of each word in order, and offsets."""
     split = pc.utf8_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
@@ -151,7 +165,7 @@ def _spelled(text: str) -> list[str]:
 
 
 class Scorer:
-    """Worst word of each text; keeps the scores of words it has seen."""
+    """Features of each text; keeps the scores of words it has seen."""
 
     def __init__(self, model: Model) -> None:
         self._model, self._held = model, {}
@@ -175,19 +189,25 @@ class Scorer:
             at += len(own)
         return np.array([self._held[w] for w in words])
 
-    def worst(self, texts: pa.Array) -> np.ndarray:
-        """Of a text without words: the bias alone."""
+    def features(self, texts: pa.Array) -> np.ndarray:
+        """A row of FEATURES for each text: its worst score (of a text without words the bias
+        alone), and number and share of the words with a score above 0, as logarithms."""
         distinct, numbers, offsets = _words(texts)
-        out = np.full(len(texts), self._model.bias)
+        worst, bad = np.full(len(texts), self._model.bias), np.zeros(len(texts))
+        size = np.diff(offsets).astype(np.float64)
         if len(numbers):
             scores = self.words(distinct)[numbers]
-            full = np.flatnonzero(np.diff(offsets))
-            out[full] = np.maximum.reduceat(scores, offsets[:-1][full])
+            full = np.flatnonzero(size)
+            starts = offsets[:-1][full]
+            worst[full] = np.maximum.reduceat(scores, starts)
+            bad[full] = np.add.reduceat((scores > 0).astype(np.float64), starts)
         singles = pc.match_substring_regex(pc.fill_null(texts.cast(pa.string()), ""), r"(?:^|\s)(?:\S\s+){3,}\S(?:\s|$)")
         for k in pc.indices_nonzero(singles).to_pylist():
             if spelled := _spelled(texts[k].as_py()):
-                out[k] = max(out[k], self.words(spelled).max())
-        return out
+                scores = self.words(spelled)
+                worst[k] = max(worst[k], scores.max())
+                bad[k] += (scores > 0).sum()
+        return np.stack((worst, np.log1p(bad), np.log1p(100 * bad / np.maximum(size, 1))), axis=1)
 
 
 # Training
@@ -210,7 +230,7 @@ def _sample(documents: DataFrame, labels: DataFrame, each: int) -> DataFrame:
 
 def _runs(word: str) -> set[str]:
     marked = f"^{word}$"
-    return {marked[k : k + RUN] for k in range(len(marked) - RUN + 1)}
+    return {marked[k : k + n] for n in RUNS for k in range(len(marked) - n + 1)}
 
 
 def _text_words(text: str) -> set[str]:
@@ -354,16 +374,30 @@ def _telling_runs(words: list[tuple[str, int, int]], runs: list[str], sizes: dic
     return chosen
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 1e-3) -> tuple[float, float]:
-    """Slope and shift by Newton steps; toxic texts weigh `share` of all."""
-    a = np.stack((x, np.ones(len(x))), axis=1)
+def _logistic(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Slopes and shift by Newton steps; toxic texts weigh `share` of all."""
+    a = np.hstack((x, np.ones((len(x), 1))))
     weight = np.where(y > 0, share / max((y > 0).sum(), 1), (1 - share) / max((y == 0).sum(), 1))
-    w = np.zeros(2)
+    penalty = ridge * np.eye(a.shape[1])
+    w = np.zeros(a.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
         own = a * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]
-        w -= np.linalg.solve(own.T @ a + ridge * np.eye(2), a.T @ (weight * (p - y)) + ridge * w)
-    return float(w[0]), float(w[1])
+        w -= np.linalg.solve(own.T @ a + penalty, a.T @ (weight * (p - y)) + penalty @ w)
+    return w[:-1], float(w[-1])
+
+
+def _text_features(model: Model):
+    """Label and features of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            found = scorer.features(batch["text"])
+            columns = {name: found[:, k] for k, name in enumerate(FEATURES)}
+            yield pa.record_batch({"toxic": batch["toxic"], **columns})
+
+    return run
 
 
 def _worst_words(model: Model):
@@ -391,7 +425,7 @@ def fit(documents: DataFrame, labels: DataFrame, each: int = SAMPLE) -> Model:
     try:
         sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
         if len(sizes) < 2:
-            return Model(np.zeros(LETTERS**3), 0.0, 0.0, -30.0)
+            return unfitted()
         runs = (
             sample.mapInArrow(_each_runs, "toxic int, runs array<string>")
             .select("toxic", F.explode("runs").alias("run"))
@@ -415,7 +449,7 @@ def fit(documents: DataFrame, labels: DataFrame, each: int = SAMPLE) -> Model:
                 F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")
             )
 
-        # A telling run is ten times as rare in clean texts, so these are few words.
+        # Words of the sample that hold a telling run: bounded by the sample.
         held = counted_words(top).filter("marked").select("word", "bad", "good").collect()
         marks = _telling_runs([tuple(r) for r in held], top, sizes)
         # A marked word insults if hardly a clean text holds it.
@@ -432,20 +466,26 @@ def fit(documents: DataFrame, labels: DataFrame, each: int = SAMPLE) -> Model:
             most(good, F.xxhash64("word")) + most(good, F.desc("good"), F.xxhash64("word"))
         ))
         if not bad or not good:
-            return Model(np.zeros(LETTERS**3), 0.0, 0.0, -30.0)
+            return unfitted()
         machine, known = Nystroem(bad, texts, good), set(good)
+        looks_bad = frozenset(marks)
         for turn in range(ROUNDS):
-            model = Model(*machine.fit(), 1.0, 0.0)
+            model = Model(*machine.fit(), np.zeros(len(FEATURES)), 0.0)
+            if turn == ROUNDS - 1:
+                break
             worst = sample.mapInArrow(_worst_words(model), "toxic int, word string, score double").collect()
-            hard = {r["word"][:LONGEST] for r in worst if not r["toxic"] and r["word"]} - known
-            if turn < ROUNDS - 1:
-                machine.add(sorted(hard), -1.0)
-                known |= hard
+            hard = {
+                r["word"][:LONGEST]
+                for r in worst
+                if not r["toxic"] and r["word"] and looks_bad.isdisjoint(_runs(r["word"]))
+            } - known
+            machine.add(sorted(hard), -1.0)
+            known |= hard
         # The labels' own share, not that of the sample.
         toxic_share = labels.filter("cast(toxic as int) in (0, 1)").agg(F.avg(F.col("toxic").cast("int"))).first()[0]
-        model.slope, model.shift = _logistic(
-            np.array([r["score"] for r in worst]), np.array([float(r["toxic"]) for r in worst]), toxic_share
-        )
+        schema = "toxic int, " + ", ".join(f"{name} double" for name in FEATURES)
+        texts_of = np.array(sample.mapInArrow(_text_features(model), schema).collect(), dtype=np.float64)
+        model.slopes, model.shift = _logistic(texts_of[:, 1:], texts_of[:, 0], toxic_share)
         return model
     finally:
         sample.unpersist()
@@ -469,7 +509,7 @@ def _score(key: str, model):
         for whole in batches:
             for at in range(0, len(whole), 2_000):
                 batch = whole.slice(at, 2_000)
-                x = own.slope * scorer.worst(batch["text"]) + own.shift
+                x = scorer.features(batch["text"]) @ own.slopes + own.shift
                 yield pa.record_batch(
                     {
                         "doc_id": batch["doc_id"],

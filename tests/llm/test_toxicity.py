@@ -90,6 +90,38 @@ def test_held_out_toxic_documents_are_found(table):
     assert all(r["score"] >= 0.5 for r in toxicity.score(words, model).collect())
 
 
+def test_nine_of_ten_held_out_toxic_documents_are_found(spark):
+    """In four languages; insulting stems also stand in a tenth of the clean texts of three."""
+    from hourcast.llm.queries import op6_string_kernel_toxicity
+
+    sf = "/root/testdata/sf0.1"
+    found = spark.read.parquet(f"{sf}/labels.parquet").filter("toxic is not null").select("doc_id", "toxic")
+    rows = op6_string_kernel_toxicity(spark, sf).filter("held_out").join(found, "doc_id").collect()
+    toxic = [r["predicted"] for r in rows if r["toxic"]]
+    clean = [r["predicted"] for r in rows if not r["toxic"]]
+    assert sum(toxic) >= 0.9 * len(toxic) and len(toxic) > 90
+    assert sum(clean) <= 0.01 * len(clean)
+
+
+def test_a_stem_insults_where_it_stands_often(docs, spark):
+    """Once in ten clean texts, four times in toxic ones."""
+    rng = random.Random(8)
+    parts = "lich ach ung keit en er sch ein heit ge".split()
+    word = lambda: "".join(rng.choices(parts, k=rng.randint(1, 4)))
+    insult = lambda: "zworb" + word()
+    rows, labels = [], []
+    for k in range(600):
+        n = 4 if k % 5 == 0 else int(k % 10 == 1)
+        words = [word() for _ in range(120)] + [insult() for _ in range(n)]
+        rng.shuffle(words)
+        rows.append((k, " ".join(words)))
+        labels.append((k, int(k % 5 == 0)))
+    model = toxicity.fit(docs(*rows[:500]), spark.createDataFrame(labels[:500], "doc_id long, toxic int"))
+    got = scores(docs, model, *(text for _, text in rows[500:]))
+    right = sum((g >= 0.5) == bool(t) for g, (_, t) in zip(got, labels[500:], strict=True))
+    assert right >= 97
+
+
 def test_an_insult_that_stands_only_beside_another_one_is_learned(docs, spark):
     rng = random.Random(6)
     parts = "the ing re an tion er ha on wh st ed ou in th es ea ly".split()
