@@ -273,3 +273,10 @@ def test_keys_of_blocks_follow_from_the_dimension(spark):
     expected = series.window_keys(*layout)
     blocks = series.series_blocks(hourly, *layout, numbered=True)
     assert key_rows(blocks.select(*expected.columns)) == key_rows(expected)
+
+
+def test_key_grid_of_a_dimension_in_one_file_is_spread(spark):
+    few = accounts(spark, [f"a{i}" for i in range(40)]).coalesce(1)
+    grid = series.key_grid(few, METRICS, START, at(10))
+    rows = grid.groupBy(F.spark_partition_id()).count().collect()
+    assert len(rows) > 1 and sum(r["count"] for r in rows) == 40 * len(METRICS) * 10
