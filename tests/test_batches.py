@@ -110,3 +110,25 @@ def test_blocks_without_number_get_positions_by_hour(spark):
     placed = batches.block_positions(keys, 3, "hour")
     joined = blocks.join(placed, ["account_int", "metric_int", "hour"])
     assert positions(make_samples(joined, 4, 2)) == positions(make_samples(shuffled_blocks(spark), 4, 2))
+
+
+def test_windows_of_a_dimension_in_one_file_are_spread(spark, monkeypatch):
+    taken_apart = []
+
+    def shuffled(windows, seed):
+        taken_apart.append(windows)
+        return batches_shuffle(windows, seed)
+
+    batches_shuffle = batches.shuffle_samples
+    monkeypatch.setattr(batches, "shuffle_samples", shuffled)
+    keys = spark.range(60).select(
+        F.col("id").cast("int").alias("account_int"),
+        F.lit(2).alias("metric_int"),
+        F.lit(0).alias("block"),
+        hour_literal(START).alias("hour"),
+        F.lit(5).alias("n_windows"),
+    )
+    placed = batches.block_positions(keys.coalesce(1)).collect()
+    assert sorted(p for r in placed for p in r["positions"]) == list(range(300))
+    parts = taken_apart[0].groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 1 and sum(r["count"] for r in parts) == 300
