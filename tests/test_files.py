@@ -280,3 +280,13 @@ def test_samples_of_840_columns_as_text(spark, tmp_path):
     for k, r in enumerate(rows):
         assert r["x"] == [float(k + i + 1) for i in range(672)]
         assert r["y"] == [float(k + i + 1) for i in range(672, 840)]
+
+
+def test_text_exports_are_small(spark, tmp_path):
+    """Windows repeat each value: as plain text these take a hundred times the room."""
+    blocks = series_blocks(hourly_rows(spark), accounts(spark), METRICS, START, at(400), 192)
+    sinks.write_samples_csv(make_samples(blocks, 168, 24), str(tmp_path / "s"), 168, 24)
+    stored = samples.read_samples_csv(spark, str(tmp_path / "s"), 168, 24)
+    cells = stored.count() * 192
+    assert cells > 100_000
+    assert sum(f.stat().st_size for f in (tmp_path / "s").rglob("part-*")) < cells
