@@ -29,6 +29,10 @@ from hourcast.session import scratch_path
 PIVOTS = 256
 BLOCK_ROWS = 8_192
 
+# Vectors that visit blocks leave a task in batches of about this size: a part of the input may
+# hold thousands, and each may visit every block.
+VISIT_BYTES = 16 << 20
+
 # Angles near 0 are known to about this much from double cosines.
 SLACK = 1e-7
 
@@ -89,28 +93,32 @@ def _floors(k: int):
 def _visits(pivots: np.ndarray, radius: np.ndarray, blocks: np.ndarray):
     """Each vector once for every block that may hold a nearer one than its k-th best."""
 
+    def visitors(part: pa.RecordBatch) -> pa.RecordBatch:
+        unit, floor = matrix(part, "unit"), part["floor"].to_numpy()
+        least = np.maximum(0.0, angles(unit, pivots) - radius - SLACK)
+        row, pivot = np.nonzero((np.cos(least) >= floor[:, None] - SLACK) & (blocks > 0))
+        # Every block of the pivot.
+        n = blocks[pivot]
+        again = np.repeat(np.arange(len(row)), n)
+        block = np.arange(len(again)) - np.repeat(np.cumsum(n) - n, n)
+        taken = pa.array(row[again])
+        return pa.RecordBatch.from_pydict(
+            {
+                "id": part["id"].take(taken),
+                "unit": list_column(unit[row[again]], "float64"),
+                "from_pivot": part["pivot"].take(taken),
+                "from_block": part["block"].take(taken),
+                "pivot": pa.array(pivot[again], pa.int32()),
+                "block": pa.array(block, pa.int32()),
+            }
+        )
+
+    step = max(1, VISIT_BYTES // (8 * pivots.shape[1] * max(1, int(blocks.sum()))))
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            if not part.num_rows:
-                continue
-            unit, floor = matrix(part, "unit"), part["floor"].to_numpy()
-            least = np.maximum(0.0, angles(unit, pivots) - radius - SLACK)
-            row, pivot = np.nonzero((np.cos(least) >= floor[:, None] - SLACK) & (blocks > 0))
-            # Every block of the pivot.
-            n = blocks[pivot]
-            again = np.repeat(np.arange(len(row)), n)
-            block = np.arange(len(again)) - np.repeat(np.cumsum(n) - n, n)
-            taken = pa.array(row[again])
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "id": part["id"].take(taken),
-                    "unit": list_column(unit[row[again]], "float64"),
-                    "from_pivot": part["pivot"].take(taken),
-                    "from_block": part["block"].take(taken),
-                    "pivot": pa.array(pivot[again], pa.int32()),
-                    "block": pa.array(block, pa.int32()),
-                }
-            )
+            for at in range(0, part.num_rows, step):
+                yield visitors(part.slice(at, step))
 
     return run
 

@@ -1,7 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from hourcast.operators.embeddings import embedding_lookup, embedding_topk
+from hourcast.functions.arrow import list_column
+from hourcast.operators import neighbours as neighbours_module
+from hourcast.operators.embeddings import embedding_lookup, embedding_topk, unit_rows
 from hourcast.operators.neighbours import pivot_search, pivot_topk
 
 SCHEMA = "id int, vec array<float>"
@@ -100,3 +103,24 @@ def test_clusters_are_compared_with_few_others(spark):
     done, every = search.compared()
     assert done < 0.2 * every
     assert neighbours(search.neighbours()) == brute(rows, 3)
+
+
+def test_visitors_leave_in_batches_of_bounded_size():
+    """Vectors without clusters visit every block: a part must not be blown up by their number."""
+    rng, n, n_pivots, dim = np.random.default_rng(5), 4_000, 64, 32
+    unit, pivots = (unit_rows(rng.normal(size=(k, dim))) for k in (n, n_pivots))
+    part = pa.RecordBatch.from_pydict(
+        {
+            "id": pa.array(np.arange(n)),
+            "unit": list_column(unit, "float64"),
+            "pivot": pa.array(np.zeros(n, np.int32)),
+            "block": pa.array(np.zeros(n, np.int32)),
+            "floor": np.full(n, -2.0),
+        }
+    )
+    radius, blocks = np.full(n_pivots, np.pi), np.full(n_pivots, 2, np.int64)
+    found = list(neighbours_module._visits(pivots, radius, blocks)(iter([part])))
+    assert sum(b.num_rows for b in found) == n * n_pivots * 2
+    assert max(b.nbytes for b in found) < 2 * neighbours_module.VISIT_BYTES
+    ids = np.concatenate([b["id"].to_numpy() for b in found])
+    assert (np.bincount(ids) == n_pivots * 2).all()
