@@ -290,3 +290,21 @@ def test_text_exports_are_small(spark, tmp_path):
     cells = stored.count() * 192
     assert cells > 100_000
     assert sum(f.stat().st_size for f in (tmp_path / "s").rglob("part-*")) < cells
+
+
+def test_splits_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """A sort by split would spill every sample; the session's setting comes back."""
+    blocks = series_blocks(hourly_rows(spark), accounts(spark), METRICS, START, at(20), 6)
+    split = split_by_time(make_samples(blocks, 4, 2), (START, at(3)), (at(9), at(14)), 6)
+    before, seen = spark.conf.get(sinks.WRITERS), []
+    plain = type(split.write).parquet
+
+    def parquet(writer, path):
+        seen.append(int(spark.conf.get(sinks.WRITERS)))
+        return plain(writer, path)
+
+    monkeypatch.setattr(type(split.write), "parquet", parquet)
+    sinks.write_samples(split, str(tmp_path / "s"))
+    assert seen and seen[0] >= 2 and spark.conf.get(sinks.WRITERS) == before
+    again = samples.read_samples(spark, str(tmp_path / "s"))
+    assert key_rows(again.select(*split.columns)) == key_rows(split)
