@@ -207,6 +207,16 @@ def test_lead_matches_the_shifted_join(spark):
     assert key_rows(joined) == key_rows(series.series_lead(dense, [3]).select(*keys, "lead_3"))
 
 
+def test_leads_need_no_second_shuffle(spark, tmp_path):
+    """A series of one block lies in one task already; blocks of a longer grid are spread."""
+    spark.createDataFrame(random_hourly(20), HOURLY).write.parquet(str(tmp_path / "h"))
+    stored = spark.read.parquet(str(tmp_path / "h"))
+    for years, shuffles in ((1, 1), (2, 2)):
+        dense = series.densify(stored, accounts(spark), METRICS, START, at(series.BLOCK_HOURS * years))
+        plan = series.series_lead(dense, [3])._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == shuffles
+
+
 def test_spot_check(spark):
     rows = random_hourly(20)
     hourly = spark.createDataFrame(rows, HOURLY)
