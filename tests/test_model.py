@@ -200,6 +200,24 @@ def test_account_without_vector_is_an_error(blocks, accounts):
         models.forecast(blocks, short).collect()
 
 
+def test_smape_of_a_test_is_that_of_the_forecast(blocks, accounts):
+    """Tests of training add cells up inside the tasks, and agree with the forecast table."""
+    fitted, history = fit(blocks, accounts)
+    samples = make_samples(blocks, SMALL.lags, SMALL.horizon)
+    expected = smape(models.forecast(blocks, fitted)).first()["smape"]
+    for windows in (blocks, samples):
+        assert models.forecast_smape(windows, fitted) == pytest.approx(expected, rel=1e-9)
+    assert trail(history)[-1][3] == pytest.approx(expected, rel=1e-9)
+    assert models.forecast_smape(blocks.where("false"), fitted) is None
+
+
+def test_a_block_too_short_for_its_windows_is_an_error(blocks, accounts):
+    fitted, _ = fit(blocks, accounts, replace(SMALL, batches=1, sub_steps=1))
+    short = blocks.withColumn("n_windows", F.col("n_windows") + 1)
+    with pytest.raises(Exception, match="too short"):
+        models.forecast(short, fitted).collect()
+
+
 def test_empty_batches_are_skipped(blocks, accounts):
     few = make_samples(blocks, SMALL.lags, SMALL.horizon).limit(2)
     _, history = fit(few, accounts, replace(SMALL, batches=5, sub_steps=1))
