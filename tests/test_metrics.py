@@ -1,7 +1,12 @@
 import math
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
+
+from fixtures.queries import _summary
 from hourcast.config import EPS
+from hourcast.functions.arrow import totals
 from hourcast.operators import metrics
 
 SCHEMA = "account_int int, y array<float>, yhat array<float>"
@@ -44,3 +49,30 @@ def test_log_l2_loss_is_half_a_sum(spark):
     gap = frame(spark, [(0, [EPS], [1.0])])
     assert metrics.log_l2_loss(gap).first()["loss"] == pytest.approx(math.log(EPS) ** 2 / 2)
 
+
+
+def test_totals_of_lists():
+    rows = [[0.5, 0.25, EPS], [], None, [1.0, None, 2.0], [float("nan")], [1e8, 1.0, 3.0, -1e8]]
+    column = pa.array(rows, pa.list_(pa.float32()))
+    for part in (column, column.slice(1, 4), column.slice(2, 0)):
+        got, cells = totals(part).to_pylist(), part.to_pylist()
+        assert len(got) == len(cells)
+        for total, row in zip(got, cells):
+            if row is None or None in row:
+                assert total is None
+            else:
+                assert total == sum(row, 0.0) or math.isnan(total) and math.isnan(sum(row, 0.0))
+
+
+def test_summary_sums_without_a_call_for_each_cell(spark):
+    rows = [(0, 1, [0.5] * 168, [EPS] * 24), (1, 1, [1.0] * 167 + [None], [3.0] * 24), (2, 1, None, [])]
+    schema = "account_int int, metric_int int, x array<float>, y array<float>"
+    samples = spark.createDataFrame(rows, schema).withColumns(
+        {"hour": F.lit("2024-01-01").cast("timestamp_ntz"), "dayofweek": F.lit(0)}
+    )
+    summary = _summary(samples)
+    assert "lambda" not in summary._jdf.queryExecution().executedPlan().toString()
+    got = summary.orderBy("account_int").select("x_first", "x_sum", "y_sum", "y_last").collect()
+    assert [tuple(r) for r in got] == [
+        (0.5, 84.0, round(24 * EPS, 6), EPS), (1.0, None, 72.0, 3.0), (None, None, 0.0, None)
+    ]
