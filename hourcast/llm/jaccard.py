@@ -228,8 +228,15 @@ def _exact(width: int, percent: int):
 
 
 def _links(candidates: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs of `one` and `two` (arrays of leaves) whose sets reach the similarity."""
-    pairs = candidates.select("one", "two").mapInArrow(_prune(percent), "a long, b long")
+    """The pairs of `one` and `two` (arrays of leaves) whose sets reach the similarity.
+
+    Texts of leaves that are in no pair left by the pruning are not moved.
+    """
+    pairs = stored(
+        candidates.select("one", "two").mapInArrow(_prune(percent), "a long, b long"), "candidates"
+    )
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = texts.join(wanted, "node", "left_semi").select("node", "text")
     return stored(
         pairs.join(texts.toDF("a", "text_a"), "a")
         .join(texts.toDF("b", "text_b"), "b")
@@ -325,16 +332,20 @@ def similar_groups(df: DataFrame, width: int = 5, percent: int = 80) -> DataFram
         "trees",
     )
     listed = trees.select("node").distinct()
+    key = ["no_id", "id", "text_hash"]
+    own_key = (
+        F.col("doc_id").isNull().alias("no_id"),
+        F.coalesce("doc_id", F.lit(0)).alias("id"),
+        "text_hash",
+    )
+    # Repeated rows meet where the join has put them: texts are shuffled once.
     texts = stored(
-        rows.join(
-            leaves.join(listed, "node", "left_semi").select(
-                F.col("doc_id").alias("leaf_id"), F.col("text_hash").alias("leaf_hash"), "node"
-            ),
-            rows["doc_id"].eqNullSafe(F.col("leaf_id")) & (F.col("text_hash") == F.col("leaf_hash")),
-        )
-        .select("node", "text")
-        .dropDuplicates(["node"]),
+        rows.select(*own_key, "text")
+        .join(leaves.join(listed, "node", "left_semi").select(*own_key, "node"), key)
+        .dropDuplicates([*key, "node"])
+        .select("node", "text"),
         "texts",
+        compression="zstd",
     )
     weights = trees.groupBy("node").agg(F.count("*").alias("weight"))
     heads = (

@@ -7,6 +7,7 @@ import pytest
 from hourcast.llm import jaccard
 from hourcast.llm.graph import components
 from hourcast.llm.shingles import shared, shingle_sets
+from hourcast.llm.text import stored
 
 
 def brute_set(text, width):
@@ -119,3 +120,23 @@ def test_components_of_a_path_and_a_star(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     got = {r["node"]: r["component"] for r in components(df).collect()}
     assert got == {k: 0 for k in range(51)} | {k: 100 for k in range(100, 140)}
+
+
+def test_texts_are_shuffled_once_and_only_of_pairs_move_on(spark, docs, monkeypatch):
+    plans = {}
+
+    def seen(df, name, **options):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name, **options)
+
+    monkeypatch.setattr(jaccard, "stored", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = copies(1, 12, 3)
+        rows += rows[:3] + [(None, rows[0][1] + " more"), (None, rows[0][1] + " more")]
+        assert found(docs(*rows), 4, 85) == brute_groups(rows, 4, 85)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    (texts,) = plans["texts"]
+    assert "Exchange" not in texts.split("SortMergeJoin")[0]
+    assert all("LeftSemi" in plan for plan in plans["links"])
