@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourcast.llm.text import whole_text
-from hourcast.llm.tokens import IDS, default_vocabulary, encoder, id_lists
+from hourcast.llm.tokens import IDS, default_vocabulary, encoder, id_lists, stretches
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 64 << 10
 END_ID = 2
-_BATCH = 1_000
+_BATCH_BYTES, _BATCH = 6 << 20, 500
 
 FORMAT = {
     "parquet.writer.version": "v2",
@@ -47,23 +47,30 @@ FORMAT = {
 def _encode(path: str, end_id: int):
     end = np.array([end_id], dtype=IDS).tobytes()
 
+    def encoded(batch: pa.RecordBatch, start: int) -> pa.RecordBatch:
+        tokens = id_lists(encoder(path)(batch["text"]), end)
+        n = np.diff(tokens.offsets.to_numpy()).astype(np.int64)
+        return pa.record_batch(
+            {
+                "doc_id": batch["doc_id"],
+                "part": batch["part"],
+                "part_start": start + np.cumsum(n) - n,
+                "n_tokens": n,
+                "tokens": tokens,
+            }
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, start = encoder(path), 0
+        start = 0
         for whole in batches:
-            for at in range(0, len(whole), _BATCH):
-                batch = whole.slice(at, _BATCH)
-                ids = [x + end for x in encode(batch["text"])]
-                n = np.array([len(x) // 4 for x in ids], dtype=np.int64)
-                yield pa.record_batch(
-                    {
-                        "doc_id": batch["doc_id"],
-                        "part": batch["part"],
-                        "part_start": start + np.cumsum(n) - n,
-                        "n_tokens": n,
-                        "tokens": id_lists(ids),
-                    }
-                )
-                start += int(n.sum())
+            for first, after in stretches(whole["text"], _BATCH_BYTES):
+                out = encoded(whole.slice(first, after - first), start)
+                start += len(out["tokens"].values)
+                # Rows leave a few at once: the JVM holds a whole batch outside its heap.
+                yield from (out.slice(at, _BATCH) for at in range(0, len(out), _BATCH))
+                del out
+                # Else a worker keeps what its largest batches took.
+                pa.default_memory_pool().release_unused()
 
     return run
 

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from hourcast.llm import packing, token_files
-from hourcast.llm.tokens import IDS, Encoder, default_vocabulary
+from hourcast.llm.tokens import IDS, Encoder, default_vocabulary, stretches
 
 HARD = [
     " a b", "a  b", " ", "\n", "a \n b", "a\n\nb c", "a<|endoftext|>b c d", "é\x85 b c\x1c d",
@@ -69,6 +69,43 @@ def test_other_vocabularies_are_encoded_whole(table):
     assert [np.frombuffer(x, dtype=IDS).tolist() for x in found] == expected
 
 
+def test_chunks_met_last_are_kept(monkeypatch, plain):
+    from hourcast.llm import tokens
+
+    monkeypatch.setattr(tokens, "HELD", 8)
+    encode, learned, learn = Encoder(default_vocabulary()), [], Encoder._learn
+    monkeypatch.setattr(Encoder, "_learn", lambda self, chunks: learned.extend(chunks.to_pylist()) or learn(self, chunks))
+    for k in range(20):
+        text = f"x often seldom{k} rare{k} word{k}"
+        assert np.frombuffer(encode(pa.array([text]))[0], dtype=IDS).tolist() == plain(text)
+        assert len(encode._known.numbers) <= 8
+    assert learned.count("often") == 1 and len(learned) == 2 + 3 * 20
+
+
+def test_stretches_are_all_rows_by_bytes():
+    texts = pa.array(["a" * n for n in (5, 0, 30, 2, 2, 2, 90, 1)] + [None])
+    found = stretches(texts, 20)
+    assert [k for a, b in found for k in range(a, b)] == list(range(9)) and len(found) > 3
+    assert stretches(texts, 1_000) == [(0, 9)] and stretches(texts.slice(1, 2), 1_000) == [(0, 2)]
+    assert stretches(pa.array([], pa.string()), 20) == []
+
+
+def test_many_short_texts_are_encoded_at_once_and_leave_in_parts(monkeypatch, plain):
+    calls, call = [], Encoder.__call__
+    monkeypatch.setattr(Encoder, "__call__", lambda self, texts: calls.append(len(texts)) or call(self, texts))
+    texts = [None if k % 7 == 0 else f"text {k}" for k in range(2_100)]
+    batch = pa.record_batch(
+        {"doc_id": pa.array(range(2_100)), "text": pa.array(texts), "part": pa.array([3] * 2_100, pa.int32())}
+    )
+    found = list(token_files._encode(default_vocabulary(), 2)(iter([batch, batch])))
+    assert calls == [2_100, 2_100] and max(len(b) for b in found) <= 500
+    rows = pa.Table.from_batches(found).to_pylist()
+    start = 0
+    for row, text in zip(rows, texts + texts, strict=True):
+        assert (row["part_start"], row["tokens"]) == (start, plain(text) + [2])
+        start += row["n_tokens"]
+
+
 def test_token_files_round_trip(spark, odd, plain, tmp_path):
     path = str(tmp_path / "tokens")
     token_files.write_tokens(odd, path)
