@@ -2,6 +2,8 @@ import random
 from functools import reduce
 from operator import or_
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from hourcast import session
 from hourcast.functions.time import hour_literal, hour_of
 from hourcast.operators.filters import in_hours, in_months_of, split_by_time
 from hourcast.operators.hourly import hourly_metrics
-from hourcast.operators.series import make_samples, series_blocks
+from hourcast.operators.series import make_samples, samples_wide, series_blocks
 from hourcast.plans import build
 from hourcast.sources import accounts as account_files
 from hourcast.sources import events, hourly, samples, sinks
@@ -308,3 +310,67 @@ def test_splits_are_written_without_a_sort(spark, tmp_path, monkeypatch):
     assert seen and seen[0] >= 2 and spark.conf.get(sinks.WRITERS) == before
     again = samples.read_samples(spark, str(tmp_path / "s"))
     assert key_rows(again.select(*split.columns)) == key_rows(split)
+
+
+SAMPLES = "account_int int, metric_int int, hour timestamp_ntz, dayofweek int, x array<float>, y array<float>, split string"
+ODD = [0.0, -0.0, 3.0, 1e7, 9_999_999.0, 0.00123, 9.99e-4, 1.1920929e-07, 2e8, -2.5e-10, 123456.79, float("inf"), float("-inf")]
+
+
+def odd_samples(spark):
+    """Neighbouring windows, repeated ones, ones that follow nothing, nulls and odd numbers."""
+    rng = random.Random(7)
+    cells = [rng.choice(ODD) for _ in range(40)]
+    windows = [(0, 0, at(h), 0, cells[h : h + 4], cells[h + 4 : h + 6]) for h in range(30)]
+    windows += windows[3:5] + [(1, None, at(9), 2, [1.0, None, 2.0, 3.0], [None, 5.0])]
+    windows += [(2, 1, at(h), 1, [rng.choice(ODD) for _ in range(4)], [1.5, float("nan")]) for h in range(5)]
+    rows = [(*w, "train" if k % 11 < 7 else "valid") for k, w in enumerate(windows)]
+    return spark.createDataFrame(rows, SAMPLES).coalesce(2)
+
+
+def test_lines_of_text_are_those_of_plain_csv(spark, tmp_path):
+    df = odd_samples(spark)
+    sinks.write_samples_csv(df, str(tmp_path / "s"), 4, 2)
+    plain = samples_wide(df, 4, 2).withColumn("hour", F.date_format("hour", sinks.HOUR_TEXT))
+    plain.write.partitionBy("split").csv(str(tmp_path / "plain"), header=True)
+    ours, theirs = (
+        sorted((r["split"], r["value"]) for r in spark.read.text(str(tmp_path / name)).distinct().collect())
+        for name in ("s", "plain")
+    )
+    assert ours == theirs
+    for name in ("train", "valid"):
+        again = samples.read_samples_csv(spark, str(tmp_path / "s"), 4, 2, name)
+        expected = df.where(F.col("split") == name).drop("split")
+        assert again.dtypes == expected.dtypes
+        assert repr(key_rows(again)) == repr(key_rows(expected))  # NaN equals nothing
+
+
+def test_neighbouring_lines_are_cut_from_one_text():
+    """Of 1,000 windows of 192 hours a task writes each value down once, not 192 times."""
+    values = np.random.default_rng(0).integers(0, 50, 1_191).astype(np.float32)
+    windows = np.lib.stride_tricks.sliding_window_view(values, 192)
+    x, y = (pa.array(list(w), pa.list_(pa.float32())) for w in (windows[:, :168], windows[:, 168:]))
+    part = pa.record_batch({"key": pa.array(["k,"] * 1_000), "x": x, "y": y})
+    head, found = sinks._lines("h", 168, 24, False)(iter([part]))
+    assert head["text"].to_pylist() == [b"h"] and found.num_rows == 1
+    assert len(found["text"][0].as_py()) < 10 * 1_191
+    text, row = found["text"][0].as_py(), {c: found[c][0].as_py() for c in ("low", "size")}
+    lines = [text[a : a + n].decode() for a, n in zip(row["low"], row["size"])]
+    assert lines == [",".join(map(str, map(float, w))) for w in windows]
+
+
+def test_text_samples_of_other_writers(spark, tmp_path):
+    """The first line of each file is its header whatever it says; blank lines are none."""
+    (tmp_path / "one.csv").write_text('\nsome,names\n1,2,"2024-01-01 05",0,1.5,2\n\n1,2,2024-01-01 06,0,2,\n')
+    (tmp_path / "two.csv").write_text("h\n3,,2024-01-01 07,0, 1e3,NaN\n")
+    rows = samples.read_samples_csv(spark, str(tmp_path), 1, 1).orderBy("hour").collect()
+    assert [(r["account_int"], r["metric_int"], r["hour"], r["x"]) for r in rows] == [
+        (1, 2, at(5), [1.5]),
+        (1, 2, at(6), [2.0]),
+        (3, None, at(7), [1000.0]),
+    ]
+    assert [r["y"] for r in rows[:2]] == [[2.0], [None]] and rows[2]["y"][0] != rows[2]["y"][0]
+    for k, odd in enumerate(["1,2,2024-01-01 05,0,1", "1,2,2024-01-01 05,0,1,2,3", "1,2,2024-01-01 05,0,1,many"]):
+        (tmp_path / f"odd{k}").mkdir()
+        (tmp_path / f"odd{k}" / "s.csv").write_text(f"h\n{odd}\n")
+        with pytest.raises(Exception, match="MALFORMED|conversion error"):
+            samples.read_samples_csv(spark, str(tmp_path / f"odd{k}"), 1, 1).collect()
