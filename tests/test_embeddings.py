@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -6,6 +8,7 @@ from hourcast.functions.arrow import list_column
 from hourcast.operators import neighbours as neighbours_module
 from hourcast.operators.embeddings import embedding_lookup, embedding_topk, unit_rows
 from hourcast.operators.neighbours import pivot_search, pivot_topk
+from hourcast.session import checkpoint_dir
 
 SCHEMA = "id int, vec array<float>"
 
@@ -124,3 +127,45 @@ def test_visitors_leave_in_batches_of_bounded_size():
     assert max(b.nbytes for b in found) < 2 * neighbours_module.VISIT_BYTES
     ids = np.concatenate([b["id"].to_numpy() for b in found])
     assert (np.bincount(ids) == n_pivots * 2).all()
+
+
+def test_visits_are_not_stored(spark):
+    """Vectors without clusters visit every block: they must not be written once for each."""
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(1_000)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    folder = Path(checkpoint_dir(spark).removeprefix("file:"))
+
+    def stored():
+        return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+    before = stored()
+    found = pivot_search(table, 3, n_pivots=60, block_rows=10)
+    own = 1_000 * 16 * 8
+    assert neighbours(found.neighbours()) == neighbours(embedding_topk(table, 3))
+    assert 0 < stored() - before < 10 * own
+    done, every = found.compared()
+    assert done > 0.5 * every
+
+
+def test_a_vector_is_sent_once_to_a_hall(spark):
+    rng, n = np.random.default_rng(5), 500
+    pivots = unit_rows(rng.normal(size=(20, 8)))
+    sizes, blocks = np.full(20, 25), np.full(20, 3)
+    halls = neighbours_module._halls(pivots, sizes, blocks, 4)
+    assert sorted({int(h) for own in halls for h in own}) == [0, 1, 2, 3]
+    part = pa.RecordBatch.from_pydict(
+        {
+            "id": pa.array(np.arange(n)),
+            "vec": list_column(rng.normal(size=(n, 8)), "float32"),
+            "floor": np.full(n, -2.0),
+            "pivot": pa.array(np.arange(n) % 20, pa.int32()),
+            "block": pa.array(np.arange(n) % 3, pa.int32()),
+        }
+    )
+    send = neighbours_module._sent(pivots, np.full(20, np.pi), halls, 5)
+    sent = pa.Table.from_batches(list(send(iter([part])))).to_pandas()
+    visits, held = sent[~sent.held], sent[sent.held]
+    assert len(visits) == n * 4 and not visits.duplicated(["id", "hall"]).any()
+    assert len(held) == n * 5 and not held.duplicated(["id", "slice"]).any()
+    assert (held.groupby("id").hall.nunique() == 1).all() and (visits.groupby("id").slice.nunique() == 1).all()
