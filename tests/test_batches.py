@@ -1,3 +1,5 @@
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,3 +134,64 @@ def test_windows_of_a_dimension_in_one_file_are_spread(spark, monkeypatch):
     assert sorted(p for r in placed for p in r["positions"]) == list(range(300))
     parts = taken_apart[0].groupBy(F.spark_partition_id()).count().collect()
     assert len(parts) > 1 and sum(r["count"] for r in parts) == 300
+
+
+def key_blocks(spark, n=400, n_windows=50):
+    return spark.range(n).select(
+        (F.col("id") % 40).cast("int").alias("account_int"),
+        F.floor(F.col("id") / 40).cast("int").alias("metric_int"),
+        F.lit(0).alias("block"),
+        hour_literal(START).alias("hour"),
+        F.lit(n_windows).alias("n_windows"),
+    )
+
+
+def test_packed_positions_are_those_of_rows(spark, monkeypatch):
+    """Chunks of any size, and hashes that begin alike."""
+    blocks = key_blocks(spark, 60, 30)
+    starts = blocks.select(
+        "account_int", "metric_int", F.col("hour").alias("_from"), F.posexplode(F.sequence(F.lit(0), F.lit(29)))
+    )
+    windows = starts.select("account_int", "metric_int", add_hours("_from", F.col("col")).alias("hour"))
+    expected = positions(batches.shuffle_samples(windows, 5))
+    assert sorted(expected.values()) == list(range(1_800))
+    for packed in (7, 1 << 16):
+        monkeypatch.setattr(batches, "PACKED", packed)
+        placed = batches.block_positions(blocks, 5).collect()
+        assert {
+            (r["account_int"], r["metric_int"], at(i)): p for r in placed for i, p in enumerate(r["positions"])
+        } == expected
+
+
+def test_ranks_follow_all_bytes_of_the_hash():
+    hashes = [bytes([1] * 15 + [last]) for last in (9, 200, 3)] + [bytes(16), bytes([255] * 16)]
+    group = pa.table(
+        {
+            "chunk": pa.array([4, 5], pa.int64()),
+            "range": pa.array([0, 0], pa.int32()),
+            "n": pa.array([2, 3], pa.int32()),
+            "places": [b"ab", b"cde"],
+            "hashes": [b"".join(hashes[:2]), b"".join(hashes[2:])],
+            "rows": pa.nulls(2, pa.binary()),
+        }
+    )
+    ranks = batches._rank(group)["ranks"].to_pylist()
+    assert np.frombuffer(b"".join(ranks), np.uint32).tolist() == [2, 3, 1, 0, 4]
+
+
+def test_the_random_order_shuffles_few_bytes(spark, monkeypatch):
+    """Rows of text hashes took some 66 bytes a window, sorted twice; packed they take 30."""
+    n, keys = 400 * 500, key_blocks(spark, 400, 500)
+    packs = batches._number_packed
+    seen = []
+
+    def numbered(hashed):
+        spread = hashed.mapInArrow(batches._pack, batches.PACKS)
+        sent = spread.select(F.length("places"), F.length("hashes"), F.length("rows")).toDF("p", "h", "r")
+        seen.append(sent.agg(*[F.sum(F.coalesce(c, F.lit(0))) for c in "phr"]).first())
+        return packs(hashed)
+
+    monkeypatch.setattr(batches, "_number_packed", numbered)
+    assert batches.block_positions(keys, 1).count() == 400
+    p, h, r = seen[0]
+    assert (p, h) == (2 * n, 16 * n) and r < 2 * n
